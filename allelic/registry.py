@@ -61,3 +61,32 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from allelic.oracle import Q
     return {k: v for k, v in Q.items() if k in REGISTRY}
+
+
+# --- C14-C19, B6: browse, summary, stats -------------------------------------
+from allelic.operators import browse, policy, querylog, summary  # noqa: E402
+
+register("browse_variants")(lambda s, d: browse.browse_variants(
+    _calls(s, d), contig="chr21", sample_id="All", limit=100, store_id="s3_tables"))
+register("browse_variants_sample")(lambda s, d: browse.browse_variants(
+    _calls(s, d), contig="All", sample_id="sample_000002", limit=1000))
+register("browse_person")(lambda s, d: browse.browse_person(fx.person(s, d), "All", 100))
+register("browse_conditions")(lambda s, d: browse.browse_conditions(
+    fx.condition_occurrence(s, d), 100))
+register("browse_search")(lambda s, d: browse.browse_search(
+    _calls(s, d), "sample_id", "0001", ["dp", "start", "sample_id"], descending=True, limit=100))
+register("ingest_summary")(lambda s, d: summary.ingest_summary(_calls(s, d)))
+register("partition_stats")(lambda s, d: summary.partition_stats(_calls(s, d)))
+
+# --- J: column policy ---------------------------------------------------------
+register("researcher_view")(lambda s, d: policy.researcher_view(_calls(s, d)))
+register("steward_view")(lambda s, d: policy.steward_view(_calls(s, d)))
+register("researcher_masked")(lambda s, d: policy.researcher_masked(_calls(s, d)))
+register("published_frequencies")(lambda s, d: policy.published(
+    frequency.allele_frequency(policy.steward_view(_calls(s, d)), "chr21", "PASS")))
+
+# --- H / D13: query-log rollups -------------------------------------------------
+register("scan_cost")(lambda s, d: querylog.scan_costs(fx.query_log(s, d)))
+register("bench_summary")(lambda s, d: querylog.bench_summary(fx.query_log(s, d)))
+register("bench_ranking")(lambda s, d: querylog.bench_ranking(fx.query_log(s, d)))
+register("bench_scaling")(lambda s, d: querylog.bench_scaling(fx.query_log(s, d)))
