@@ -90,3 +90,187 @@ register("scan_cost")(lambda s, d: querylog.scan_costs(fx.query_log(s, d)))
 register("bench_summary")(lambda s, d: querylog.bench_summary(fx.query_log(s, d)))
 register("bench_ranking")(lambda s, d: querylog.bench_ranking(fx.query_log(s, d)))
 register("bench_scaling")(lambda s, d: querylog.bench_scaling(fx.query_log(s, d)))
+
+
+# --- A / B / K3 / I1: sources, sinks, layouts -----------------------------------
+# Each writer query writes under a fresh folder of the shared checkpoint root
+# and reads the result back, so the returned frame is what a reader sees.
+from pyspark.sql import functions as F  # noqa: E402
+
+from allelic.operators import vds as vds_ops  # noqa: E402
+from allelic.plans.layout import compact, diff_counts  # noqa: E402
+from allelic.schema import CALL_COLUMNS  # noqa: E402
+from allelic.session import scratch_path  # noqa: E402
+from allelic.sinks import feed as feed_ops  # noqa: E402
+from allelic.sinks import writers  # noqa: E402
+from allelic.sinks.vcf import write_vcf  # noqa: E402
+from allelic.sources import tables  # noqa: E402
+from allelic.sources.vcf import read_vcf, vcf_samples  # noqa: E402
+from allelic.streaming.ingest import ingest_vcf_stream  # noqa: E402
+
+
+def _vcf_dir(s, d):
+    path = scratch_path(s, "vcf")
+    write_vcf(_calls(s, d), path)
+    return path
+
+
+@register("vcf_to_calls")
+def _q_vcf_to_calls(s, d):
+    return read_vcf(s, _vcf_dir(s, d))
+
+
+@register("vcf_samples")
+def _q_vcf_samples(s, d):
+    return (vcf_samples(s, _vcf_dir(s, d)).groupBy("sample_id")
+            .agg(F.count(F.lit(1)).alias("shard_count")))
+
+
+@register("parquet_roundtrip")
+def _q_parquet_roundtrip(s, d):
+    path = writers.write_parquet(_calls(s, d), scratch_path(s, "parquet"))
+    return tables.read_calls_parquet(s, path)
+
+
+@register("jsonl_roundtrip")
+def _q_jsonl_roundtrip(s, d):
+    path = writers.write_json(_calls(s, d), scratch_path(s, "jsonl"))
+    return tables.read_calls_json(s, path)
+
+
+@register("person_scan")
+def _q_person_scan(s, d):
+    path = writers.write_csv(fx.person(s, d), scratch_path(s, "person_csv"))
+    return tables.read_person_csv(s, path)
+
+
+@register("condition_scan")
+def _q_condition_scan(s, d):
+    path = writers.write_csv(fx.condition_occurrence(s, d), scratch_path(s, "condition_csv"))
+    return tables.read_conditions_csv(s, path)
+
+
+def _warehouse(s, d):
+    """Batch 001 then batch 002 appended (N+1) into one partitioned table."""
+    root = scratch_path(s, "warehouse")
+    calls = fx.variants(s, d, with_batch=True)
+    writers.write_batch(calls.where(F.col("batch_id") == "001"), root)
+    writers.write_batch(calls.where(F.col("batch_id") == "002"), root)
+    return root
+
+
+@register("partition_counts")
+def _q_partition_counts(s, d):
+    df = tables.read_warehouse(s, _warehouse(s, d))
+    return df.groupBy("reference_name", "batch_id").agg(F.count(F.lit(1)).alias("calls"))
+
+
+@register("scan_contig")
+def _q_scan_contig(s, d):
+    return tables.scan_contig(s, _warehouse(s, d), "chr21").select(*CALL_COLUMNS)
+
+
+@register("feed_append")
+def _q_feed_append(s, d):
+    calls = fx.variants(s, d, with_batch=True)
+    existing = calls.where(F.col("batch_id") == "001").select(*CALL_COLUMNS)
+    records = calls.where(F.col("batch_id") == "002").drop("cohort_id", "batch_id")
+    return feed_ops.feed(existing, records, "custom_iceberg")
+
+
+def _vds(s, d):
+    path = scratch_path(s, "vds")
+    vds_ops.write_vds(s, _calls(s, d), path)
+    return path
+
+
+@register("vds_variant_data")
+def _q_vds_variant_data(s, d):
+    v = tables.read_variant_data(s, f"{_vds(s, d)}/variant_data")
+    return v.select("locus_contig", "locus_position", F.array_join("alleles", ",").alias("alleles"),
+                    "sample_id", "call", "dp", "gq",
+                    F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("ad"),
+                    "info")
+
+
+@register("vds_reference_data")
+def _q_vds_reference_data(s, d):
+    r = tables.read_reference_data(s, f"{_vds(s, d)}/reference_data")
+    return r.select("locus_contig", "locus_position", F.array_join("alleles", ",").alias("alleles"),
+                    "sample_id", "call", "dp", "gq",
+                    F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("ad"))
+
+
+@register("vds_counts")
+def _q_vds_counts(s, d):
+    return vds_ops.vds_counts(s, _vds(s, d))
+
+
+_PARITY_COLS = ["reference_name", "start", "end_pos", "reference_bases", "alternate_bases",
+                "sample_id", "genotype", "dp", "gq", "allele_depth"]
+
+
+@register("vds_to_calls")
+def _q_vds_to_calls(s, d):
+    p = _vds(s, d)
+    return vds_ops.vds_to_calls(tables.read_variant_data(s, f"{p}/variant_data"),
+                                tables.read_reference_data(s, f"{p}/reference_data")) \
+        .select(*_PARITY_COLS, "attributes")
+
+
+@register("layout_parity")
+def _q_layout_parity(s, d):
+    wh = tables.read_warehouse(s, _warehouse(s, d)).select(*_PARITY_COLS)
+    p = _vds(s, d)
+    back = vds_ops.vds_to_calls(tables.read_variant_data(s, f"{p}/variant_data"),
+                                tables.read_reference_data(s, f"{p}/reference_data"))
+    return diff_counts(wh, back.select(*_PARITY_COLS))
+
+
+@register("compacted_equal")
+def _q_compacted_equal(s, d):
+    src = _warehouse(s, d)
+    dst = compact(s, src, scratch_path(s, "compacted"))
+    before = tables.read_warehouse(s, src).select(*CALL_COLUMNS)
+    after = tables.read_calls_parquet(s, dst).select(*CALL_COLUMNS)
+    return diff_counts(before, after)
+
+
+@register("n1_incremental")
+def _q_n1_incremental(s, d):
+    """Two batches arrive as VCF files; the stream appends each as it lands."""
+    calls = fx.variants(s, d, with_batch=True)
+    src = scratch_path(s, "landing")
+    for b in ("001", "002"):
+        write_vcf(calls.where(F.col("batch_id") == b).drop("batch_id"), f"{src}/batch_{b}")
+    root = scratch_path(s, "n1_table")
+    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=8)
+    return tables.read_warehouse(s, root).select(*CALL_COLUMNS, "batch_id")
+
+
+@register("n1_counts")
+def _q_n1_counts(s, d):
+    """Partition directories and rows touched by an N+1 append versus a full
+    rewrite (file counts and timings are reported by bench.py)."""
+    calls = fx.variants(s, d, with_batch=True)
+    inc = scratch_path(s, "n1_append")
+    writers.write_batch(calls.where(F.col("batch_id") == "001"), inc)
+    before = writers.written_files(s, inc).select("file")
+    writers.write_batch(calls.where(F.col("batch_id") == "002"), inc)
+    created = writers.written_files(s, inc).join(before, "file", "left_anti")
+    full = scratch_path(s, "n1_rewrite")
+    writers.rewrite_all(calls, full)
+    rewritten = writers.written_files(s, full)
+
+    def dirs(files, mode):
+        return files.select("reference_name", "batch_id").distinct().groupBy().count() \
+            .select(F.lit(mode).alias("mode"), F.col("count").alias("partitions_written"))
+
+    def rows(df, mode):
+        return df.groupBy().count().select(F.lit(mode).alias("mode"),
+                                           F.col("count").alias("rows_written"))
+    inc_rows = tables.read_warehouse(s, inc).where(F.col("batch_id") == "002")
+    full_rows = tables.read_warehouse(s, full)
+    return (dirs(created, "incremental_append").unionByName(dirs(rewritten, "full_rewrite"))
+            .join(rows(inc_rows, "incremental_append").unionByName(rows(full_rows, "full_rewrite")),
+                  "mode"))

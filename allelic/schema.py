@@ -32,6 +32,14 @@ CALL_COLUMNS = [f.name for f in CALLS.fields]
 # gene / significance predicates reach the Parquet scan as pushed filters.
 DERIVED_ANNOTATIONS = ["gene_symbol", "clinical_significance"]
 
+# The partitioned warehouse: calls + materialised annotations + batch id.
+# Declared so partition values keep their text type ('001' stays '001').
+WAREHOUSE = T.StructType(CALLS.fields + [
+    T.StructField("gene_symbol", T.StringType()),
+    T.StructField("clinical_significance", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+])
+
 PERSON = T.StructType([
     T.StructField("person_id", T.LongType()),
     T.StructField("gender_concept_id", T.IntegerType()),
