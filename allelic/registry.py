@@ -274,3 +274,14 @@ def _q_n1_counts(s, d):
     return (dirs(created, "incremental_append").unionByName(dirs(rewritten, "full_rewrite"))
             .join(rows(inc_rows, "incremental_append").unionByName(rows(full_rows, "full_rewrite")),
                   "mode"))
+
+
+# --- C20, K1, K2 --------------------------------------------------------------------
+from allelic.operators import synth, validation  # noqa: E402
+
+register("validate_cohort")(lambda s, d: validation.validate_cohort(
+    _calls(s, d), fx.person(s, d), fx.condition_occurrence(s, d), T_CONTIG, T_START))
+register("synthetic_calls")(lambda s, d: synth.synthetic_calls(_calls(s, d)))
+register("synthetic_person")(lambda s, d: synth.synthetic_person(fx.table(s, d, "customer")))
+register("synthetic_conditions")(lambda s, d: synth.synthetic_conditions(
+    _calls(s, d), synth.synthetic_person(fx.table(s, d, "customer"))))
