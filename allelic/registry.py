@@ -285,3 +285,10 @@ register("synthetic_calls")(lambda s, d: synth.synthetic_calls(_calls(s, d)))
 register("synthetic_person")(lambda s, d: synth.synthetic_person(fx.table(s, d, "customer")))
 register("synthetic_conditions")(lambda s, d: synth.synthetic_conditions(
     _calls(s, d), synth.synthetic_person(fx.table(s, d, "customer"))))
+
+
+@register("calls_to_vcf")
+def _q_calls_to_vcf(s, d):
+    """VCF text lines (headers and site lines) of every shard (K3)."""
+    from allelic.sinks.vcf import vcf_lines
+    return vcf_lines(_calls(s, d)).select("reference_name", "bucket", "k0", "k1", "line")
