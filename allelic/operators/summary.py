@@ -1,8 +1,9 @@
 """Ingest summary (C19) and per-partition file statistics.
 
-The summary is one pass with GROUPING SETS: Spark expands each row once per
-set and partially aggregates before the shuffle, instead of scanning the
-table three times.
+The summary first collapses calls to (contig, genotype, sample) counts, one
+partial + final aggregate whose output is bounded by contigs x genotypes x
+samples, not by the number of calls.  GROUPING SETS then run over that small
+table: the 4-way expand and the distinct-sample count never touch raw calls.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ _LEVELS = {3: "reference_name", 5: "genotype", 6: "sample_id", 7: "total"}
 def ingest_summary(calls: DataFrame) -> DataFrame:
     """Rows: (level, key, calls, distinct_samples) for the total, each
     contig, each genotype and each sample."""
-    g = calls.groupingSets(
+    pre = (calls.groupBy("reference_name", "genotype", "sample_id")
+                .agg(F.count(F.lit(1)).alias("n")))
+    g = pre.groupingSets(
         [["reference_name"], ["genotype"], ["sample_id"], []],
         "reference_name", "genotype", "sample_id",
     ).agg(
-        F.count(F.lit(1)).alias("calls"),
+        F.sum("n").alias("calls"),
         F.countDistinct("sample_id").alias("distinct_samples"),
         F.grouping_id().alias("gid"),
     )

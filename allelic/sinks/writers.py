@@ -5,10 +5,13 @@ batch_id=<id>/``.  Appending a batch only writes that batch's directories;
 with dynamic partition overwrite a replayed batch id replaces exactly its
 own directories, so re-running a batch is idempotent.
 
-Rows are spread over write tasks by (contig, position bucket), not by
-contig alone, so a contig holding a third of all calls is still written by
-many tasks; each task sorts its rows by (start, sample_id) so Parquet
-row-group min/max statistics on ``start`` make point lookups skip data.
+Rows are range-partitioned on (contig, start, sample_id) before the write:
+the boundaries come from a sample of the data, so a contig holding a third
+of all calls (or a single hot position) is split over many tasks, and the
+task count follows the data volume (``spark.sql.shuffle.partitions`` with
+AQE coalescing).  Each task's rows are sorted by (start, sample_id), so the
+Parquet row-group min/max statistics on ``start`` let point lookups skip
+data, and ``maxRecordsPerFile`` bounds file size.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from allelic.functions.genotype import with_annotations
 from allelic.schema import CALL_COLUMNS, DERIVED_ANNOTATIONS
 
-WRITE_BUCKET = 1_000_000  # bp per write bucket
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -37,32 +40,35 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def layout(calls: DataFrame, bucket_bp: int = WRITE_BUCKET) -> DataFrame:
-    """Distribute by (contig, position bucket), sort by position within."""
-    bucket = F.floor(F.col("start") / F.lit(bucket_bp))
-    return (calls.repartition(F.col("reference_name"), bucket)
-                 .sortWithinPartitions("reference_name", "start", "sample_id"))
+def layout(calls: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Range-distribute by (contig, start, sample_id), sort within tasks."""
+    keys = ["reference_name", "start", "sample_id"]
+    df = calls.repartitionByRange(partitions, *keys) if partitions else \
+        calls.repartitionByRange(*keys)
+    return df.sortWithinPartitions(*keys)
 
 
 def write_batch(calls: DataFrame, root: str, batch_id: str | None = None,
-                bucket_bp: int = WRITE_BUCKET) -> str:
+                partitions: int | None = None) -> str:
     """Partition-aligned append of one batch (``batch_id`` column or value).
     Gene symbol and significance are materialised next to ``attributes`` so
     their predicates are pushed into the Parquet scan."""
     df = calls if batch_id is None else calls.withColumn("batch_id", F.lit(batch_id))
     df = with_annotations(df).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id")
-    (layout(df, bucket_bp).write.mode("overwrite")
+    (layout(df, partitions).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("compression", "snappy")
         .partitionBy("reference_name", "batch_id").parquet(root))
     return root
 
 
-def rewrite_all(calls: DataFrame, root: str, bucket_bp: int = WRITE_BUCKET) -> str:
+def rewrite_all(calls: DataFrame, root: str, partitions: int | None = None) -> str:
     """The naive alternative to an append: rewrite every partition."""
     df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id")
-    (layout(df, bucket_bp).write.mode("overwrite")
+    (layout(df, partitions).write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("compression", "snappy")
         .partitionBy("reference_name", "batch_id").parquet(root))
     return root
