@@ -99,8 +99,27 @@ def info_to_json(info: Column) -> Column:
     return F.to_json(F.map_from_entries(last))
 
 
-def _format_value(kv: Column, key: str) -> Column:
-    return F.try_element_at(F.filter(kv, lambda x: x["k"] == key), F.lit(-1))["v"]
+FORMAT_KEYS = ["GT", "DP", "GQ", "AD"]
+
+
+def _last_pos(fmt: Column, key: str) -> Column:
+    """1-based position of the last ``key`` in the FORMAT keys, 0 if absent
+    (computed once per line)."""
+    r = F.array_position(F.reverse(fmt), F.lit(key))
+    return F.when(r > 0, F.size(fmt) - r + 1).otherwise(F.lit(0)).cast("int")
+
+
+def _format_value(fmt: Column, pos: Column, sf: Column, key: str) -> Column:
+    """Value of ``key`` for one sample: FORMAT keys zipped with the sample's
+    fields, truncated to the shorter, last duplicate wins.  Fast path: the
+    last occurrence lies inside the sample's fields, so it is the answer.
+    Otherwise (truncated duplicate) search the truncated zip."""
+    n = F.least(F.size(fmt), F.size(sf))
+    zipped = F.zip_with(F.slice(fmt, 1, n), F.slice(sf, 1, n),
+                        lambda k, v: F.named_struct(F.lit("k"), k, F.lit("v"), v))
+    slow = F.try_element_at(F.filter(zipped, lambda x: x["k"] == key), F.lit(-1))["v"]
+    return (F.when((pos > 0) & (pos <= F.size(sf)), F.try_element_at(sf, pos))
+             .when(pos > 0, slow))
 
 
 def _digits_or_zero(v: Column) -> Column:
@@ -144,33 +163,46 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
         info_to_json(F.col("f")[7]).alias("attributes"),
         F.split(F.col("f")[8], ":").alias("fmt"),
     ]
+    line_cols = site_cols + [_last_pos(F.split(F.col("f")[8], ":"), k).alias(f"p_{k}")
+                             for k in FORMAT_KEYS]
+    # The generator emits only the sample's own cell: the line's field array
+    # is not carried into every exploded row (that would copy it n times).
     if broadcast_header:
         j = body.join(F.broadcast(hdr), "file")
         j = j.where(F.size("f") >= F.size("samples") + 9)
-        calls = j.select("f", *extra, *site_cols,
-                         F.posexplode("samples").alias("idx", "sample_id"))
+        cells = F.zip_with("samples", F.slice("f", 10, F.size("samples")),
+                           lambda sm, c: F.named_struct(F.lit("s"), sm, F.lit("c"), c))
+        # Line-level columns are projected before the explode; expressions
+        # next to a generator in one select would be evaluated per output row.
+        per_line = j.select(*extra, *line_cols, cells.alias("cells"))
+        keep = [c for c in per_line.columns if c != "cells"]
+        calls = (per_line.select(*keep, F.explode("cells").alias("cell"))
+                 .select(*keep, F.col("cell")["s"].alias("sample_id"),
+                         F.col("cell")["c"].alias("c")))
     else:
         # One (file, count) row per file: bounded by the file count.
         n = hdr.select("file", F.size("samples").alias("n_samples"))
         j = body.join(F.broadcast(n), "file").where(F.size("f") >= F.col("n_samples") + 9)
-        calls = j.select("file", "f", *extra, *site_cols,
-                         F.explode(F.sequence(F.lit(0), F.col("n_samples") - 1)).alias("idx"))
+        per_line = j.select("file", *extra, *line_cols,
+                            F.slice("f", 10, F.col("n_samples")).alias("cells"))
+        keep = [c for c in per_line.columns if c != "cells"]
+        calls = per_line.select(*keep, F.posexplode("cells").alias("idx", "c"))
         names = hdr.select("file", F.posexplode("samples").alias("idx", "sample_id"))
         calls = calls.join(names, ["file", "idx"])
-    sf = F.split(F.element_at(F.col("f"), F.col("idx") + 10), ":")
-    n_kv = F.least(F.size("fmt"), F.size(sf))
-    kv = F.zip_with(F.slice("fmt", 1, n_kv), F.slice(sf, 1, n_kv),
-                    lambda k, v: F.named_struct(F.lit("k"), k, F.lit("v"), v))
-    calls = calls.withColumn("kv", kv)
+    sf = F.split(F.col("c"), ":")
+    calls = calls.withColumn("sf", sf)
+
+    def val(k):
+        return _format_value(F.col("fmt"), F.col(f"p_{k}"), F.col("sf"), k)
     out = calls.select(
         "reference_name", "start",
         (F.col("start") + F.length("reference_bases") - 1).alias("end_pos"),
         "reference_bases", "alternate_bases", "sample_id",
-        F.coalesce(_format_value(F.col("kv"), "GT"), F.lit("./.")).alias("genotype"),
+        F.coalesce(val("GT"), F.lit("./.")).alias("genotype"),
         "qual", "filter",
-        _digits_or_zero(_format_value(F.col("kv"), "DP")).alias("dp"),
-        _digits_or_zero(_format_value(F.col("kv"), "GQ")).alias("gq"),
-        F.coalesce(_format_value(F.col("kv"), "AD"), F.lit("")).alias("allele_depth"),
+        _digits_or_zero(val("DP")).alias("dp"),
+        _digits_or_zero(val("GQ")).alias("gq"),
+        F.coalesce(val("AD"), F.lit("")).alias("allele_depth"),
         "attributes",
         F.lit(cohort_id).alias("cohort_id"),
         F.lit(engine).alias("engine"),
