@@ -6,10 +6,15 @@ of the sample list yields one row per (site, sample) -> FORMAT/INFO parsed
 with built-in array / map expressions.  No Python runs per row.
 
 Header join: the header side holds one row per file with that file's
-samples.  Its size is measured first (one small aggregate: files x samples);
-under ``max_broadcast_samples`` it is broadcast, otherwise headers are
-exploded to (file, index, sample) and joined on (file, index) after the body
-is exploded, a balanced shuffle join with no per-file hot key.
+samples.  Headers sit at the start of each file, so they are read from the
+file prefixes only (one small task per group of files, ``mapInPandas`` over
+the file list); the body scan is the only full pass over the text.  When
+the filesystem cannot be opened from Python, the headers come from the
+``#CHROM`` lines of the full scan instead.  The header size (files x
+samples) is measured first; under ``max_broadcast_samples`` it is
+broadcast, otherwise headers are exploded to (file, index, sample) and
+joined on (file, index) after the body is exploded, a balanced shuffle join
+with no per-file hot key.
 
 Semantics (fixed by the reference parser): lines are stripped; blank and
 ``#`` lines skipped; body lines with fewer than 9 + n_samples fields are
@@ -46,15 +51,62 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"VCF file not found: {paths}") from e
         raise
-    return raw.select(F.col("_metadata.file_path").alias("file"),
+    return raw.select(path_key(F.col("_metadata.file_path")).alias("file"),
                       F.regexp_replace("value", _WS, "").alias("line"))
 
 
+def path_key(c: Column) -> Column:
+    """File identity without the URI scheme (``file:///x`` == ``file:/x``)."""
+    return F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+
+
+def _read_header_prefixes(batches):
+    """mapInPandas body: for each file URI read lines up to ``#CHROM``."""
+    import gzip
+    import io
+
+    import pandas as pd
+    import pyarrow.fs as pfs
+    for pdf in batches:
+        samples, found = [], []
+        for uri in pdf["uri"]:
+            fs, path = pfs.FileSystem.from_uri(uri)
+            got = None
+            with fs.open_input_stream(path, compression=None) as raw:
+                stream = gzip.GzipFile(fileobj=raw) if uri.endswith(".gz") else raw
+                for line in io.TextIOWrapper(stream, encoding="utf-8"):
+                    line = line.strip()
+                    if line.startswith("#CHROM"):
+                        parts = line.split("\t")
+                        got = parts[9:] if len(parts) > 9 else []
+                        break
+            samples.append(got if got is not None else [])
+            found.append(got is not None)
+        yield pd.DataFrame({"uri": pdf["uri"], "samples": samples, "found": found})
+
+
+def _prefix_readable(uri: str) -> bool:
+    try:
+        import pyarrow.fs as pfs
+        pfs.FileSystem.from_uri(uri)
+        return True
+    except Exception:  # noqa: BLE001 - unsupported scheme / missing driver
+        return False
+
+
+def header_prefixes(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """(file, samples, found): one row per file, from the file prefixes."""
+    files = spark.createDataFrame([(u,) for u in uris], "uri string")
+    n = max(1, min(len(uris), spark.sparkContext.defaultParallelism))
+    h = files.repartition(n).mapInPandas(
+        _read_header_prefixes, "uri string, samples array<string>, found boolean")
+    return h.select(path_key(F.col("uri")).alias("file"), "samples", "found")
+
+
 def _norm(p: str) -> str:
-    for pre in ("file://", "file:"):
-        if p.startswith(pre):
-            p = p[len(pre):]
-    return "/" + p.lstrip("/")
+    """Python twin of ``path_key``."""
+    import re
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", p)
 
 
 def header_samples(lines: DataFrame) -> DataFrame:
@@ -71,8 +123,8 @@ def vcf_samples(spark: SparkSession, paths) -> DataFrame:
     """(file, sample_index, sample_id) for every file; raises ValueError when
     a file has no ``#CHROM`` header."""
     lines = read_lines(spark, paths)
-    hdr = header_samples(lines)
-    _check_headers(spark, paths, hdr)
+    inputs = spark.read.text(_as_list(paths)).inputFiles()
+    hdr, _ = resolve_headers(spark, paths, lines, inputs, True)
     return hdr.select("file", F.posexplode("samples").alias("sample_index", "sample_id"))
 
 
@@ -126,6 +178,23 @@ def _digits_or_zero(v: Column) -> Column:
     return F.when(v.rlike("^[0-9]+$"), F.coalesce(v.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
 
 
+def resolve_headers(spark: SparkSession, paths, lines: DataFrame, inputs: list[str],
+                    validate: bool = True, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES):
+    """(header frame, files x samples).  One collected row per file."""
+    if inputs and _prefix_readable(inputs[0]):
+        hdr = header_prefixes(spark, inputs)
+        rows = hdr.select("file", "found", F.size("samples").alias("n")).collect()
+        missing = sorted(r["file"] for r in rows if not r["found"])
+        if missing and validate:
+            raise ValueError(f"Invalid VCF: No '#CHROM' header found in {missing[:5]}")
+        return hdr.where(F.col("found")).select("file", "samples"), sum(r["n"] for r in rows)
+    hdr = header_samples(lines)
+    if validate:
+        rows = _check_headers(spark, paths, hdr)
+        return hdr, sum(r["n"] for r in rows)
+    return hdr, max_broadcast_samples + 1
+
+
 def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
              engine: str = DEFAULT_ENGINE, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES,
              validate_headers: bool = True, repartition_compressed: bool = True) -> DataFrame:
@@ -135,12 +204,8 @@ def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
     if repartition_compressed and any(p.endswith((".gz", ".bgz")) for p in inputs):
         # A gzip file is one input split: spread its lines before exploding.
         lines = lines.repartition(spark.sparkContext.defaultParallelism * 2)
-    hdr = header_samples(lines)
-    if validate_headers:
-        rows = _check_headers(spark, paths, hdr)
-        total = sum(r["n"] for r in rows)
-    else:
-        total = max_broadcast_samples + 1
+    hdr, total = resolve_headers(spark, paths, lines, inputs, validate_headers,
+                                 max_broadcast_samples)
     return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine)
 
 
