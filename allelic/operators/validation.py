@@ -25,15 +25,19 @@ def validate_cohort(calls: DataFrame, person: DataFrame, conditions: DataFrame,
                     contig: str, start: int, expected_calls: int | None = None,
                     expected_carriers: DataFrame | None = None,
                     concept: int = TARGET_PHENOTYPE) -> DataFrame:
-    n = calls.agg(F.count(F.lit(1)).alias("n"))
-    checks = [_row(n, "calls_loaded",
-                   (F.col("n") == F.lit(expected_calls)) if expected_calls is not None
-                   else (F.col("n") > 0),
-                   F.concat(F.lit("calls="), F.col("n").cast("string")))]
-    bad = calls.agg(F.count(F.when(~F.col("genotype").rlike(GENOTYPE_PATTERN)
-                                   | F.col("genotype").isNull(), 1)).alias("m"))
-    checks.append(_row(bad, "genotype_format", F.col("m") == 0,
-                       F.concat(F.lit("malformed="), F.col("m").cast("string"))))
+    # The two whole-table checks share one scan: one aggregate, two rows.
+    whole = calls.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(~F.col("genotype").rlike(GENOTYPE_PATTERN)
+                       | F.col("genotype").isNull(), 1)).alias("m"))
+    loaded = ((F.col("n") == F.lit(expected_calls)) if expected_calls is not None
+              else (F.col("n") > 0))
+    checks = [whole.select(F.explode(F.array(
+        F.struct(F.lit("calls_loaded").alias("check"), loaded.alias("passed"),
+                 F.concat(F.lit("calls="), F.col("n").cast("string")).alias("detail")),
+        F.struct(F.lit("genotype_format").alias("check"), (F.col("m") == 0).alias("passed"),
+                 F.concat(F.lit("malformed="), F.col("m").cast("string")).alias("detail")),
+    )).alias("r")).select("r.check", "r.passed", "r.detail")]
     tc = target_carriers(calls, contig, start).select("sample_id").distinct()
     if expected_carriers is not None:
         e = expected_carriers.select("sample_id").distinct()

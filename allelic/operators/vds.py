@@ -1,6 +1,10 @@
 """Sparse split layout (B5, A8): variant rows with INFO, reference rows
 without, and the inverse view back to calls.
 
+The export is one pass over the calls: both tables are written by a single
+job as ``table=variant_data`` / ``table=reference_data`` partitions of the
+export folder (reference rows carry no INFO), so the input is read once.
+
 Default mode keeps every original call: only ``0/0`` goes to reference
 data, everything else (carriers, ``./.``, phased or multi-allelic calls)
 stays in variant data with its genotype.  ``compat=True`` reproduces the
@@ -18,6 +22,7 @@ from allelic.functions.genotype import is_carrier
 from allelic.schema import CALL_COLUMNS
 
 VDS_VERSION, GENOME = "v1.0", "GRCh38"
+VARIANT_TABLE, REFERENCE_TABLE = "variant_data", "reference_data"
 
 
 def _base(calls: DataFrame) -> DataFrame:
@@ -44,23 +49,29 @@ def split_vds(calls: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFr
 
 
 def write_vds(spark: SparkSession, calls: DataFrame, path: str, compat: bool = False) -> dict:
+    """Write both tables in one job and a small metadata record beside them."""
     var, ref = split_vds(calls, compat)
-    var.write.mode("overwrite").parquet(f"{path}/variant_data")
-    ref.write.mode("overwrite").parquet(f"{path}/reference_data")
-    meta = vds_counts(spark, path)
-    row = meta.first()
+    both = (var.withColumn("table", F.lit(VARIANT_TABLE))
+            .unionByName(ref.withColumn("info", F.lit(None).cast("string"))
+                            .withColumn("table", F.lit(REFERENCE_TABLE))))
+    both.write.mode("overwrite").partitionBy("table").parquet(path)
+    row = vds_counts(spark, path).first()
     info = {"version": VDS_VERSION, "reference_genome": GENOME,
             "variant_data_rows": row["variant_rows"], "reference_data_rows": row["reference_rows"]}
     spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path}/vds_metadata")
+        .write.mode("overwrite").text(f"{path}/_vds_metadata")
     return info
 
 
+def table_path(path: str, table: str) -> str:
+    return f"{path}/table={table}"
+
+
 def vds_counts(spark: SparkSession, path: str) -> DataFrame:
-    v = spark.read.parquet(f"{path}/variant_data").select(F.lit(1).alias("v"), F.lit(0).alias("r"))
-    r = spark.read.parquet(f"{path}/reference_data").select(F.lit(0).alias("v"), F.lit(1).alias("r"))
-    return v.unionByName(r).agg(F.coalesce(F.sum("v"), F.lit(0)).cast("long").alias("variant_rows"),
-                                F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("reference_rows"))
+    """(variant_rows, reference_rows) in one scan of the export."""
+    t = spark.read.parquet(path).select("table")
+    return t.agg(F.count(F.when(F.col("table") == VARIANT_TABLE, 1)).alias("variant_rows"),
+                 F.count(F.when(F.col("table") == REFERENCE_TABLE, 1)).alias("reference_rows"))
 
 
 def vds_to_calls(variant_data: DataFrame, reference_data: DataFrame) -> DataFrame:

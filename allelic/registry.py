@@ -186,7 +186,7 @@ def _vds(s, d):
 
 @register("vds_variant_data")
 def _q_vds_variant_data(s, d):
-    v = tables.read_variant_data(s, f"{_vds(s, d)}/variant_data")
+    v = tables.read_variant_data(s, _vds(s, d))
     return v.select("locus_contig", "locus_position", F.array_join("alleles", ",").alias("alleles"),
                     "sample_id", "call", "dp", "gq",
                     F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("ad"),
@@ -195,7 +195,7 @@ def _q_vds_variant_data(s, d):
 
 @register("vds_reference_data")
 def _q_vds_reference_data(s, d):
-    r = tables.read_reference_data(s, f"{_vds(s, d)}/reference_data")
+    r = tables.read_reference_data(s, _vds(s, d))
     return r.select("locus_contig", "locus_position", F.array_join("alleles", ",").alias("alleles"),
                     "sample_id", "call", "dp", "gq",
                     F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("ad"))
@@ -213,8 +213,8 @@ _PARITY_COLS = ["reference_name", "start", "end_pos", "reference_bases", "altern
 @register("vds_to_calls")
 def _q_vds_to_calls(s, d):
     p = _vds(s, d)
-    return vds_ops.vds_to_calls(tables.read_variant_data(s, f"{p}/variant_data"),
-                                tables.read_reference_data(s, f"{p}/reference_data")) \
+    return vds_ops.vds_to_calls(tables.read_variant_data(s, p),
+                                tables.read_reference_data(s, p)) \
         .select(*_PARITY_COLS, "attributes")
 
 
@@ -222,8 +222,8 @@ def _q_vds_to_calls(s, d):
 def _q_layout_parity(s, d):
     wh = tables.read_warehouse(s, _warehouse(s, d)).select(*_PARITY_COLS)
     p = _vds(s, d)
-    back = vds_ops.vds_to_calls(tables.read_variant_data(s, f"{p}/variant_data"),
-                                tables.read_reference_data(s, f"{p}/reference_data"))
+    back = vds_ops.vds_to_calls(tables.read_variant_data(s, p),
+                                tables.read_reference_data(s, p))
     return diff_counts(wh, back.select(*_PARITY_COLS))
 
 

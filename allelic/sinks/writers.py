@@ -49,7 +49,7 @@ def layout(calls: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def write_batch(calls: DataFrame, root: str, batch_id: str | None = None,
-                partitions: int | None = None) -> str:
+                partitions: int | None = None, stats: bool = False) -> str:
     """Partition-aligned append of one batch (``batch_id`` column or value).
     Gene symbol and significance are materialised next to ``attributes`` so
     their predicates are pushed into the Parquet scan."""
@@ -60,9 +60,34 @@ def write_batch(calls: DataFrame, root: str, batch_id: str | None = None,
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("compression", "snappy")
         .partitionBy("reference_name", "batch_id").parquet(root))
+    if stats:
+        ids = [batch_id] if batch_id is not None else None
+        write_batch_stats(calls.sparkSession, root, ids)
     return root
 
 
+STATS_DIR = "_stats"  # leading underscore: skipped by table readers
+
+
+def write_batch_stats(spark, root: str, batch_ids: list[str] | None = None) -> str:
+    """Per data file of the given batches: record count, start range and
+    sample_id range, written to ``<root>/_stats/batch_id=<id>/``.  Reads only
+    the written batch's files (partition pruning) and four columns."""
+    from allelic.sources.tables import read_warehouse
+    wh = read_warehouse(spark, root)
+    if batch_ids is not None:
+        wh = wh.where(F.col("batch_id").isin(batch_ids))
+    st = (wh.groupBy("batch_id", "reference_name", F.col("_metadata.file_path").alias("file"))
+            .agg(F.count(F.lit(1)).alias("num_records"),
+                 F.min("start").alias("min_start"), F.max("start").alias("max_start"),
+                 F.min("sample_id").alias("min_sample_id"),
+                 F.max("sample_id").alias("max_sample_id")))
+    out = f"{root}/{STATS_DIR}"
+    (st.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(out))
+    return out
+
+
 def rewrite_all(calls: DataFrame, root: str, partitions: int | None = None) -> str:
     """The naive alternative to an append: rewrite every partition."""
     df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id")

@@ -31,12 +31,14 @@ def read_conditions_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONDITION).option("header", True).csv(path)
 
 
-def read_variant_data(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VARIANT_DATA).parquet(path)
+def read_variant_data(spark: SparkSession, vds_path: str) -> DataFrame:
+    """Variant rows of a split export folder."""
+    return spark.read.schema(VARIANT_DATA).parquet(f"{vds_path}/table=variant_data")
 
 
-def read_reference_data(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REFERENCE_DATA).parquet(path)
+def read_reference_data(spark: SparkSession, vds_path: str) -> DataFrame:
+    """Reference rows of a split export folder (no INFO column)."""
+    return spark.read.schema(REFERENCE_DATA).parquet(f"{vds_path}/table=reference_data")
 
 
 def read_warehouse(spark: SparkSession, root: str) -> DataFrame:

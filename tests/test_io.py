@@ -65,3 +65,15 @@ def test_synthetic_calls_distribution_and_determinism(spark):
     assert 0.15 < hom < 0.25 and 0.30 < het < 0.40
     bad = a.where((F.col("genotype") == "0/1") & ~F.col("dp").between(28, 65)).count()
     assert bad == 0
+
+
+def test_batch_stats_beside_batch(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "wh_stats")
+    calls = fx.variants(spark, SF_SMALL, with_batch=True)
+    b1 = calls.where(F.col("batch_id") == "001").drop("batch_id")
+    writers.write_batch(b1, root, batch_id="001", stats=True)
+    st = spark.read.parquet(os.path.join(root, "_stats"))
+    assert st.groupBy().sum("num_records").first()[0] == b1.count()
+    assert st.where(F.col("min_start") > F.col("max_start")).count() == 0
+    # the stats folder is invisible to table reads
+    assert tables.read_warehouse(spark, root).count() == b1.count()
