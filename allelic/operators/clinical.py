@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import clnsig_col, gene_col, is_carrier, optional_eq
+from allelic.plans.joins import MAX_BROADCAST_ROWS, join_dimension
 
 # Fixed label values.
 GENDER_LABELS = {8507: "MALE", 8532: "FEMALE"}
@@ -73,13 +74,15 @@ def omop_join_plain(calls: DataFrame, person: DataFrame, conditions: DataFrame,
 
 
 def calls_with_demographics(calls: DataFrame, person: DataFrame, contig: str | None = "chr21",
-                            limit: int | None = None) -> DataFrame:
-    """Calls on a contig with the carrier's demographics (inner equi-join on
-    sample_id: both sides shuffle on the key unless AQE sees a small side)."""
+                            limit: int | None = None,
+                            max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Calls on a contig with the participant's demographics.  Person is a
+    dimension (one row per sample): broadcast after a row-count check, else
+    a salted shuffle join so one hot sample does not land in one task."""
     v = calls.where(optional_eq("reference_name", contig)).select("reference_name", "start",
                                                                    "sample_id")
     p = person.select("sample_id", "gender_concept_id", "year_of_birth")
-    j = (v.join(p, "sample_id")
+    j = (join_dimension(v, p, "sample_id", "inner", max_broadcast_rows)
           .select("reference_name", "start", "sample_id", "gender_concept_id", "year_of_birth"))
     if limit:
         j = j.orderBy("start", "sample_id").limit(limit)
