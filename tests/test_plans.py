@@ -85,11 +85,16 @@ def test_dimension_join_broadcast_and_salted_paths(spark):
     small = clinical.calls_with_demographics(skewed, person, contig=None)
     assert "BroadcastHashJoin" in plan(small)
     salted = clinical.calls_with_demographics(skewed, person, contig=None, max_broadcast_rows=0)
-    p = plan(salted)
-    # initial plan: a shuffle join on (sample_id, _salt); AQE may still pick a
-    # broadcast at runtime when the replicated side turns out small
-    assert "_salt" in p and "SortMergeJoin" in p
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(salted)
+        # a shuffle join on (sample_id, _salt)
+        assert "SortMergeJoin [sample_id" in p and "_salt" in p
+        got = sorted(map(tuple, salted.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(map(tuple, small.collect())) == got
     # the hot sample's rows are spread over many salt values
     hot = (skewed.where(F.col("sample_id") == "sample_000001")
            .select(F.pmod(F.xxhash64(*[F.col(c) for c in ["reference_name", "start", "sample_id"]]),
