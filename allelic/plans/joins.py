@@ -1,13 +1,21 @@
-"""Fact-to-dimension joins with a checked broadcast and a salted fallback.
+"""Fact-to-dimension joins with a checked broadcast and a skew-aware fallback.
 
 A dimension (one row per participant, per site, ...) is broadcast only after
 its row count is measured (one cheap aggregate over the dimension) and found
-under ``max_broadcast_rows``.  Beyond that the join is a shuffle join in
-which every fact row gets a deterministic salt in [0, buckets) and the
-dimension is replicated once per salt value.  A hot key (one sample with a
-third of all calls) is therefore spread over ``buckets`` tasks instead of
-one.  The replicated side is dimension rows x buckets, a bound that does not
-grow with the fact table.
+under ``max_broadcast_rows``.
+
+Beyond that the join is a shuffle join that salts only the hot keys:
+
+1. one partially-aggregated count over the fact side finds the keys with at
+   least ``hot_rows`` rows.  There are at most rows / hot_rows of them, and
+   that count is checked before the set is broadcast.
+2. fact rows of a hot key get a deterministic salt in [0, buckets) (a hash of
+   the row, so retries give the same salt); all other rows get salt 0.
+3. dimension rows of a hot key are replicated once per salt value; all
+   others appear once.
+
+A key holding a third of all calls is therefore spread over ``buckets``
+tasks.  Only hot keys' dimension rows are replicated.
 """
 
 from __future__ import annotations
@@ -16,18 +24,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 SALT_BUCKETS = 32
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    return (fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") >= hot_rows).select(*keys))
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
                    buckets: int = SALT_BUCKETS) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"fact-side join type expected, got {how}")
     if dim.count() <= max_broadcast_rows:
         return fact.join(F.broadcast(dim), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")
-    f = fact.withColumn("_salt", salt)
-    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    hot = hot_keys(fact, keys, hot_rows)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return fact.join(dim, keys, how)
+    if n_hot > MAX_HOT_KEYS:
+        raise ValueError(f"{n_hot} hot keys: raise hot_rows (now {hot_rows})")
+    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    f = (fact.join(flag, keys, "left")
+             .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))
+                         .otherwise(F.lit(0)).cast("int"))
+             .drop("_hot"))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))) \
+        .otherwise(F.array(F.lit(0)))
+    d = (dim.join(flag, keys, "left")
+            .withColumn("_salt", F.explode(copies)).drop("_hot"))
     return f.join(d, keys + ["_salt"], how).drop("_salt")

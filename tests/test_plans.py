@@ -84,7 +84,11 @@ def test_dimension_join_broadcast_and_salted_paths(spark):
     person = fx.person(spark, SF_SMALL)
     small = clinical.calls_with_demographics(skewed, person, contig=None)
     assert "BroadcastHashJoin" in plan(small)
-    salted = clinical.calls_with_demographics(skewed, person, contig=None, max_broadcast_rows=0)
+    from allelic.plans.joins import join_dimension
+    v = skewed.select("reference_name", "start", "sample_id")
+    p_dim = person.select("sample_id", "gender_concept_id", "year_of_birth")
+    salted = join_dimension(v, p_dim, "sample_id", max_broadcast_rows=0, hot_rows=1000) \
+        .select("reference_name", "start", "sample_id", "gender_concept_id", "year_of_birth")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
