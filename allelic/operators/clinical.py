@@ -1,11 +1,13 @@
 """Genotype-phenotype joins against OMOP person / condition_occurrence
 (C7, C8, C12).
 
-Join strategy is left to AQE: the carrier side at one locus is at most one
-row per sample, but that still grows with the cohort, so no unconditional
-broadcast hint is given.  AQE re-plans to a broadcast hash join at runtime
-when the measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-and keeps a sort-merge join otherwise.
+C7/C8: the carriers at one locus are at most one row per sample. That bound
+grows with the cohort, so it is checked: they are counted (one pruned scan of
+a single locus).  Under ``max_broadcast_rows`` the carriers are broadcast
+into the person join, and their person ids are broadcast into a left-semi
+filter of condition_occurrence.  Only the carriers' conditions reach the
+final left join, and the large condition table is never shuffled.  Over the
+limit the same joins run as shuffle joins chosen by AQE.
 """
 
 from __future__ import annotations
@@ -47,12 +49,25 @@ def target_carriers(calls: DataFrame, contig: str, start: int) -> DataFrame:
                      clnsig_col(df).alias("clinical_significance"))
 
 
-def omop_phenotype_join(calls: DataFrame, person: DataFrame, conditions: DataFrame,
-                        contig: str = "chr21", start: int = 25891796) -> DataFrame:
+def _carrier_persons_and_conditions(calls, person, conditions, contig, start, person_cols,
+                                    max_broadcast_rows):
     tc = target_carriers(calls, contig, start)
-    p = person.select("person_id", "sample_id", "year_of_birth", "gender_concept_id")
+    p = person.select(*person_cols)
     co = conditions.select("person_id", "condition_concept_id", "condition_start_date")
-    j = p.join(tc, "sample_id").join(co, "person_id", "left")
+    if tc.count() <= max_broadcast_rows:
+        pc = p.join(F.broadcast(tc), "sample_id")
+        co = co.join(F.broadcast(pc.select("person_id").distinct()), "person_id", "left_semi")
+    else:
+        pc = p.join(tc, "sample_id")
+    return pc.join(co, "person_id", "left")
+
+
+def omop_phenotype_join(calls: DataFrame, person: DataFrame, conditions: DataFrame,
+                        contig: str = "chr21", start: int = 25891796,
+                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    j = _carrier_persons_and_conditions(
+        calls, person, conditions, contig, start,
+        ["person_id", "sample_id", "year_of_birth", "gender_concept_id"], max_broadcast_rows)
     return j.select(
         "person_id", "sample_id", "year_of_birth",
         gender_label().alias("gender"),
@@ -63,14 +78,14 @@ def omop_phenotype_join(calls: DataFrame, person: DataFrame, conditions: DataFra
 
 
 def omop_join_plain(calls: DataFrame, person: DataFrame, conditions: DataFrame,
-                    contig: str = "chr21", start: int = 25891796) -> DataFrame:
-    tc = target_carriers(calls, contig, start)
-    p = person.select("person_id", "sample_id", "year_of_birth")
-    co = conditions.select("person_id", "condition_concept_id", "condition_start_date")
-    return (p.join(tc, "sample_id").join(co, "person_id", "left")
-             .select("person_id", "sample_id", "year_of_birth", "gene_symbol",
-                     "clinical_significance", "genotype", "condition_concept_id",
-                     "condition_start_date"))
+                    contig: str = "chr21", start: int = 25891796,
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    j = _carrier_persons_and_conditions(
+        calls, person, conditions, contig, start,
+        ["person_id", "sample_id", "year_of_birth"], max_broadcast_rows)
+    return j.select("person_id", "sample_id", "year_of_birth", "gene_symbol",
+                    "clinical_significance", "genotype", "condition_concept_id",
+                    "condition_start_date")
 
 
 def calls_with_demographics(calls: DataFrame, person: DataFrame, contig: str | None = "chr21",

@@ -104,3 +104,15 @@ def test_dimension_join_broadcast_and_salted_paths(spark):
            .select(F.pmod(F.xxhash64(*[F.col(c) for c in ["reference_name", "start", "sample_id"]]),
                           F.lit(32)).alias("s")).distinct().count())
     assert hot > 16
+
+
+def test_omop_join_filters_conditions_before_join(spark):
+    from allelic.operators import clinical
+    calls = fx.variants(spark, SF_SMALL)
+    person, cond = fx.person(spark, SF_SMALL), fx.condition_occurrence(spark, SF_SMALL)
+    a = clinical.omop_phenotype_join(calls, person, cond, fx.TARGET_CONTIG, fx.TARGET_START)
+    assert "LeftSemi" in plan(a)
+    b = clinical.omop_phenotype_join(calls, person, cond, fx.TARGET_CONTIG, fx.TARGET_START,
+                                     max_broadcast_rows=0)
+    assert "LeftSemi" not in plan(b)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
