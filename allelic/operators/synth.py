@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import clnsig_col, gene_col, is_carrier
+from allelic.plans.joins import join_dimension
 from allelic.schema import CALL_COLUMNS
 
 # Fixed values of the generator's distributions.
@@ -83,7 +84,8 @@ def synthetic_conditions(calls: DataFrame, person: DataFrame) -> DataFrame:
     c = (calls.where(is_carrier() & (clnsig_col(calls) == "PATHOGENIC")
                      & gene_col(calls).isin(genes))
               .select("sample_id", gene_col(calls).alias("gene")).distinct())
-    j = c.join(person.select("person_id", "sample_id", "year_of_birth"), "sample_id")
+    # carriers (fact side) x person (dimension): checked broadcast / hot-key salting
+    j = join_dimension(c, person.select("person_id", "sample_id", "year_of_birth"), "sample_id")
 
     def pick(i):
         e = None

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from allelic.functions.genotype import is_carrier
 from allelic.operators.clinical import TARGET_PHENOTYPE, target_carriers
+from allelic.plans.joins import MAX_BROADCAST_ROWS
 
 GENOTYPE_PATTERN = r"^[0-9.]+[/|][0-9.]+$"
 PERSON_REQUIRED = ["person_id", "sample_id"]
@@ -24,7 +25,8 @@ def _row(agg: DataFrame, check: str, passed, detail) -> DataFrame:
 def validate_cohort(calls: DataFrame, person: DataFrame, conditions: DataFrame,
                     contig: str, start: int, expected_calls: int | None = None,
                     expected_carriers: DataFrame | None = None,
-                    concept: int = TARGET_PHENOTYPE) -> DataFrame:
+                    concept: int = TARGET_PHENOTYPE,
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     # The two whole-table checks share one scan: one aggregate, two rows.
     whole = calls.agg(
         F.count(F.lit(1)).alias("n"),
@@ -55,13 +57,21 @@ def validate_cohort(calls: DataFrame, person: DataFrame, conditions: DataFrame,
     p = person.agg(F.count(F.lit(1)).alias("p"))
     checks.append(_row(p, "person_columns", F.lit(has_cols) & (F.col("p") > 0),
                        F.concat(F.lit("persons="), F.col("p").cast("string"))))
-    un = tc.join(person.select("sample_id"), "sample_id", "left_anti").agg(
-        F.count(F.lit(1)).alias("u"))
+    # Carriers at one locus: at most one row per sample, counted before any
+    # broadcast.  Under the limit the big tables (person, conditions) are
+    # filtered by a broadcast of the carriers instead of being shuffled.
+    n_tc = tc.count()
+    small = n_tc <= max_broadcast_rows
+    tcb = F.broadcast(tc) if small else tc
+    matched = person.select("sample_id").join(tcb, "sample_id", "left_semi").distinct()
+    un = matched.agg((F.lit(n_tc) - F.count(F.lit(1))).alias("u"))
     checks.append(_row(un, "carriers_have_person", F.col("u") == 0,
                        F.concat(F.lit("unmatched="), F.col("u").cast("string"))))
-    j = (person.select("person_id", "sample_id").join(tc, "sample_id")
-         .join(conditions.select("person_id", "condition_concept_id"), "person_id", "left")
-         .agg(F.count(F.when(F.col("condition_concept_id") == concept, 1)).alias("r")))
+    pc = person.select("person_id", "sample_id").join(tcb, "sample_id")
+    co = conditions.where(F.col("condition_concept_id") == concept).select("person_id")
+    if small:
+        co = co.join(F.broadcast(pc.select("person_id").distinct()), "person_id", "left_semi")
+    j = pc.join(co, "person_id").agg(F.count(F.lit(1)).alias("r"))
     checks.append(_row(j, "concept_in_join", F.col("r") > 0,
                        F.concat(F.lit("rows="), F.col("r").cast("string"))))
     out = checks[0]

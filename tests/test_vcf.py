@@ -136,3 +136,15 @@ def test_writer_fills_missing_cells(spark, tmpdir_path):
     assert back[(20, "s2")]["genotype"] == "1/1"
     # Empty INFO is written as '.', which the reader keeps as the key '.'.
     assert json.loads(back[(10, "s1")]["attributes"]) == {".": "true"}
+
+
+def test_writer_salted_sample_list_join(spark, tmpdir_path, monkeypatch):
+    import allelic.sinks.vcf as vw
+    p = write_text(os.path.join(tmpdir_path, "g.vcf"), [
+        HDR, "chr3\t7\t.\tA\tC\t1.5\tPASS\tGENE=Q\tGT:DP:GQ:AD\t0/1:4:9:2,2\t1/1:5:9:0,5",
+        "chr3\t8\t.\tA\tC\t2.0\tPASS\tGENE=Q\tGT:DP:GQ:AD\t0/0:1:3:1,0\t0/0:2:3:2,0"])
+    calls = read_vcf(spark, p)
+    a = sorted(r["line"] for r in vw.vcf_lines(calls).collect())
+    monkeypatch.setattr(vw, "MAX_BROADCAST_SAMPLES", 0)
+    b = sorted(r["line"] for r in vw.vcf_lines(calls).collect())
+    assert a == b and len(a) == len(vw.META_LINES) + 1 + 2
