@@ -244,7 +244,7 @@ def _q_n1_incremental(s, d):
     for b in ("001", "002"):
         write_vcf(calls.where(F.col("batch_id") == b).drop("batch_id"), f"{src}/batch_{b}")
     root = scratch_path(s, "n1_table")
-    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=8)
+    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=32)
     return tables.read_warehouse(s, root).select(*CALL_COLUMNS, "batch_id")
 
 
