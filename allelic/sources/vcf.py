@@ -197,16 +197,22 @@ def resolve_headers(spark: SparkSession, paths, lines: DataFrame, inputs: list[s
 
 def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
              engine: str = DEFAULT_ENGINE, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES,
-             validate_headers: bool = True, repartition_compressed: bool = True) -> DataFrame:
-    """Parse VCF files (plain or gzip) into the 15-column call table."""
+             validate_headers: bool = True, repartition_compressed: bool = True,
+             carry: dict | None = None) -> DataFrame:
+    """Parse VCF files (plain or gzip) into the 15-column call table.
+    ``carry`` adds per-line columns (expressions over ``file``, e.g. a batch
+    id taken from the path) that are kept on every call."""
     lines = read_lines(spark, paths)
+    for name, expr in (carry or {}).items():
+        lines = lines.withColumn(name, expr)
     inputs = spark.read.text(_as_list(paths)).inputFiles()
     if repartition_compressed and any(p.endswith((".gz", ".bgz")) for p in inputs):
         # A gzip file is one input split: spread its lines before exploding.
         lines = lines.repartition(spark.sparkContext.defaultParallelism * 2)
     hdr, total = resolve_headers(spark, paths, lines, inputs, validate_headers,
                                  max_broadcast_samples)
-    return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine)
+    return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine,
+                       extra=list(carry or {}))
 
 
 def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
