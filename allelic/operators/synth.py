@@ -1,9 +1,11 @@
 """Synthetic cohort generation (K1, K2), re-aimed to scale.
 
 Genotypes are drawn for the (sample, site) pairs present in a call skeleton
-with a counter-based RNG: ``xxhash64(seed, sample, site, stream)``.  Each
-value depends only on its own key, so the output is identical under any
-partitioning, retry or executor loss (an order-dependent RNG is not).
+with a counter-based RNG: one ``md5`` of (seed, sample, contig, start) per
+row, whose 128 bits are cut into four independent 32-bit draws (genotype,
+DP, GQ, AD).  Each value depends only on its own key, so the output is
+identical under any partitioning, retry or executor loss (an order-dependent
+RNG is not), and any SQL engine with ``md5`` can recompute it.
 Distributions follow the reference generator; its hand-pinned carriers at
 fixed loci are not reproduced.
 """
@@ -29,15 +31,19 @@ PHENOTYPES = {"APP": (43530807, 52, "03-12"),
 SEED = 42
 
 
+_STREAMS = {"gt": 1, "dp": 9, "gq": 17, "ad": 25}  # hex offsets of the 32-bit draws
+
+
 def _u(seed: int, stream: str) -> Column:
-    """Uniform [0, 1) from the key columns."""
-    h = F.xxhash64(F.lit(seed), F.col("sample_id"), F.col("reference_name"), F.col("start"),
-                   F.lit(stream))
-    return F.pmod(h, F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+    """Uniform [0, 1) from the row's key and the stream's slice of its md5."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("sample_id"), F.col("reference_name"),
+                          F.col("start").cast("string")))
+    v = F.conv(F.substring(h, _STREAMS[stream], 8), 16, 10).cast("long")
+    return v.cast("double") / F.lit(4294967296.0)
 
 
 def _randint(seed: int, stream: str, lo: int, hi: int) -> Column:
-    return (F.lit(lo) + F.floor(_u(seed, stream) * (hi - lo + 1))).cast("int")
+    return (F.lit(lo) + F.floor(_u(seed, stream) * F.lit(float(hi - lo + 1)))).cast("int")
 
 
 def synthetic_calls(skeleton: DataFrame, seed: int = SEED) -> DataFrame:
