@@ -140,3 +140,19 @@ def test_scan_cost_floor(spark):
     df = spark.createDataFrame([(0,), (2 ** 40,)], "b long")
     got = [r[0] for r in df.select(scan_cost(F.col("b"))).collect()]
     assert got[0] == pytest.approx(10 * 2 ** 20 / 2 ** 40 * 5) and got[1] == 5.0
+
+
+def test_validate_cohort_expected_sets(spark, calls):
+    from allelic.operators.validation import validate_cohort
+    person = spark.createDataFrame([(1, "s1"), (2, "s2")], "person_id long, sample_id string")
+    cond = spark.createDataFrame([(1, 43530807)], "person_id long, condition_concept_id int")
+    good = spark.createDataFrame([("s1",), ("s2",)], "sample_id string")
+    bad = spark.createDataFrame([("s1",), ("s7",)], "sample_id string")
+    r = {x["check"]: x for x in validate_cohort(calls, person, cond, "chr21", 100, 9, good).collect()}
+    assert all(x["passed"] for x in r.values()), r
+    assert r["carriers_at_locus"]["detail"] == "carriers=2 mismatches=0"
+    r = {x["check"]: x for x in validate_cohort(calls, person, cond, "chr21", 100, 10, bad,
+                                                max_broadcast_rows=0).collect()}
+    assert not r["calls_loaded"]["passed"]
+    assert r["carriers_at_locus"]["detail"] == "carriers=2 mismatches=2"
+    assert r["concept_in_join"]["passed"] and r["carriers_have_person"]["passed"]
