@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelic.functions.genotype import is_carrier
 from allelic.operators.clinical import TARGET_PHENOTYPE, target_carriers
 from allelic.plans.joins import MAX_BROADCAST_ROWS
 

@@ -10,9 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from allelic.operators import browse, policy, querylog, summary
 from allelic.operators import burden, carriers, clinical, frequency
+from allelic.operators import synth, validation
+from allelic.operators import vds as vds_ops
+from allelic.plans.layout import compact, diff_counts
+from allelic.schema import CALL_COLUMNS
+from allelic.session import scratch_path
+from allelic.sinks import feed as feed_ops
+from allelic.sinks import writers
+from allelic.sinks.vcf import write_vcf
 from allelic.sources import fixtures as fx
+from allelic.sources import tables
+from allelic.sources.vcf import read_vcf, vcf_samples
+from allelic.streaming.ingest import ingest_vcf_stream
 
 T_CONTIG, T_START = fx.TARGET_CONTIG, fx.TARGET_START
 
@@ -64,7 +77,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 # --- C14-C19, B6: browse, summary, stats -------------------------------------
-from allelic.operators import browse, policy, querylog, summary  # noqa: E402
 
 register("browse_variants")(lambda s, d: browse.browse_variants(
     _calls(s, d), contig="chr21", sample_id="All", limit=100, store_id="s3_tables"))
@@ -95,18 +107,6 @@ register("bench_scaling")(lambda s, d: querylog.bench_scaling(fx.query_log(s, d)
 # --- A / B / K3 / I1: sources, sinks, layouts -----------------------------------
 # Each writer query writes under a fresh folder of the shared checkpoint root
 # and reads the result back, so the returned frame is what a reader sees.
-from pyspark.sql import functions as F  # noqa: E402
-
-from allelic.operators import vds as vds_ops  # noqa: E402
-from allelic.plans.layout import compact, diff_counts  # noqa: E402
-from allelic.schema import CALL_COLUMNS  # noqa: E402
-from allelic.session import scratch_path  # noqa: E402
-from allelic.sinks import feed as feed_ops  # noqa: E402
-from allelic.sinks import writers  # noqa: E402
-from allelic.sinks.vcf import write_vcf  # noqa: E402
-from allelic.sources import tables  # noqa: E402
-from allelic.sources.vcf import read_vcf, vcf_samples  # noqa: E402
-from allelic.streaming.ingest import ingest_vcf_stream  # noqa: E402
 
 
 def _vcf_dir(s, d):
@@ -277,7 +277,6 @@ def _q_n1_counts(s, d):
 
 
 # --- C20, K1, K2 --------------------------------------------------------------------
-from allelic.operators import synth, validation  # noqa: E402
 
 register("validate_cohort")(lambda s, d: validation.validate_cohort(
     _calls(s, d), fx.person(s, d), fx.condition_occurrence(s, d), T_CONTIG, T_START))
