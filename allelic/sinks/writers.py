@@ -11,7 +11,12 @@ of all calls (or a single hot position) is split over many tasks, and the
 task count follows the data volume (``spark.sql.shuffle.partitions`` with
 AQE coalescing).  Each task's rows are sorted by (start, sample_id), so the
 Parquet row-group min/max statistics on ``start`` let point lookups skip
-data, and ``maxRecordsPerFile`` bounds file size.
+data, and ``maxRecordsPerFile`` bounds file size.  Range boundaries come
+from a sampling pass over the input, so an expensive input (a VCF parse)
+should be persisted by the caller first, as the N+1 stream does per
+micro-batch.  A hash layout on (contig, position block) would skip that
+pass but leaves every task writing into every contig directory (many small
+files), so range partitioning is the default.
 """
 
 from __future__ import annotations
