@@ -35,6 +35,7 @@ from pyspark.sql.utils import AnalysisException
 from allelic.schema import CALL_COLUMNS
 
 MAX_BROADCAST_SAMPLES = 2_000_000  # files x samples held by the broadcast header
+MAX_BROADCAST_FILES = 100_000  # (file, sample count) rows held by a broadcast
 DEFAULT_COHORT, DEFAULT_ENGINE = "synthetic_v1", "s3_tables"
 _WS = r"^\s+|\s+$"
 
@@ -212,12 +213,12 @@ def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
     hdr, total = resolve_headers(spark, paths, lines, inputs, validate_headers,
                                  max_broadcast_samples)
     return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine,
-                       extra=list(carry or {}))
+                       extra=list(carry or {}), n_files=len(inputs))
 
 
 def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
                 cohort_id: str = DEFAULT_COHORT, engine: str = DEFAULT_ENGINE,
-                extra: list | None = None) -> DataFrame:
+                extra: list | None = None, n_files: int | None = None) -> DataFrame:
     """(file, line) rows + per-file headers -> calls.  ``extra`` columns of
     ``lines`` (e.g. a batch id) are carried to the output."""
     extra = extra or []
@@ -251,9 +252,12 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
                  .select(*keep, F.col("cell")["s"].alias("sample_id"),
                          F.col("cell")["c"].alias("c")))
     else:
-        # One (file, count) row per file: bounded by the file count.
+        # One (file, count) row per file: broadcast only when the file count
+        # is checked to be small; otherwise AQE picks the join.
         n = hdr.select("file", F.size("samples").alias("n_samples"))
-        j = body.join(F.broadcast(n), "file").where(F.size("f") >= F.col("n_samples") + 9)
+        if n_files is not None and n_files <= MAX_BROADCAST_FILES:
+            n = F.broadcast(n)
+        j = body.join(n, "file").where(F.size("f") >= F.col("n_samples") + 9)
         per_line = j.select("file", *extra, *line_cols,
                             F.slice("f", 10, F.col("n_samples")).alias("cells"))
         keep = [c for c in per_line.columns if c != "cells"]
