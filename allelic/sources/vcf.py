@@ -34,6 +34,16 @@ from pyspark.sql.utils import AnalysisException
 
 from allelic.schema import CALL_COLUMNS
 
+# The header reader runs in Python workers; ship this module's functions by
+# value so workers need no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: rely on --py-files / install
+    pass
+
 MAX_BROADCAST_SAMPLES = 2_000_000  # files x samples held by the broadcast header
 MAX_BROADCAST_FILES = 100_000  # (file, sample count) rows held by a broadcast
 DEFAULT_COHORT, DEFAULT_ENGINE = "synthetic_v1", "s3_tables"
