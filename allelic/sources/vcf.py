@@ -294,3 +294,20 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
         *extra,
     )
     return out.select(*CALL_COLUMNS, *extra)
+
+
+def read_vcf_rejects(spark: SparkSession, paths) -> DataFrame:
+    """Body lines the reader skips because they have fewer than 9 + n_samples
+    fields: (file, line, n_fields, expected_fields).  The reference parser
+    logs one warning per such line; here they are a DataFrame to inspect."""
+    lines = read_lines(spark, paths)
+    inputs = spark.read.text(_as_list(paths)).inputFiles()
+    hdr, _ = resolve_headers(spark, paths, lines, inputs, True)
+    body = lines.where((F.length("line") > 0) & ~F.col("line").startswith("#"))
+    n = hdr.select("file", (F.size("samples") + 9).alias("expected_fields"))
+    if len(inputs) <= MAX_BROADCAST_FILES:
+        n = F.broadcast(n)
+    return (body.join(n, "file")
+                .select("file", "line", F.size(F.split("line", "\t")).alias("n_fields"),
+                        "expected_fields")
+                .where(F.col("n_fields") < F.col("expected_fields")))
