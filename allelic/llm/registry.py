@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from allelic.llm.mixing import OP3_SQL, op3_mixing
+from allelic.llm.quality import op7_quality
 
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_quality": op7_quality,
 }
 ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
