@@ -5,11 +5,13 @@ from __future__ import annotations
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from allelic.llm.mixing import OP3_SQL, op3_mixing
 from allelic.llm.quality import op7_quality
+from allelic.llm.secrets import op9_secrets
 
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_quality": op7_quality,
+    "op9_secrets": op9_secrets,
 }
 ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
