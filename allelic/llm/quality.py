@@ -33,12 +33,12 @@ ACCURACY = 10_000
 FEATURES = ("words", "word_length", "symbols", "dup_lines", "repeats")
 #: Least standard deviation of each feature: below it a spread is noise of
 #: rare counts (a document with one symbol among documents with none).
-FLOORS = (0.25, 0.08, 0.08, 0.12, 0.08)
+FLOORS = (0.25, 0.08, 0.08, 0.25, 0.2)
 #: Median of the chi-square distribution with five degrees of freedom; the
 #: distances of a group are scaled to have it.
 CHI2_MEDIAN = 4.351
 #: Squared distance beyond which a document is rejected.
-CUTOFF = 60.0
+CUTOFF = 50.0
 
 
 def _repeat_words(w: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from allelic.llm.licenses import OP10_SQL, op10_licenses
 from allelic.llm.mixing import OP3_SQL, op3_mixing
 from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
@@ -12,8 +13,10 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op7_quality": op7_quality,
     "op9_secrets": op9_secrets,
+    "op10_licenses": op10_licenses,
 }
 ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op10_licenses": OP10_SQL,
 }
