@@ -5,12 +5,14 @@ from __future__ import annotations
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from allelic.llm.licenses import OP10_SQL, op10_licenses
 from allelic.llm.mixing import OP3_SQL, op3_mixing
+from allelic.llm.packing import op6_packing
 from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
 
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_packing": op6_packing,
     "op7_quality": op7_quality,
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
