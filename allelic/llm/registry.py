@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from allelic.llm.jaccard_join import op2_jaccard_join
 from allelic.llm.licenses import OP10_SQL, op10_licenses
 from allelic.llm.mixing import OP3_SQL, op3_mixing
 from allelic.llm.packing import op6_packing
@@ -10,6 +11,7 @@ from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_packing": op6_packing,
