@@ -9,11 +9,13 @@ from allelic.llm.mixing import OP3_SQL, op3_mixing
 from allelic.llm.packing import op6_packing
 from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
+from allelic.llm.suffix_dedup import op5_suffix_dedup
 
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
     "op9_secrets": op9_secrets,
