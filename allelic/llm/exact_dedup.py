@@ -31,12 +31,11 @@ _KEY = T.StructType([T.StructField("prefix", T.StringType()), T.StructField("has
                      T.StructField("shorter", T.IntegerType()), T.StructField("id", T.LongType())])
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_of(text_col)
-    return (docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-            .select("id", (-F.char_length("text")).alias("shorter"),
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: list) -> DataFrame:
+    return (docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"), F.struct(*carry).alias("carry"))
+            .select("id", "carry", (-F.char_length("text")).alias("shorter"),
                     F.regexp_replace("text", WS + "+", "").alias("norm"))
-            .select("id", "shorter", "norm", F.substring("norm", 1, KEY_CHARS).alias("prefix"),
+            .select("id", "carry", "shorter", "norm", F.substring("norm", 1, KEY_CHARS).alias("prefix"),
                     F.xxhash64("norm").alias("hash")))
 
 
@@ -48,7 +47,7 @@ def splitters(docs: DataFrame, id_col: str, text_col: str, ranges: int, seed: in
     if ranges < 2 or rows == 0:
         return []
     sample = docs if rows <= want else docs.sample(fraction=min(1.0, 1.1 * want / rows), seed=seed)
-    keys = (_keyed(sample, id_col, text_col).select(F.struct(*_KEY.names).alias("k"))
+    keys = (_keyed(sample, id_col, text_col, [F.lit(0).alias("_")]).select(F.struct(*_KEY.names).alias("k"))
             .orderBy("k").limit(2 * want).collect())
     step = max(1, len(keys) // ranges)
     return [[k.k.prefix, k.k.hash, k.k.shorter, k.k.id] for k in keys[step::step]][:ranges - 1]
@@ -71,7 +70,7 @@ def _range_of(cuts: list):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                ranges: int | None = None) -> DataFrame:
+                ranges: int | None = None, carry: tuple | list = ()) -> DataFrame:
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``,
     ``text_sha256`` of the normalised text.
 
@@ -79,7 +78,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     most code points stays, then the smallest id (null first); of fully tied
     rows (same id, same length) exactly one.  A null text is an empty text;
     all empty texts are one group.  An empty table gives an empty result.
-    Other columns are ignored, whatever their names.
+    Columns in ``carry`` are passed on; others are ignored, whatever their names.
     """
     spark = docs.sparkSession
     ranges = min(MAX_RANGES, ranges or 4 * parallelism(spark))
@@ -87,11 +86,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = [F.col(c).asc_nulls_first() for c in ("prefix", "hash", "norm", "shorter", "id")]
     in_range = Window.partitionBy("rng").orderBy(*order)
     so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = (_keyed(docs, id_col, text_col).withColumn("rng", _range_of(cuts))
+    kept_cols = [F.col(c) for c in carry] or [F.lit(0).alias("_")]
+    runs = (_keyed(docs, id_col, text_col, kept_cols).withColumn("rng", _range_of(cuts))
             .withColumn("sha", F.unhex(F.sha2(F.col("norm").cast("binary"), 256)))
             .withColumn("same", F.lag("norm").over(in_range) == F.col("norm"))
             .withColumn("run", F.sum(F.when(F.col("same"), 0).otherwise(1)).over(so_far))
-            .select("id", "shorter", "rng", "run", "sha"))
+            .select("id", "carry", "shorter", "rng", "run", "sha"))
     runs = materialise(spark, runs, "dedup_runs")
 
     in_run = Window.partitionBy("rng", "run")
@@ -112,7 +112,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias(id_col), head["id"].alias("keep_id"),
         F.coalesce("all_rows", "rows").cast("long").alias("group_size"),
         ((F.col("nth") == 1) & (head["rng"] == F.col("rng"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        F.lower(F.hex("sha")).alias("text_sha256"), *[F.col("carry")[c].alias(c) for c in carry])
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

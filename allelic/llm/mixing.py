@@ -67,18 +67,20 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", salts: int = SALTS, seed: str = SEED) -> DataFrame:
+                source_col: str = "source", salts: int = SALTS, seed: str = SEED,
+                carry: tuple | list = ()) -> DataFrame:
     """One row per input row: id, size (words), source_size, target, copies,
     taken (``copies * size``); ``copies`` is 0, 1 or 2.
 
     A null text has size 0; null sources form one source, last in order; a
     source without words takes nothing.  A null id sorts first.  Rows repeated
-    in full are separate documents.  An empty table gives an empty result;
-    other columns are ignored.
+    in full are separate documents.  An empty table gives an empty result.
+    Columns in ``carry`` are passed on; others are ignored.
     """
     spark = docs.sparkSession
     sizes = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
-                        n_words(text_of(text_col)).alias("size"))
+                        n_words(text_of(text_col)).alias("size"),
+                        F.struct(*([F.col(c) for c in carry] or [F.lit(0).alias("_")])).alias("carry"))
     sizes = materialise(spark, sizes, "mix_sizes")
     src = (targets(sizes).withColumn("step", F.coalesce(F.floor(
         F.col("target") / F.nullif(F.col("source_size"), F.lit(0)) * (1 << BITS)), F.lit(0)).cast("long"))
@@ -98,7 +100,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (rows.withColumn("nth", nth).join(blocks.join(src, "key"), ["key", "cls", "salt"])
             .withColumn("copies", copies)
             .select(F.col("id").alias(id_col), "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+                    (F.col("copies") * F.col("size")).alias("taken"),
+                    *[F.col("carry")[c].alias(c) for c in carry]))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

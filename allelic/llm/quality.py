@@ -62,13 +62,14 @@ def _repeat_words(w: Column) -> Column:
 
 
 def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """id, lang, source and the counts of each whole text (null: no words)."""
+               lang_col: str = "lang", source_col: str = "source", carry: tuple | list = ()) -> DataFrame:
+    """id, lang, source, ``carry`` (a struct) and the counts of each whole text (null: no words)."""
     t = F.col("t")
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     return (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-                        F.col(source_col).cast("string").alias("source"), text_of(text_col).alias("t"))
-            .select("id", "lang", "source", n_words(t).alias("n_words"),
+                        F.col(source_col).cast("string").alias("source"), text_of(text_col).alias("t"),
+                        F.struct(*([F.col(c) for c in carry] or [F.lit(0).alias("_")])).alias("carry"))
+            .select("id", "lang", "source", "carry", n_words(t).alias("n_words"),
                     F.char_length(F.regexp_replace(t, WS + "+", "")).cast("long").alias("word_chars"),
                     F.char_length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
                     let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
@@ -155,7 +156,7 @@ def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            source_col: str = "source", cutoff: float = CUTOFF) -> DataFrame:
+            source_col: str = "source", cutoff: float = CUTOFF, carry: tuple | list = ()) -> DataFrame:
     """One row per input row: id, the counts, ``base_failed``, ``distance``
     (scaled squared Mahalanobis distance) and ``kept``.
 
@@ -164,10 +165,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     are fitted and judged; ``distance`` is null for the others and where no
     group could be fitted, and such a document is kept if the base rules
     passed it.  Rows repeated in full are judged one by one, alike.  An empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result.  Columns in ``carry`` are passed on; others
+    are ignored.
     """
     spark = docs.sparkSession
-    stats = materialise(spark, text_stats(docs, id_col, text_col, lang_col, source_col), "quality_stats")
+    stats = materialise(spark, text_stats(docs, id_col, text_col, lang_col, source_col, carry), "quality_stats")
     rows = _with_groups(stats).withColumns({f"x{i}": x for i, x in enumerate(_features())})
     rows = materialise(spark, rows, "quality_rows")
     model = fit(spark, rows.where(~F.col("base_failed")).select("grp", *[f"x{i}" for i in range(len(FEATURES))]))
@@ -177,7 +179,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return d.withColumn("distance", scaled).select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "distance",
-        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"))
+        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"),
+        *[F.col("carry")[c].alias(c) for c in carry])
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
