@@ -1,7 +1,7 @@
 """Table browser (C14-C18): optional filters, a total order, a bounded page.
 
-The page size is the feature here (an interactive browser), clamped to
-1..1000.  ``orderBy(...).limit(n)`` plans as ``TakeOrderedAndProject``: each
+The page size is the feature here (an interactive browser): 1 to 1000, and
+a size outside is an error.  ``orderBy(...).limit(n)`` plans as ``TakeOrderedAndProject``: each
 task keeps its own top n and only n rows per task reach the final merge, so
 no full sort or shuffle of the table happens.
 """
@@ -27,7 +27,9 @@ MIN_PAGE, MAX_PAGE, DEFAULT_PAGE = 1, 1000, 100
 def page_size(limit: int | None) -> int:
     if limit is None:
         return DEFAULT_PAGE
-    return max(MIN_PAGE, min(MAX_PAGE, int(limit)))
+    if not MIN_PAGE <= int(limit) <= MAX_PAGE:
+        raise ValueError(f"page size {limit}: {MIN_PAGE} to {MAX_PAGE} expected")
+    return int(limit)
 
 
 def browse_variants(calls: DataFrame, contig: str | None = "All", sample_id: str | None = "All",

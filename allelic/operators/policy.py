@@ -8,6 +8,8 @@ make any reference to a withheld column fail at analysis time.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,13 @@ RESEARCHER_COLUMNS = ["reference_name", "start", "end_pos", "reference_bases", "
 # matrix nor the warehouse DDL: denied by default.
 PHI_COLUMNS = ["sample_id", "genotype", "allele_depth", "engine"]
 
+# Site columns and the aggregates over samples that may leave.
+PUBLISHED_COLUMNS = [*RESEARCHER_COLUMNS, "gene_symbol", "clinical_significance",
+                     "carrier_sample_count", "allele_count", "allele_number",
+                     "cohort_allele_frequency", "total_cohort_samples", "alt_carrier_count",
+                     "carrier_frequency", "alt_allele_count", "sample_count",
+                     "alt_allele_frequency", "call_count", "mean_depth"]
+
 
 def researcher_view(calls: DataFrame) -> DataFrame:
     return calls.select(*RESEARCHER_COLUMNS)
@@ -37,8 +46,16 @@ def researcher_masked(calls: DataFrame) -> DataFrame:
 
 
 def published(result: DataFrame) -> DataFrame:
-    """Release an aggregate computed by a steward; refuses PHI columns."""
-    leaked = [c for c in result.columns if c in PHI_COLUMNS]
-    if leaked:
-        raise ValueError(f"result exposes withheld columns: {leaked}")
+    """Release an aggregate computed by a steward.
+
+    Every output column must be on the allow-list, and none may be a withheld
+    column under another name: the analysed plan is searched for renames."""
+    unknown = [c for c in result.columns if c not in PUBLISHED_COLUMNS]
+    if unknown:
+        raise ValueError(f"result exposes columns that are not released: {unknown}")
+    plan = result._jdf.queryExecution().analyzed().toString()
+    renamed = {m[1] for m in re.finditer(rf"\b({'|'.join(PHI_COLUMNS)})#\d+L? AS (\w+)#", plan)
+               if m[2] in result.columns}
+    if renamed:
+        raise ValueError(f"result exposes withheld columns: {sorted(renamed)}")
     return result

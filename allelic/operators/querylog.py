@@ -1,7 +1,7 @@
 """Rollups over a query-log table (H1-H3, D13): one row per executed query
 (strategy, query_type, cohort_size, execution_time_ms, bytes_scanned).
 
-Latency means are computed from an exact decimal sum (2-decimal timings)
+Latency means are computed from an exact decimal sum (twelve decimals)
 divided by the count, so the result does not depend on summation order
 across partitions.  Everything is a single hash aggregate on a small key.
 """
@@ -21,7 +21,7 @@ SUMMARY_TYPES = {"carrier_lookup": "carrier_lookup_ms",
 
 def _exact_mean(value: Column, cond: Column | None = None) -> Column:
     v = value if cond is None else F.when(cond, value)
-    return (F.sum(v.cast("decimal(20,2)")).cast("double")
+    return (F.sum(v.cast("decimal(38,12)")).cast("double")
             / F.count(v).cast("double"))
 
 

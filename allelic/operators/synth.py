@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from allelic.functions.genotype import clnsig_col, gene_col, is_carrier
 from allelic.plans.joins import join_dimension
 from allelic.schema import CALL_COLUMNS
+from allelic.sources.fixtures import sample_name
 
 # Fixed values of the generator's distributions.
 P_BENIGN_HOM, P_BENIGN_HET_CUM, P_RARE_HET = 0.20, 0.55, 0.10
@@ -80,7 +81,7 @@ def synthetic_person(customers: DataFrame, key: str = "c_custkey") -> DataFrame:
         F.lit(15).cast("int").alias("day_of_birth"),
         F.lit(8527).cast("int").alias("race_concept_id"),
         F.lit(38003564).cast("int").alias("ethnicity_concept_id"),
-        F.concat(F.lit("sample_"), F.lpad(k.cast("string"), 6, "0")).alias("sample_id"))
+        sample_name(k).alias("sample_id"))
 
 
 def synthetic_conditions(calls: DataFrame, person: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ under ``max_broadcast_rows``.
 Beyond that the join is a shuffle join that salts only the hot keys:
 
 1. one partially-aggregated count over the fact side finds the keys with at
-   least ``hot_rows`` rows.  There are at most rows / hot_rows of them, and
-   that count is checked before the set is broadcast.
+   least ``hot_rows`` rows and at least the ``MAX_HOT_KEYS``-th part of all
+   rows, so there are at most ``MAX_HOT_KEYS`` of them to broadcast.
 2. fact rows of a hot key get a deterministic salt in [0, buckets) (a hash of
    the row, so retries give the same salt); all other rows get salt 0.
 3. dimension rows of a hot key are replicated once per salt value; all
@@ -29,9 +29,12 @@ SALT_BUCKETS = 32
 MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    return (fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") >= hot_rows).select(*keys))
+def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int) -> list:
+    """Keys to salt, collected: at most ``MAX_HOT_KEYS``.  A key below the
+    share is no more than one of that many equal parts of the work."""
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
+    share = fact.count() / MAX_HOT_KEYS
+    return counts.where(F.col("_n") >= share).select(*keys).collect()
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
@@ -43,12 +46,10 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: st
     if dim.count() <= max_broadcast_rows:
         return fact.join(F.broadcast(dim), keys, how)
     hot = hot_keys(fact, keys, hot_rows)
-    n_hot = hot.count()
-    if n_hot == 0:
+    if not hot:
         return fact.join(dim, keys, how)
-    if n_hot > MAX_HOT_KEYS:
-        raise ValueError(f"{n_hot} hot keys: raise hot_rows (now {hot_rows})")
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    flag = fact.sparkSession.createDataFrame(hot, fact.select(*keys).schema)
+    flag = F.broadcast(flag.withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
     f = (fact.join(flag, keys, "left")
              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets)))

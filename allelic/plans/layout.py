@@ -1,8 +1,8 @@
 """Physical layout maintenance: compaction / clustering (K4).
 
 Plain Spark has no Z-order; the equivalent clustering for point lookups on
-(contig, start) is a range repartition on (reference_name, start) and a sort
-on (start, sample_id) inside each file.  Output goes to a new path; the old
+(contig, start) is the range layout of the writers: a range repartition on
+(reference_name, start, sample_id) and a sort inside each file.  Output goes to a new path; the old
 files stay until the caller swaps paths, so a failed job leaves the table
 readable.
 """
@@ -12,17 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelic.sinks.writers import rewrite_all
 from allelic.sources.tables import read_warehouse
 
 
 def compact(spark: SparkSession, src: str, dst: str, target_files: int | None = None) -> str:
-    df = read_warehouse(spark, src)
-    n = target_files or max(1, spark.sparkContext.defaultParallelism)
-    (df.repartitionByRange(n, "reference_name", "start")
-       .sortWithinPartitions("reference_name", "start", "sample_id")
-       .write.mode("overwrite").option("compression", "snappy")
-       .partitionBy("reference_name").parquet(dst))
-    return dst
+    """Rewrite a table clustered, with the parts of each batch merged into its
+    first one.  The result has the table's own layout, so batches can be
+    appended to it."""
+    return rewrite_all(read_warehouse(spark, src), dst, target_files)
 
 
 def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:

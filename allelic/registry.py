@@ -25,8 +25,10 @@ from allelic.sinks.vcf import write_vcf
 from allelic.sources import fixtures as fx
 from allelic.sources import tables
 from allelic.sources.vcf import read_vcf, vcf_samples
-from allelic.streaming.ingest import ingest_vcf_stream
+from allelic.streaming.ingest import ingest_feed_stream, ingest_vcf_stream
 
+#: Positions of a file of the incremental query: several files a contig.
+N1_BUCKET = 100_000
 T_CONTIG, T_START = fx.TARGET_CONTIG, fx.TARGET_START
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +119,7 @@ def _vcf_dir(s, d):
 
 @register("vcf_to_calls")
 def _q_vcf_to_calls(s, d):
-    return read_vcf(s, _vcf_dir(s, d))
+    return read_vcf(s, _vcf_dir(s, d), skip_missing=True)
 
 
 @register("vcf_samples")
@@ -232,22 +234,62 @@ def _q_compacted_equal(s, d):
     src = _warehouse(s, d)
     dst = compact(s, src, scratch_path(s, "compacted"))
     before = tables.read_warehouse(s, src).select(*CALL_COLUMNS)
-    after = tables.read_calls_parquet(s, dst).select(*CALL_COLUMNS)
+    after = tables.read_warehouse(s, dst).select(*CALL_COLUMNS)
     return diff_counts(before, after)
 
 
 @register("n1_incremental")
 def _q_n1_incremental(s, d):
-    """Two batches arrive as VCF files; the stream appends each as it lands."""
+    """Two batches arrive as VCF files, several a contig and batch; the stream
+    adds each file as it lands, two at a time."""
     calls = fx.variants(s, d, with_batch=True)
     src = scratch_path(s, "landing")
     for b in ("001", "002"):
-        write_vcf(calls.where(F.col("batch_id") == b).drop("batch_id"), f"{src}/batch_{b}")
+        write_vcf(calls.where(F.col("batch_id") == b).drop("batch_id"), f"{src}/batch_{b}",
+                  bucket_size=N1_BUCKET)
     root = scratch_path(s, "n1_table")
-    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=32)
+    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=16,
+                      skip_missing=True)
     return tables.read_warehouse(s, root).select(*CALL_COLUMNS, "batch_id")
 
 
+@register("feed_stream")
+def _q_feed_stream(s, d):
+    """Two feeds with checkpoints of their own stream into one table."""
+    calls = fx.variants(s, d, with_batch=True)
+    root = scratch_path(s, "feed_table")
+    for b, store in (("001", "s3_tables"), ("002", "custom_iceberg")):
+        src = scratch_path(s, f"feed_{b}")
+        writers.write_json(calls.where(F.col("batch_id") == b).drop("batch_id", "cohort_id"), src)
+        ingest_feed_stream(s, src, root, scratch_path(s, f"feed_checkpoint_{b}"), store)
+    return tables.read_warehouse(s, root).select(*CALL_COLUMNS)
+
+
+@register("replay_equal")
+def _q_replay_equal(s, d):
+    """Batch 001 written twice, the second time without one contig: the table
+    holds the second version alone, next to batch 002."""
+    calls = fx.variants(s, d, with_batch=True)
+    root = scratch_path(s, "replay")
+    for part in (calls.where("batch_id = '001'"), calls.where("batch_id = '002'"),
+                 calls.where("batch_id = '001' and reference_name <> 'chr5'")):
+        writers.write_batch(part, root)
+    return tables.read_warehouse(s, root).groupBy("batch_id", "reference_name").agg(
+        F.count(F.lit(1)).alias("calls"))
+
+
+@register("append_after_compact")
+def _q_append_after_compact(s, d):
+    """Batch 002 appended to the compacted table of batch 001."""
+    calls = fx.variants(s, d, with_batch=True)
+    src = scratch_path(s, "uncompacted")
+    writers.write_batch(calls.where("batch_id = '001'"), src)
+    dst = compact(s, src, scratch_path(s, "compacted_append"))
+    writers.write_batch(calls.where("batch_id = '002'"), dst)
+    return diff_counts(calls.select(*CALL_COLUMNS),
+                       tables.read_warehouse(s, dst).select(*CALL_COLUMNS))
+
+
 @register("n1_counts")
 def _q_n1_counts(s, d):
     """Partition directories and rows touched by an N+1 append versus a full

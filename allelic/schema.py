@@ -38,8 +38,12 @@ WAREHOUSE = T.StructType(CALLS.fields + [
     T.StructField("gene_symbol", T.StringType()),
     T.StructField("clinical_significance", T.StringType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("part_id", T.StringType()),
 ])
 
+# Call files as delivered: either name of the end column.
+CALLS_IN = T.StructType(CALLS.fields + [T.StructField("end", T.LongType())])
+
 PERSON = T.StructType([
     T.StructField("person_id", T.LongType()),
     T.StructField("gender_concept_id", T.IntegerType()),
@@ -85,12 +89,13 @@ QUERY_LOG = T.StructType([
 
 
 def conform_calls(df: DataFrame, keep_extra: bool = False) -> DataFrame:
-    """Project any call-shaped frame onto CALLS: accepts ``end`` for
-    ``end_pos``, casts to the declared types, fills absent columns with null.
+    """Project any call-shaped frame onto CALLS: ``end`` counts where
+    ``end_pos`` is absent or null, casts to the declared types, fills absent columns with null.
     Extra columns (partition keys, materialised annotations) are kept when
     ``keep_extra`` is set."""
-    if "end_pos" not in df.columns and "end" in df.columns:
-        df = df.withColumnRenamed("end", "end_pos")
+    if "end" in df.columns:
+        given = [F.col("end_pos")] if "end_pos" in df.columns else []
+        df = df.withColumn("end_pos", F.coalesce(*given, F.col("end"))).drop("end")
     cols = []
     for f in CALLS.fields:
         if f.name in df.columns:

@@ -17,19 +17,17 @@ from pyspark.sql import SparkSession
 def get_spark(master: str | None = None, app: str = "allelic",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus) * 2
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session.  Under spark-submit the cluster's settings stand; the local
+    defaults (master, memory, partitions) are for plain Python runs."""
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", os.environ.get("ALLELIC_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+         .config("spark.sql.session.timeZone", "UTC"))
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        b = (b.master(master or f"local[{cpus}]")
+             .config("spark.driver.memory", os.environ.get("ALLELIC_DRIVER_MEMORY", "16g"))
+             .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2)))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -38,8 +36,8 @@ def get_spark(master: str | None = None, app: str = "allelic",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder configured for checkpoints; a private temp dir only
-    when nothing is configured (local mode / tests)."""
+    """The shared folder configured for checkpoints; a private temp dir when
+    nothing is configured in local mode, an error on a cluster."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -50,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="allelic-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

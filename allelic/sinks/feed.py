@@ -1,5 +1,5 @@
-"""Online feed (B8): stamp the store tag, default the cohort only where the
-records carry no cohort column, append.  No dedupe: a record fed twice is
+"""Online feed (B8): stamp the store tag, give records without a cohort the
+default one, append.  No dedupe: a record fed twice is
 stored twice (replays of the same batch id are handled by the partitioned
 overwrite in ``write_batch``)."""
 
@@ -16,9 +16,8 @@ FEED_COHORT = "online_feed"
 
 def stamp(records: DataFrame, store_id: str, cohort_id: str = FEED_COHORT) -> DataFrame:
     df = records.withColumn("engine", F.lit(store_id))
-    if "cohort_id" not in df.columns:
-        df = df.withColumn("cohort_id", F.lit(cohort_id))
-    return df
+    given = F.col("cohort_id") if "cohort_id" in df.columns else F.lit(None).cast("string")
+    return df.withColumn("cohort_id", F.coalesce(given, F.lit(cohort_id)))
 
 
 def feed(existing: DataFrame, records: DataFrame, store_id: str,

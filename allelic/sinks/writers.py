@@ -1,15 +1,16 @@
 """Table writes.
 
-The warehouse layout is Hive-partitioned ``reference_name=<contig>/
-batch_id=<id>/``.  Appending a batch only writes that batch's directories;
-with dynamic partition overwrite a replayed batch id replaces exactly its
-own directories, so re-running a batch is idempotent.
+The warehouse layout is Hive-partitioned ``batch_id=<id>/part_id=<part>/
+reference_name=<contig>/``.  Appending a batch only writes its own directory,
+and a replayed batch replaces that directory whole, also the contigs that the
+new version no longer has.  A part is what one file or one epoch of a stream
+added to a batch, so parts of a batch never overwrite one another.  Filters on
+the contig still prune directories.
 
 Rows are range-partitioned on (contig, start, sample_id) before the write:
 the boundaries come from a sample of the data, so a contig holding a third
-of all calls (or a single hot position) is split over many tasks, and the
-task count follows the data volume (``spark.sql.shuffle.partitions`` with
-AQE coalescing).  Each task's rows are sorted by (start, sample_id), so the
+of all calls (or a single hot position) is split over many tasks
+(``spark.sql.shuffle.partitions``, merged by AQE where they are small).  Each task's rows are sorted by (start, sample_id), so the
 Parquet row-group min/max statistics on ``start`` let point lookups skip
 data, and ``maxRecordsPerFile`` bounds file size.  Range boundaries come
 from a sampling pass over the input, so an expensive input (a VCF parse)
@@ -21,6 +22,8 @@ files), so range partitioning is the default.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,21 +56,48 @@ def layout(calls: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.sortWithinPartitions(*keys)
 
 
+_NAME = re.compile(r"[\w.+-]+")
+
+
+def _directory(name: str, value: str) -> str:
+    if not _NAME.fullmatch(value):
+        raise ValueError(f"{name} {value!r}: letters, digits and ._+- expected")
+    return f"{name}={value}"
+
+
+def _only_batch(calls: DataFrame) -> str:
+    ids = [r[0] for r in calls.select("batch_id").distinct().limit(2).collect()]
+    if len(ids) != 1 or ids[0] is None:
+        raise ValueError(f"one batch id expected, found {ids}; write_batches takes several")
+    return ids[0]
+
+
 def write_batch(calls: DataFrame, root: str, batch_id: str | None = None,
-                partitions: int | None = None, stats: bool = False) -> str:
-    """Partition-aligned append of one batch (``batch_id`` column or value).
-    Gene symbol and significance are materialised next to ``attributes`` so
-    their predicates are pushed into the Parquet scan."""
-    df = calls if batch_id is None else calls.withColumn("batch_id", F.lit(batch_id))
-    df = with_annotations(df).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id")
-    (layout(df, partitions).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .option("compression", "snappy")
-        .partitionBy("reference_name", "batch_id").parquet(root))
+                partitions: int | None = None, stats: bool = False, part_id: str = "0") -> str:
+    """Write one part of one batch, replacing that part alone.  Gene symbol and
+    significance are materialised next to ``attributes`` so their predicates
+    are pushed into the Parquet scan."""
+    batch_id = _only_batch(calls) if batch_id is None else batch_id
+    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS)
+    _write(layout(df, partitions), ["reference_name"], "static",
+           f"{root}/{_directory('batch_id', batch_id)}/{_directory('part_id', part_id)}")
     if stats:
-        ids = [batch_id] if batch_id is not None else None
-        write_batch_stats(calls.sparkSession, root, ids)
+        write_batch_stats(calls.sparkSession, root, [batch_id])
+    return root
+
+
+def _write(df: DataFrame, partition_by: list[str], overwrite: str, path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "snappy")
+       .partitionBy(*partition_by).parquet(path))
+
+
+def write_batches(calls: DataFrame, root: str, partitions: int | None = None) -> str:
+    """Write parts of several batches in one job, from ``batch_id`` and
+    ``part_id`` columns.  A part must be the whole of something that does not
+    change (a file): a replay overwrites the same directories."""
+    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id", "part_id")
+    _write(layout(df, partitions), ["batch_id", "part_id", "reference_name"], "dynamic", root)
     return root
 
 
@@ -95,12 +125,9 @@ def write_batch_stats(spark, root: str, batch_ids: list[str] | None = None) -> s
 
 def rewrite_all(calls: DataFrame, root: str, partitions: int | None = None) -> str:
     """The naive alternative to an append: rewrite every partition."""
-    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id")
-    (layout(df, partitions).write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .option("compression", "snappy")
-        .partitionBy("reference_name", "batch_id").parquet(root))
+    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id",
+                                        F.lit("0").alias("part_id"))
+    _write(layout(df, partitions), ["batch_id", "part_id", "reference_name"], "static", root)
     return root
 
 

@@ -40,7 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sample_name(key: Column) -> Column:
-    return F.concat(F.lit("sample_"), F.lpad(key.cast("string"), 6, "0"))
+    """``sample_`` and the key, padded to six digits; longer keys stay whole."""
+    text = key.cast("string")
+    return F.concat(F.lit("sample_"), F.lpad(text, F.greatest(F.length(text), F.lit(6)), F.lit("0")))
 
 
 def sites(part: DataFrame) -> DataFrame:

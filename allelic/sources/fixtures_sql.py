@@ -37,7 +37,7 @@ calls_base AS (
   SELECT s.reference_name, s.start,
          CAST(s.start + length(s.reference_bases) - 1 AS BIGINT) AS end_pos,
          s.reference_bases, s.alternate_bases,
-         'sample_' || lpad(CAST(p.o_custkey AS VARCHAR), 6, '0') AS sample_id,
+         'sample_' || lpad(CAST(p.o_custkey AS VARCHAR), greatest(6, length(CAST(p.o_custkey AS VARCHAR)))::INTEGER, '0') AS sample_id,
          CASE WHEN (p.o_custkey + s.site_key) % 8 = 0 THEN '1/1'
               WHEN (p.o_custkey + s.site_key) % 8 IN (1, 2) THEN '0/1'
               WHEN (p.o_custkey + s.site_key) % 8 = 3 THEN './.'
@@ -73,7 +73,7 @@ person AS (
          CAST(15 AS INTEGER) AS day_of_birth,
          CAST(8527 AS INTEGER) AS race_concept_id,
          CAST(38003564 AS INTEGER) AS ethnicity_concept_id,
-         'sample_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS sample_id
+         'sample_' || lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS sample_id
   FROM customer)"""
 
 _CTES["condition_occurrence"] = """

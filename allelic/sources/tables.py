@@ -6,19 +6,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.schema import (CALLS, CONDITION, PERSON, REFERENCE_DATA, VARIANT_DATA, WAREHOUSE,
+from pyspark.sql import types as T
+
+from allelic.schema import (CALLS_IN, CONDITION, PERSON, REFERENCE_DATA, VARIANT_DATA, WAREHOUSE,
                             conform_calls)
 
 
 def read_calls_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Calls from Parquet; accepts ``end`` or ``end_pos``; partition columns
-    (e.g. ``reference_name=`` directories) are discovered."""
-    return conform_calls(spark.read.parquet(path), keep_extra=True)
+    """Calls from Parquet with the declared schema; each file may name its end
+    column ``end`` or ``end_pos``; partition columns (e.g. ``reference_name=``
+    directories) are discovered, a batch id stays text."""
+    df = spark.read.schema(CALLS_IN).parquet(path)
+    if "batch_id" in df.columns:
+        schema = T.StructType(CALLS_IN.fields + [T.StructField("batch_id", T.StringType())])
+        df = spark.read.schema(schema).parquet(path)
+    return conform_calls(df, keep_extra=True)
 
 
 def read_calls_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Calls from JSON lines (or JSON arrays with ``multiline``)."""
-    df = spark.read.schema(CALLS).option("multiLine", multiline).json(path)
+    df = spark.read.schema(CALLS_IN).option("multiLine", multiline).json(path)
     return conform_calls(df)
 
 
@@ -42,7 +49,8 @@ def read_reference_data(spark: SparkSession, vds_path: str) -> DataFrame:
 
 
 def read_warehouse(spark: SparkSession, root: str) -> DataFrame:
-    """The ``reference_name=/batch_id=`` layout with its declared schema."""
+    """The ``batch_id=/part_id=/reference_name=`` layout with its declared
+    schema; the part is a matter of the writer."""
     return spark.read.schema(WAREHOUSE).parquet(root)
 
 

@@ -47,7 +47,7 @@ except Exception:  # noqa: BLE001 - older cloudpickle: rely on --py-files / inst
 MAX_BROADCAST_SAMPLES = 2_000_000  # files x samples held by the broadcast header
 MAX_BROADCAST_FILES = 100_000  # (file, sample count) rows held by a broadcast
 DEFAULT_COHORT, DEFAULT_ENGINE = "synthetic_v1", "s3_tables"
-_WS = r"^\s+|\s+$"
+_BLANKS = " \t\n\r\x0b\x0c"
 
 
 def _as_list(paths) -> list[str]:
@@ -63,7 +63,7 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
             raise FileNotFoundError(f"VCF file not found: {paths}") from e
         raise
     return raw.select(path_key(F.col("_metadata.file_path")).alias("file"),
-                      F.regexp_replace("value", _WS, "").alias("line"))
+                      F.btrim("value", F.lit(_BLANKS)).alias("line"))
 
 
 def path_key(c: Column) -> Column:
@@ -82,7 +82,7 @@ def _read_header_prefixes(batches):
         samples, found = [], []
         for uri in pdf["uri"]:
             fs, path = pfs.FileSystem.from_uri(uri)
-            got = None
+            got, early = None, False
             with fs.open_input_stream(path, compression=None) as raw:
                 stream = gzip.GzipFile(fileobj=raw) if uri.endswith(".gz") else raw
                 for line in io.TextIOWrapper(stream, encoding="utf-8"):
@@ -91,6 +91,9 @@ def _read_header_prefixes(batches):
                         parts = line.split("\t")
                         got = parts[9:] if len(parts) > 9 else []
                         break
+                    early = early or bool(line) and not line.startswith("#")
+            if early:
+                raise ValueError(f"Invalid VCF: records before the '#CHROM' header in {uri}")
             samples.append(got if got is not None else [])
             found.append(got is not None)
         yield pd.DataFrame({"uri": pdf["uri"], "samples": samples, "found": found})
@@ -127,7 +130,7 @@ def header_samples(lines: DataFrame) -> DataFrame:
         "file", F.split("line", "\t").alias("h"))
     h = h.select("file", F.when(F.size("h") > 9, F.slice("h", 10, F.size("h") - 9))
                  .otherwise(F.array().cast("array<string>")).alias("samples"))
-    return h.groupBy("file").agg(F.first("samples").alias("samples"))
+    return h.groupBy("file").agg(F.min("samples").alias("samples"))
 
 
 def vcf_samples(spark: SparkSession, paths) -> DataFrame:
@@ -189,16 +192,26 @@ def _digits_or_zero(v: Column) -> Column:
     return F.when(v.rlike("^[0-9]+$"), F.coalesce(v.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
 
 
+def _reject_bgz(inputs: list[str]) -> None:
+    """Readers choose the codec by suffix, and none knows this one."""
+    bad = [p for p in inputs if p.endswith(".bgz")]
+    if bad:
+        raise ValueError(f"block-gzipped files must be named .gz: {bad[:5]}")
+
+
 def resolve_headers(spark: SparkSession, paths, lines: DataFrame, inputs: list[str],
                     validate: bool = True, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES):
-    """(header frame, files x samples).  One collected row per file."""
+    """(header frame, files x samples).  One aggregate row reaches the driver."""
+    _reject_bgz(inputs)
     if inputs and _prefix_readable(inputs[0]):
         hdr = header_prefixes(spark, inputs)
-        rows = hdr.select("file", "found", F.size("samples").alias("n")).collect()
-        missing = sorted(r["file"] for r in rows if not r["found"])
-        if missing and validate:
-            raise ValueError(f"Invalid VCF: No '#CHROM' header found in {missing[:5]}")
-        return hdr.where(F.col("found")).select("file", "samples"), sum(r["n"] for r in rows)
+        absent = F.when(~F.col("found"), F.col("file"))
+        r = hdr.agg(F.sum(F.size("samples")).alias("n"), F.count(absent).alias("absent"),
+                    F.min(absent).alias("example")).first()
+        if r["absent"] and validate:
+            raise ValueError(f"Invalid VCF: No '#CHROM' header found in {r['absent']} files, "
+                             f"such as {r['example']}")
+        return hdr.where(F.col("found")).select("file", "samples"), r["n"] or 0
     hdr = header_samples(lines)
     if validate:
         rows = _check_headers(spark, paths, hdr)
@@ -209,26 +222,30 @@ def resolve_headers(spark: SparkSession, paths, lines: DataFrame, inputs: list[s
 def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
              engine: str = DEFAULT_ENGINE, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES,
              validate_headers: bool = True, repartition_compressed: bool = True,
-             carry: dict | None = None) -> DataFrame:
+             carry: dict | None = None, skip_missing: bool = False) -> DataFrame:
     """Parse VCF files (plain or gzip) into the 15-column call table.
+    ``skip_missing`` leaves out cells that are a single ``.`` (the writer's
+    mark for a sample without a call at the site).
     ``carry`` adds per-line columns (expressions over ``file``, e.g. a batch
     id taken from the path) that are kept on every call."""
     lines = read_lines(spark, paths)
     for name, expr in (carry or {}).items():
         lines = lines.withColumn(name, expr)
     inputs = spark.read.text(_as_list(paths)).inputFiles()
-    if repartition_compressed and any(p.endswith((".gz", ".bgz")) for p in inputs):
+    _reject_bgz(inputs)
+    if repartition_compressed and any(p.endswith(".gz") for p in inputs):
         # A gzip file is one input split: spread its lines before exploding.
         lines = lines.repartition(spark.sparkContext.defaultParallelism * 2)
     hdr, total = resolve_headers(spark, paths, lines, inputs, validate_headers,
                                  max_broadcast_samples)
     return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine,
-                       extra=list(carry or {}), n_files=len(inputs))
+                       extra=list(carry or {}), n_files=len(inputs), skip_missing=skip_missing)
 
 
 def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
                 cohort_id: str = DEFAULT_COHORT, engine: str = DEFAULT_ENGINE,
-                extra: list | None = None, n_files: int | None = None) -> DataFrame:
+                extra: list | None = None, n_files: int | None = None,
+                skip_missing: bool = False) -> DataFrame:
     """(file, line) rows + per-file headers -> calls.  ``extra`` columns of
     ``lines`` (e.g. a batch id) are carried to the output."""
     extra = extra or []
@@ -274,6 +291,8 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
         calls = per_line.select(*keep, F.posexplode("cells").alias("idx", "c"))
         names = hdr.select("file", F.posexplode("samples").alias("idx", "sample_id"))
         calls = calls.join(names, ["file", "idx"])
+    if skip_missing:
+        calls = calls.where(F.col("c") != ".")
     sf = F.split(F.col("c"), ":")
     calls = calls.withColumn("sf", sf)
 

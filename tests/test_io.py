@@ -11,7 +11,7 @@ from allelic.sinks import writers
 from allelic.sources import fixtures as fx
 from allelic.sources import tables
 from allelic.streaming.ingest import ingest_feed_stream
-from conftest import SF_SMALL
+from conftest import SF_SMALL, write_text
 
 
 def test_json_array_and_end_column(spark, tmpdir_path):
@@ -22,6 +22,16 @@ def test_json_array_and_end_column(spark, tmpdir_path):
     df = tables.read_calls_json(spark, p, multiline=True)
     r = df.first()
     assert df.columns == CALL_COLUMNS and r["start"] == 5 and r["genotype"] == "0/1"
+    assert r["end_pos"] == 5
+
+
+def test_parquet_files_with_either_end_column(spark, tmpdir_path):
+    rows = [("chr1", 5, 6), ("chr2", 8, 9)]
+    for k, name in enumerate(("end", "end_pos")):
+        df = spark.createDataFrame(rows[k:k + 1], f"reference_name string, start long, {name} long")
+        df.write.parquet(f"{tmpdir_path}/mixed/batch_id=00{k}")
+    got = tables.read_calls_parquet(spark, f"{tmpdir_path}/mixed").orderBy("start").collect()
+    assert [(r["end_pos"], r["batch_id"]) for r in got] == [(6, "000"), (9, "001")]
 
 
 def test_csv_export_has_header(spark, tmpdir_path):
@@ -53,6 +63,81 @@ def test_feed_stream(spark, tmpdir_path):
     assert {r[0] for r in got.select("engine").distinct().collect()} == {"delta_lake"}
 
 
+def test_two_feed_streams_add_up_and_default_the_cohort(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "two_feeds")
+    for k in range(2):
+        src = os.path.join(tmpdir_path, f"src{k}")
+        os.makedirs(src)
+        with open(f"{src}/a.json", "w") as f:
+            f.write(json.dumps({"reference_name": "chr1", "start": k, "end": k + 1, "cohort_id": "own"}) + "\n")
+            f.write(json.dumps({"reference_name": "chr1", "start": 10 + k}) + "\n")
+        ingest_feed_stream(spark, src, root, os.path.join(tmpdir_path, f"ck{k}"), f"store{k}")
+    got = {(r["start"], r["cohort_id"], r["engine"], r["end_pos"])
+           for r in tables.read_warehouse(spark, root).collect()}
+    assert got == {(0, "own", "store0", 1), (10, "online_feed", "store0", None),
+                   (1, "own", "store1", 2), (11, "online_feed", "store1", None)}
+
+
+def test_stream_files_of_one_batch_add_up(spark, tmpdir_path):
+    from allelic.streaming.ingest import ingest_vcf_stream
+    src, root = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "t")
+    os.makedirs(f"{src}/batch_001")
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1"
+    for k in range(3):
+        write_text(f"{src}/batch_001/f{k}.vcf", [head, f"chr1\t{k + 1}\t.\tA\tG\t.\tPASS\t.\tGT\t0/1"])
+    ingest_vcf_stream(spark, src, root, os.path.join(tmpdir_path, "ck"))  # one file a trigger
+    assert sorted(r["start"] for r in tables.read_warehouse(spark, root).collect()) == [1, 2, 3]
+
+
+def test_stream_needs_a_batch_id(spark, tmpdir_path):
+    import pytest
+    from allelic.streaming.ingest import ingest_vcf_stream
+    src = os.path.join(tmpdir_path, "free")
+    os.makedirs(src)
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1"
+    for name in ("site_a_run1.vcf", "site_b_run2.vcf"):
+        write_text(f"{src}/{name}", [head, "chr1\t7\t.\tA\tG\t.\tPASS\t.\tGT\t0/1"])
+    with pytest.raises(Exception, match="no batch id"):
+        ingest_vcf_stream(spark, src, f"{tmpdir_path}/t1", os.path.join(tmpdir_path, "ck1"))
+    ingest_vcf_stream(spark, src, f"{tmpdir_path}/t2", os.path.join(tmpdir_path, "ck2"), batch_id="7")
+    got = tables.read_warehouse(spark, f"{tmpdir_path}/t2").collect()
+    assert [(r["start"], r["batch_id"]) for r in got] == [(7, "7"), (7, "7")]
+
+
+def test_replay_drops_contigs_that_are_gone(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "replayed")
+    rows = spark.createDataFrame([("chr1", 1), ("chr5", 2)], "reference_name string, start long")
+    full = tables.conform_calls(rows)
+    writers.write_batch(full, root, batch_id="001")
+    writers.write_batch(full, root, batch_id="002")
+    writers.write_batch(full.where("reference_name = 'chr1'"), root, batch_id="001")
+    got = sorted((r["batch_id"], r["reference_name"]) for r in tables.read_warehouse(spark, root).collect())
+    assert got == [("001", "chr1"), ("002", "chr1"), ("002", "chr5")]
+
+
+def test_sample_ids_above_six_digits_stay_distinct(spark):
+    keys = spark.range(999_998, 1_000_012)
+    names = keys.select(fx.sample_name(F.col("id")).alias("s")).distinct()
+    assert names.count() == 14
+    assert fx.sample_name and keys.select(fx.sample_name(F.lit(7)).alias("s")).first()["s"] == "sample_000007"
+
+
+def test_shared_folder_is_required_off_local_mode(monkeypatch):
+    import pytest
+    from allelic import session
+
+    class Sc:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Spark:
+        sparkContext = Sc
+        conf = {}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Spark)
+
+
 def test_synthetic_calls_distribution_and_determinism(spark):
     skel = fx.variants(spark, SF_SMALL)
     a = synth.synthetic_calls(skel)

@@ -86,10 +86,12 @@ def test_omop_join_labels(spark, calls):
     assert labels[(2, None)] == ("UNKNOWN", "Other Clinical Condition")
 
 
-def test_browse_clamps_and_orders(calls):
-    rows = browse.browse_variants(calls, contig="chr21", sample_id="All", limit=5000).collect()
+def test_browse_orders_and_refuses_bad_pages(calls):
+    rows = browse.browse_variants(calls, contig="chr21", sample_id="All", limit=1000).collect()
     assert len(rows) == 8 and [r["start"] for r in rows] == sorted(r["start"] for r in rows)
-    assert browse.browse_variants(calls, limit=0).count() == 1
+    for limit in (0, -1, 1001):
+        with pytest.raises(ValueError, match="page size"):
+            browse.browse_variants(calls, limit=limit)
 
 
 def test_summary_levels(calls):
@@ -108,6 +110,9 @@ def test_policy(calls):
     assert m.columns == calls.columns and m.where(F.col("sample_id").isNotNull()).count() == 0
     with pytest.raises(ValueError):
         policy.published(calls)
+    for renamed in (calls.select(F.col("sample_id").alias("sid")), calls.select(F.col("sample_id").alias("qual"))):
+        with pytest.raises(ValueError):
+            policy.published(renamed)
 
 
 def test_vds_split_and_back(calls):

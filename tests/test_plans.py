@@ -116,3 +116,13 @@ def test_omop_join_filters_conditions_before_join(spark):
                                      max_broadcast_rows=0)
     assert "LeftSemi" not in plan(b)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_many_hot_keys_do_not_fail(spark, monkeypatch):
+    from allelic.plans import joins
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 3)
+    fact = spark.createDataFrame([(k, n) for k in range(8) for n in range(20 if k else 200)], "k long, n long")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(8)], "k long, v long")
+    assert len(joins.hot_keys(fact, ["k"], 10)) == 1
+    got = joins.join_dimension(fact, dim, "k", max_broadcast_rows=0, hot_rows=10)
+    assert sorted(map(tuple, got.collect())) == sorted((r["k"], r["n"], r["k"] * 10) for r in fact.collect())

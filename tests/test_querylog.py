@@ -59,7 +59,7 @@ def test_contig_partitioning(spark, tmpdir_path):
             ("chr22", 3, 3, "A", "G", "s1", "0/1", 1.0, "PASS", 1, 1, "", "{}", "c", "e")]
     root = os.path.join(tmpdir_path, "parts")
     writers.write_batch(spark.createDataFrame(rows, cols), root, batch_id="b1")
-    dirs = sorted(d for d in os.listdir(root) if d.startswith("reference_name="))
+    dirs = sorted(d for d in os.listdir(f"{root}/batch_id=b1/part_id=0") if d.startswith("reference_name="))
     assert dirs == ["reference_name=chr21", "reference_name=chr22"]
     got = {r["reference_name"]: r["count"] for r in
            tables.read_warehouse(spark, root).groupBy("reference_name").count().collect()}

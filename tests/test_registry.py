@@ -15,7 +15,7 @@ partition_counts scan_contig feed_append vds_variant_data vds_reference_data vds
 vds_to_calls partition_stats researcher_view steward_view researcher_masked
 published_frequencies scan_cost bench_summary bench_ranking bench_scaling n1_counts
 n1_incremental synthetic_calls synthetic_person synthetic_conditions calls_to_vcf
-compacted_equal
+compacted_equal feed_stream replay_equal append_after_compact
 """.split()
 ROWS_ONLY: set = set()
 

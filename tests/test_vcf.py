@@ -19,19 +19,18 @@ def _rows(df):
 
 def test_basic_two_samples(spark, tmpdir_path):
     p = write_text(os.path.join(tmpdir_path, "a.vcf"), [
-        "##fileformat=VCFv4.2", HDR,
-        "chr21\t25891796\tid1\tA\tG\t99.0\tPASS\tAF=0.5;GENE=APP;CLNSIG=PATHOGENIC\tGT:DP:GQ:AD\t"
-        "0/1:30:99:15,15\t0/0:25:80:25,0"])
+        "##source=made by this test", HDR,
+        "\t".join(["chr7", "5530600", ".", "CTT", "C", "61.5", "q20", "DP=18;GENE=ACTB;SOMATIC", "GT:GQ:DP:AD",
+                   "1/1:44:18:1,17", "0/1:51:22:12,10"])])
     df = read_vcf(spark, p)
-    assert len(df.columns) == 15
     rows = _rows(df)
-    assert len(rows) == 2
-    r = rows[("chr21", 25891796, "S1")]
-    assert r["genotype"] == "0/1" and r["dp"] == 30 and r["gq"] == 99
-    assert r["allele_depth"] == "15,15" and r["end_pos"] == 25891796
-    assert json.loads(r["attributes"])["gene"] == "APP"
-    assert r["cohort_id"] == "synthetic_v1" and r["engine"] == "s3_tables"
-    assert rows[("chr21", 25891796, "S2")]["genotype"] == "0/0"
+    assert len(df.columns) == 15 and set(rows) == {("chr7", 5530600, "S1"), ("chr7", 5530600, "S2")}
+    first, second = rows["chr7", 5530600, "S1"], rows["chr7", 5530600, "S2"]
+    assert (first["genotype"], first["dp"], first["gq"], first["allele_depth"]) == ("1/1", 18, 44, "1,17")
+    assert (second["genotype"], second["dp"], second["gq"], second["allele_depth"]) == ("0/1", 22, 51, "12,10")
+    assert first["end_pos"] == 5530602 and first["qual"] == 61.5 and first["filter"] == "q20"
+    assert json.loads(second["attributes"]) == {"dp": "18", "gene": "ACTB", "somatic": "true"}
+    assert (first["cohort_id"], first["engine"]) == ("synthetic_v1", "s3_tables")
 
 
 def test_edge_cases(spark, tmpdir_path):
@@ -150,3 +149,24 @@ def test_writer_salted_sample_list_join(spark, tmpdir_path, monkeypatch):
     monkeypatch.setattr(vw, "MAX_BROADCAST_SAMPLES", 0)
     b = sorted(r["line"] for r in vw.vcf_lines(calls).collect())
     assert a == b and len(a) == len(vw.META_LINES) + 1 + 2
+
+
+def test_writer_places_cells_by_sample_and_refuses_two(spark, tmpdir_path):
+    from allelic.schema import CALLS
+    row = lambda s, gt, q: ("chr1", 100, 100, "A", "G", s, gt, q, "PASS", 9, 8, "9,0", '{"gene":"X"}', "c", "e")
+    calls = [row("C", "0/1", 1.0), row("A", "1/1", 1.0), row("B", "0/0", 2.0)]
+    write_vcf(spark.createDataFrame(calls, CALLS), f"{tmpdir_path}/v")
+    back = read_vcf(spark, f"{tmpdir_path}/v", skip_missing=True).collect()
+    assert {(r["sample_id"], r["genotype"], r["qual"]) for r in back} == {("A", "1/1", 1.0), ("B", "0/0", 2.0), ("C", "0/1", 1.0)}
+    with pytest.raises(Exception, match="two calls of one sample at chr1:100"):
+        write_vcf(spark.createDataFrame([*calls, row("A", "0/1", 1.0)], CALLS), f"{tmpdir_path}/w")
+
+
+def test_records_before_the_header_and_unknown_suffixes_are_errors(spark, tmpdir_path):
+    body = "chr1\t7\t.\tA\tG\t.\tPASS\t.\tGT\t0/1\t0/0"
+    early = write_text(os.path.join(tmpdir_path, "early.vcf"), [body, HDR, body])
+    with pytest.raises(Exception, match="before the '#CHROM' header"):
+        read_vcf(spark, early).collect()
+    bgz = write_text(os.path.join(tmpdir_path, "x.vcf.bgz"), [HDR, body], gz=True)
+    with pytest.raises(ValueError, match="must be named .gz"):
+        read_vcf(spark, bgz)
