@@ -1,9 +1,13 @@
 """Sparse split layout (B5, A8): variant rows with INFO, reference rows
 without, and the inverse view back to calls.
 
-The export is one pass over the calls: both tables are written by a single
-job as ``table=variant_data`` / ``table=reference_data`` partitions of the
-export folder (reference rows carry no INFO), so the input is read once.
+The export is one pass over the calls: a row's table is an expression, and
+one job writes ``table=variant_data`` / ``table=reference_data`` folders,
+each parted by contig and sorted by position.  Reference rows have a null
+INFO.  Beside the columns of the split format every row keeps quality,
+filter, cohort and engine, and reference rows the annotations of their site
+(``site_info``), so the calls come back whole; in sorted files these columns
+are runs of one value.
 
 Default mode keeps every original call: only ``0/0`` goes to reference
 data, everything else (carriers, ``./.``, phased or multi-allelic calls)
@@ -23,38 +27,37 @@ from allelic.schema import CALL_COLUMNS
 
 VDS_VERSION, GENOME = "v1.0", "GRCh38"
 VARIANT_TABLE, REFERENCE_TABLE = "variant_data", "reference_data"
+SPLIT_COLUMNS = ["locus_contig", "locus_position", "alleles", "sample_id", "call", "dp", "gq", "ad", "info"]
+KEPT_COLUMNS = ["qual", "filter", "cohort_id", "engine", "site_info"]
 
 
-def _base(calls: DataFrame) -> DataFrame:
+def split_rows(calls: DataFrame, compat: bool = False) -> DataFrame:
+    """Every call as a row of the split layout, with its ``table``."""
     ad = F.transform(F.filter(F.split("allele_depth", ","), lambda x: x.rlike("^[0-9]+$")),
                      lambda x: x.try_cast("int"))
+    variant = F.coalesce(is_carrier() if compat else F.col("genotype") != "0/0", F.lit(not compat))
+    call = F.when(variant, F.col("genotype")).otherwise(F.lit("0/0")) if compat else F.col("genotype")
     return calls.select(
-        F.col("reference_name").alias("locus_contig"),
-        F.col("start").alias("locus_position"),
+        F.when(variant, VARIANT_TABLE).otherwise(REFERENCE_TABLE).alias("table"),
+        F.col("reference_name").alias("locus_contig"), F.col("start").alias("locus_position"),
         F.array("reference_bases", "alternate_bases").alias("alleles"),
-        "sample_id", "genotype", "dp", "gq", ad.alias("ad"), F.col("attributes").alias("info"))
+        "sample_id", call.alias("call"), "dp", "gq", ad.alias("ad"),
+        F.when(variant, F.col("attributes")).alias("info"),
+        "qual", "filter", "cohort_id", "engine", F.when(~variant, F.col("attributes")).alias("site_info"))
 
 
 def split_vds(calls: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFrame]:
-    b = _base(calls)
-    cols = ["locus_contig", "locus_position", "alleles", "sample_id", "call", "dp", "gq", "ad"]
-    if compat:
-        var = b.where(is_carrier()).withColumn("call", F.col("genotype"))
-        ref = b.where(~is_carrier() | F.col("genotype").isNull()).withColumn("call", F.lit("0/0"))
-    else:
-        hom_ref = F.col("genotype") == "0/0"
-        var = b.where(~hom_ref | F.col("genotype").isNull()).withColumn("call", F.col("genotype"))
-        ref = b.where(hom_ref).withColumn("call", F.col("genotype"))
-    return var.select(*cols, "info"), ref.select(*cols)
+    rows = split_rows(calls, compat)
+    var = rows.where(F.col("table") == VARIANT_TABLE).drop("table")
+    ref = rows.where(F.col("table") == REFERENCE_TABLE).drop("table", "info")
+    return var, ref
 
 
 def write_vds(spark: SparkSession, calls: DataFrame, path: str, compat: bool = False) -> dict:
     """Write both tables in one job and a small metadata record beside them."""
-    var, ref = split_vds(calls, compat)
-    both = (var.withColumn("table", F.lit(VARIANT_TABLE))
-            .unionByName(ref.withColumn("info", F.lit(None).cast("string"))
-                            .withColumn("table", F.lit(REFERENCE_TABLE))))
-    both.write.mode("overwrite").partitionBy("table").parquet(path)
+    keys = ["table", "locus_contig", "locus_position", "sample_id"]
+    (split_rows(calls, compat).repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").partitionBy("table", "locus_contig").parquet(path))
     row = vds_counts(spark, path).first()
     info = {"version": VDS_VERSION, "reference_genome": GENOME,
             "variant_data_rows": row["variant_rows"], "reference_data_rows": row["reference_rows"]}
@@ -75,19 +78,21 @@ def vds_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def vds_to_calls(variant_data: DataFrame, reference_data: DataFrame) -> DataFrame:
-    """Union both tables back into the call shape (reference rows have no
-    INFO, so ``attributes`` is null there)."""
+    """Union both tables back into the call shape; what a table does not have
+    is null (an export of the bare split columns has no quality, and no
+    annotations on reference rows)."""
     u = variant_data.unionByName(reference_data, allowMissingColumns=True)
+    types = {"qual": "double"}
+    for c in KEPT_COLUMNS:
+        if c not in u.columns:
+            u = u.withColumn(c, F.lit(None).cast(types.get(c, "string")))
     out = u.select(
         F.col("locus_contig").alias("reference_name"),
         F.col("locus_position").cast("long").alias("start"),
         (F.col("locus_position") + F.length(F.col("alleles")[0]) - 1).cast("long").alias("end_pos"),
         F.col("alleles")[0].alias("reference_bases"),
         F.col("alleles")[1].alias("alternate_bases"),
-        "sample_id", F.col("call").alias("genotype"),
-        F.lit(None).cast("double").alias("qual"), F.lit(None).cast("string").alias("filter"),
-        "dp", "gq",
+        "sample_id", F.col("call").alias("genotype"), "qual", "filter", "dp", "gq",
         F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("allele_depth"),
-        F.col("info").alias("attributes"),
-        F.lit(None).cast("string").alias("cohort_id"), F.lit(None).cast("string").alias("engine"))
+        F.coalesce("info", "site_info").alias("attributes"), "cohort_id", "engine")
     return out.select(*CALL_COLUMNS)

@@ -220,13 +220,22 @@ def _q_vds_to_calls(s, d):
         .select(*_PARITY_COLS, "attributes")
 
 
+def _vds_calls(s, d):
+    return tables.read_vds_calls(s, _vds(s, d))
+
+
+# the same queries on the split layout
+register("allele_frequency_vds")(lambda s, d: frequency.allele_frequency(_vds_calls(s, d), "chr21", "PASS"))
+register("gene_burden_vds")(lambda s, d: burden.gene_burden(_vds_calls(s, d), "APP", "chr21"))
+register("omop_join_vds")(lambda s, d: clinical.omop_phenotype_join(
+    _vds_calls(s, d), fx.person(s, d), fx.condition_occurrence(s, d), T_CONTIG, T_START))
+
+
 @register("layout_parity")
 def _q_layout_parity(s, d):
-    wh = tables.read_warehouse(s, _warehouse(s, d)).select(*_PARITY_COLS)
-    p = _vds(s, d)
-    back = vds_ops.vds_to_calls(tables.read_variant_data(s, p),
-                                tables.read_reference_data(s, p))
-    return diff_counts(wh, back.select(*_PARITY_COLS))
+    """Every column of every call, partitioned against split layout."""
+    wh = tables.read_warehouse(s, _warehouse(s, d)).select(*CALL_COLUMNS)
+    return diff_counts(wh, _vds_calls(s, d))
 
 
 @register("compacted_equal")

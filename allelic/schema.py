@@ -76,6 +76,14 @@ VARIANT_DATA = T.StructType([
     T.StructField("ad", T.ArrayType(T.IntegerType())),
     T.StructField("info", T.StringType()),
 ])
+# What the split export keeps besides, so that calls come back whole.
+VDS_KEPT = T.StructType([
+    T.StructField("qual", T.DoubleType()),
+    T.StructField("filter", T.StringType()),
+    T.StructField("cohort_id", T.StringType()),
+    T.StructField("engine", T.StringType()),
+    T.StructField("site_info", T.StringType()),
+])
 REFERENCE_DATA = T.StructType([f for f in VARIANT_DATA.fields if f.name != "info"])
 
 # One row per executed query (the query log rolled up by H1-H3).

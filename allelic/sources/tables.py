@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from allelic.schema import (CALLS_IN, CONDITION, PERSON, REFERENCE_DATA, VARIANT_DATA, WAREHOUSE,
+from allelic.schema import (CALLS_IN, CONDITION, PERSON, REFERENCE_DATA, VARIANT_DATA, VDS_KEPT, WAREHOUSE,
                             conform_calls)
 
 
@@ -48,6 +48,15 @@ def read_reference_data(spark: SparkSession, vds_path: str) -> DataFrame:
     return spark.read.schema(REFERENCE_DATA).parquet(f"{vds_path}/table=reference_data")
 
 
+def read_vds_calls(spark: SparkSession, vds_path: str) -> DataFrame:
+    """An export of ``write_vds`` as the calls it was made from, in one scan;
+    contig filters prune directories."""
+    from allelic.operators.vds import vds_to_calls
+    kept = T.StructType(VARIANT_DATA.fields + VDS_KEPT.fields)
+    rows = spark.read.schema(kept).parquet(vds_path)
+    return vds_to_calls(rows, rows.limit(0))
+
+
 def read_warehouse(spark: SparkSession, root: str) -> DataFrame:
     """The ``batch_id=/part_id=/reference_name=`` layout with its declared
     schema; the part is a matter of the writer."""

@@ -16,6 +16,7 @@ vds_to_calls partition_stats researcher_view steward_view researcher_masked
 published_frequencies scan_cost bench_summary bench_ranking bench_scaling n1_counts
 n1_incremental synthetic_calls synthetic_person synthetic_conditions calls_to_vcf
 compacted_equal feed_stream replay_equal append_after_compact
+allele_frequency_vds gene_burden_vds omop_join_vds
 """.split()
 ROWS_ONLY: set = set()
 
