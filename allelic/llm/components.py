@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from allelic.llm.common import materialise
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _stars(edges: DataFrame) -> bool:
+    """Whether each vertex hangs on one root, and no root on another."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not seen.where("up > 1 or up = 1 and down = 1").head(1)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -24,18 +27,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     e = materialise(spark, e, "cc")
-    mark = _mark(e)
-    while mark[0]:
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = materialise(spark, large, "cc_large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b")))).where("a <> b").distinct()
-        e = materialise(spark, small, "cc_small")
-        now = _mark(e)
-        if now == mark:
-            break
-        mark = now
+        e = materialise(spark, small, "cc")
     return e.select(F.col("a").alias("id"), F.col("b").alias("component"))

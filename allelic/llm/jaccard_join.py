@@ -8,7 +8,9 @@ shingles, so replicating each document into the regions of its first
 ``floor((1 - T) * size) + 1`` pivots lets every linked pair meet.  (Document
 pivots tell nothing at this level: nearly all documents are at distance 1.)
 
-Inside a region documents are pivots.  Every document is first held against
+Inside a region documents are pivots.  Pairs whose sizes or parity sketches
+prove a distance beyond the threshold are set aside; the others are compared
+exactly.  Every document is first held against
 its nearest pivot document, the one with which it shares most regions; links
 join documents to components.  A region whose documents are in one component
 is done.  The others recurse: further documents of the region become pivots,
@@ -42,20 +44,64 @@ PERCENT = 75
 COUNTERS, BLOCK = 1 << 19, 1 << 12
 #: Ids of which a semi-join is broadcast; beyond, the join shuffles.
 BROADCAST_IDS = 2_000_000
-FIRST_PIVOTS, MOST_PIVOTS = 8, 256
+FIRST_PIVOTS, MOST_PIVOTS = 16, 256
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set size and 128-bit fingerprint of each document."""
+    """Set size, 128-bit fingerprint and parity sketch of each document."""
     for batch in batches:
-        n, f1, f2 = [], [], []
+        n, f1, f2, odd = [], [], [], []
         with np.errstate(over="ignore"):
             for _, s in shingle_sets(batch["text"]):
                 n.append(len(s))
                 f1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64).astype(np.int64))
                 f2.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
+                odd.append(parity(s))
         yield pa.RecordBatch.from_arrays([batch["id"], pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
-                                          pa.array(f2, pa.int64())], ["id", "n", "f1", "f2"])
+                                          pa.array(f2, pa.int64()), pa.array(odd, pa.binary())], ["id", "n", "f1", "f2", "odd"])
+
+
+def parity(s: np.ndarray) -> bytes:
+    """Parities of the number of shingles at each of some bits, about as many
+    bits as shingles (a power of two).  Where two sketches differ in m bits,
+    the sets differ in m shingles at least."""
+    bits = 1 << max(6, int(len(s) - 1).bit_length())
+    counts = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _within(percent: int):
+    """Least distance of each pair by sizes and sketches, and whether it
+    allows a link: sets that link differ in at most ``(100 - percent) / (100 +
+    percent)`` of their summed sizes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least, keep = [], []
+            for n, m, x, y in zip(*(batch[c].to_pylist() for c in ("na", "nb", "oa", "ob"))):
+                bits, more = 8 * len(x), 8 * len(y)
+                x, y = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+                while bits > more:  # fold the longer sketch
+                    bits //= 2
+                    x = (x >> bits) ^ (x & ((1 << bits) - 1))
+                while more > bits:
+                    more //= 2
+                    y = (y >> more) ^ (y & ((1 << more) - 1))
+                differ = max((x ^ y).bit_count(), abs(n - m))
+                least.append(2 * differ / (n + m + differ))
+                keep.append((100 + percent) * differ <= (100 - percent) * (n + m))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(least, pa.float64()), pa.array(keep, pa.bool_())],
+                                             ["a", "b", "lo", "likely"])
+    return run
+
+
+def _bounds(pairs: DataFrame, stats: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with their least distance ``lo`` by sketch, and whether
+    a link is ``likely``."""
+    a = stats.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa"))
+    b = stats.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob"))
+    return (pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "oa", "ob")
+            .mapInArrow(_within(percent), "a long, b long, lo double, likely boolean")
+            .groupBy("a", "b").agg(F.min("lo").alias("lo"), F.max("likely").alias("likely")))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +224,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     every = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    stats = materialise(spark, every.mapInArrow(_scan, "id long, n long, f1 long, f2 long"), "join_stats")
+    stats = materialise(spark, every.mapInArrow(_scan, "id long, n long, f1 long, f2 long, odd binary"), "join_stats")
     usable = stats.where("n > 0 and id is not null")
     classes = usable.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     member = materialise(spark, usable.join(classes, ["n", "f1", "f2"]).select("id", "rep").distinct(), "join_classes")
@@ -193,45 +239,72 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .mapInArrow(_members, "s long, p long, id long"))
     regions = materialise(spark, regions, "join_regions")
 
-    shared = regions.groupBy("p", "id").agg(F.count(F.lit(1)).alias("shared"))
-    near = materialise(spark, shared, "join_near")
-    wanted = near.select(F.col("p").alias("id")).unionByName(near.select("id")).distinct()
-    sets = materialise(spark, _only(texts, wanted, "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "join_sets")
+    shared = materialise(spark, regions.groupBy("p", "id").agg(F.count(F.lit(1)).alias("shared")), "join_shared")
+    bound = materialise(spark, _bounds(shared.select(F.col("p").alias("a"), F.col("id").alias("b")), usable, percent), "join_bounds")
+    near = materialise(spark, bound.where("likely").join(
+        shared.select(F.col("p").alias("a"), F.col("id").alias("b"), "shared"), ["a", "b"]), "join_near")
+    sets = _Sets(spark, texts)
 
     # first the nearest pivot document of each document, then what that leaves open
-    best = near.groupBy("id").agg(F.max(F.struct("shared", (-F.col("p")).alias("q"))).alias("x")).select(
-        (-F.col("x.q")).alias("a"), F.col("id").alias("b"))
-    known = materialise(spark, _compare(best, sets, percent), "join_known")
+    best = near.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("q"))).alias("x")).select(
+        (-F.col("x.q")).alias("a"), "b")
+    known = materialise(spark, _compare(best, sets.of(near), percent), "join_known")
     links = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     labels = components(spark, known.where("link").select("a", "b").unionByName(links))
-    open_pairs = _apart(near.select(F.col("p").alias("a"), F.col("id").alias("b")), labels).join(
-        known, ["a", "b"], "left_anti")
-    known = known.unionByName(materialise(spark, _compare(open_pairs, sets, percent), "join_known"))
+    open_pairs = _apart(near.select("a", "b"), labels).join(known, ["a", "b"], "left_anti")
+    known = known.unionByName(materialise(spark, _compare(open_pairs, sets.of(near), percent), "join_known"))
     labels = components(spark, known.where("link").select("a", "b").unionByName(links))
 
     # regions whose documents are still apart: further pivots, in windows
     slack = 1 - percent / 100 + 1e-9
     pivots = FIRST_PIVOTS
-    left = _open(regions.join(known.select(F.col("a").alias("p"), F.col("b").alias("id"), "d"), ["p", "id"], "left"), labels)
-    left = materialise(spark, left, "join_open")
+    exact = known.groupBy("a", "b").agg(F.min("d").alias("d"))
+    span = bound.join(exact, ["a", "b"], "left").select(
+        F.col("a").alias("p"), F.col("b").alias("id"), F.coalesce("d", "lo").alias("lo"), F.coalesce("d", F.lit(1.0)).alias("hi"))
+    left = materialise(spark, _open(regions, labels).join(span, ["p", "id"], "left"), "join_open")
     while left.head(1):
-        nth = F.row_number().over(Window.partitionBy("s").orderBy("id"))
-        ranked = left.withColumn("nth", nth)
-        heads = ranked.where(F.col("nth") <= pivots).select("s", "p", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("d").alias("da"))
-        pairs = (ranked.drop("p").join(heads, "s").where("id > a and c <> ca")
-                 .where(f"d is null or da is null or abs(d - da) <= {slack!r}")
-                 .select("a", F.col("id").alias("b")).distinct().join(known, ["a", "b"], "left_anti"))
-        known = known.unionByName(materialise(spark, _compare(pairs, sets, percent), "join_known"))
-        labels = components(spark, known.where("link").select("a", "b").unionByName(links))
-        rest = ranked.where(F.col("nth") > pivots).drop("nth", "c")
+        # documents of small components first: when they are through, one component is left
+        ranked = left.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("s", "c")))
+        ranked = ranked.withColumn("nth", F.row_number().over(Window.partitionBy("s").orderBy("many", "c", "id")))
+        heads = ranked.where(F.col("nth") <= pivots).select("s", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("nth").alias("na"),
+                                                            F.col("lo").alias("la"), F.col("hi").alias("ha"))
+        pairs = (ranked.join(heads, "s").where("nth > na and c <> ca")
+                 .where(f"coalesce(greatest(lo - ha, la - hi), 0) <= {slack!r}")
+                 .select(F.greatest("a", "id").alias("b"), F.least("a", "id").alias("a")).distinct()
+                 .join(known, ["a", "b"], "left_anti"))
+        pairs = _bounds(pairs, usable, percent).where("likely").select("a", "b")
+        pairs = materialise(spark, pairs, "join_pairs")
+        if pairs.head(1):
+            known = known.unionByName(materialise(spark, _compare(pairs, sets.of(pairs), percent), "join_known"))
+            labels = components(spark, known.where("link").select("a", "b").unionByName(links))
+        rest = ranked.where(F.col("nth") > pivots).drop("nth", "many", "c")
         left = materialise(spark, _open(rest, labels), "join_open")
-        pivots = min(MOST_PIVOTS, 2 * pivots)
+        pivots = min(MOST_PIVOTS, 4 * pivots)
 
     return stats.join(labels, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
 
 
+class _Sets:
+    """Shingle sets of the documents that are compared, made when first asked
+    for and kept as tables."""
+
+    def __init__(self, spark: SparkSession, texts: DataFrame):
+        self.spark, self.texts, self.made = spark, texts, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        if self.made is not None:
+            ids = ids.join(self.made.select("id"), "id", "left_anti")
+        ids = materialise(self.spark, ids, "join_ids")
+        if self.made is None or ids.head(1):
+            more = _only(self.texts, ids, "left_semi").mapInArrow(_sets, "id long, shingles array<long>")
+            more = materialise(self.spark, more, "join_sets")
+            self.made = more if self.made is None else self.made.unionByName(more)
+        return self.made
+
+
 def _label(rows: DataFrame, labels: DataFrame, col: str, to: str) -> DataFrame:
     of = labels.select(F.col("id").alias(col), F.col("component").alias(to))
     return rows.join(of, col, "left").withColumn(to, F.coalesce(to, col))
@@ -243,10 +316,13 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _open(regions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the regions that still hold two components, with theirs."""
+    """Rows of the regions that still hold two components, with theirs; of
+    regions with the same documents, one stands for all."""
     rows = _label(regions, labels, "id", "c")
-    mixed = rows.groupBy("s").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("s")
-    return rows.join(mixed, "s", "left_semi")
+    mixed = rows.groupBy("s").agg(
+        F.min("c").alias("x"), F.max("c").alias("y"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("h2")).where("x <> y")
+    return rows.join(mixed.groupBy("n", "h1", "h2").agg(F.min("s").alias("s")).select("s"), "s", "left_semi")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
