@@ -14,8 +14,10 @@ windows have equal anchors, and every window belongs to exactly one.
   both is repeated, and one of them stands for all in what follows.
 * What is still open, the edges of repeats, is refined window by window: the
   200 bytes of each window of a bucket are compared in full.  A bucket beyond
-  ``BUCKET`` members, or hot in a sample, is refined by a further sort on the
-  windows' identifiers instead (128 bits each), spread over all tasks.
+  ``BUCKET`` members, or hot in a sample, is refined by further sorts on
+  identifiers instead (128 bits each), spread over all tasks: first of blocks
+  of ``BLOCK`` windows, where equal blocks are repeated whole and blocks whose
+  windows share no string with another block's go, then of the windows left.
 
 Python works on Arrow batches and on sorted rows with bounded buffers; Spark
 deals and sorts.
@@ -40,6 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH, Q = 200, 100
 #: Most members of a bucket that one task refines in memory.
 BUCKET = 2_000
+#: Windows of a block, by their distance from the anchor.
+BLOCK = 8
 #: Documents of the sample that looks for hot buckets, the share of them that
 #: makes a bucket hot, and the most hot buckets; they only decide the dealing.
 SAMPLE, HOT_SHARE, MOST_HOT = 5_000, 0.01, 1_000
@@ -125,7 +129,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(out) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["g", "o", "id", "x"])
+    """The third and later anchors here with one neighbourhood are known to be
+    covered; they get a negative place, and are dealt out freely."""
+    g, o, ids, x = (np.concatenate(c) for c in zip(*out))
+    order = np.lexsort((o, g))
+    same = (g[order][1:] == g[order][:-1]) & (o[order][1:] == o[order][:-1])
+    third = order[2:][same[1:] & same[:-1]]
+    x[third] = ~x[third]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (g, o, ids, x)], ["g", "o", "id", "x"])
 
 
 _OPEN = "kind int, g long, id long, x long"
@@ -141,6 +152,10 @@ def _refine(hot):
         held = None
         for batch in batches:
             rows = [batch[c].to_numpy() for c in ("g", "o", "id", "x")]
+            known = rows[3] < 0
+            if known.any():
+                yield _kinds(COVERED, rows[0][known], rows[2][known], ~rows[3][known])
+                rows = [r[~known] for r in rows]
             if not len(rows[0]):
                 continue
             if held is not None:
@@ -201,7 +216,7 @@ def _loosen(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
-_CONTEXT = "g long, id long, first long, lead int, kind int, bytes binary"
+_CONTEXT = "g long, id long, first long, lead int, kind int, bytes binary, far int"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +226,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, z, marks in zip(batch["id"].to_pylist(), batch["z"], batch["marks"]):
             text = _loosen(z.as_py())
             for m in marks.as_py():
-                _, first, last = _unpack(m["x"])
-                out.append((m["g"], i, first, last - first, m["kind"], text[first:last + LENGTH]))
+                pos, first, last = _unpack(m["x"])
+                out.append((m["g"], i, first, last - first, m["kind"], text[first:last + LENGTH], pos - first))
                 size += 1
             if size > 20_000:
                 yield _batch(out, _CONTEXT)
@@ -230,7 +245,7 @@ def _batch(rows, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, t in zip(cols, types)], list(names))
 
 
-_FOUND = "id long, a long, b long, k1 long, k2 long"
+_FOUND = "id long, a long, b long, k binary, i binary, bytes binary"
 
 
 def _runs(i, first, hits) -> list:
@@ -241,21 +256,30 @@ def _runs(i, first, hits) -> list:
             b = h
             continue
         if a is not None:
-            out.append((i, first + a, first + b + LENGTH, 0, 0))
+            out.append((i, first + a, first + b + LENGTH, None, None, None))
         a = b = h
     if a is not None:
-        out.append((i, first + a, first + b + LENGTH, 0, 0))
+        out.append((i, first + a, first + b + LENGTH, None, None, None))
     return out
 
 
-def _windows(member) -> list:
-    """Identifiers of the windows of one anchor, for the further sort."""
-    i, first, lead, kind, data = member
-    out = []
-    for w in range(lead + 1):
-        d = hashlib.blake2b(data[w:w + LENGTH], digest_size=16).digest()
-        out.append((i, first + w if kind == OPEN else -1, -1, int.from_bytes(d[:8], "little", signed=True),
-                    int.from_bytes(d[8:], "little", signed=True)))
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _blocks(member) -> list:
+    """Blocks of the windows of one anchor, for the further sorts: identifiers
+    of all their bytes and of the bytes that every window of a full block has.
+    Stand-ins have no place."""
+    i, first, lead, kind, data, far = member
+    out, w = [], 0
+    while w <= lead:
+        low = (far - w) // BLOCK * BLOCK  # least distance from the anchor in this block
+        end = min(lead, far - low)
+        core = far - low
+        out.append((i, first + w if kind == OPEN else -1, -1, _digest(data[w:end + LENGTH]),
+                    _digest(data[core:core + LENGTH - BLOCK + 1]), data[w:end + LENGTH]))
+        w = end + 1
     return out
 
 
@@ -263,7 +287,7 @@ def _compare(members) -> list:
     """Covered ranges of the open members of one bucket, by full comparison."""
     seen: dict = {}
     hits = [set() for _ in members]
-    for m, (_, _, lead, _, data) in enumerate(members):
+    for m, (_, _, lead, _, data, _) in enumerate(members):
         for w in range(lead + 1):
             s = data[w:w + LENGTH]
             other = seen.setdefault(s, (m, w))
@@ -274,23 +298,23 @@ def _compare(members) -> list:
 
 
 def _resolve(hot):
-    """Rows sorted by bucket: covered ranges (k1 and k2 zero, b not -1), and
-    window identifiers of buckets too large for one task (b is -1)."""
+    """Rows sorted by bucket: covered ranges (b not -1), and blocks of windows
+    of buckets too large for one task (b is -1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, members, large, out = None, [], False, []
         for batch in batches:
-            for g, *member in zip(*(batch[c].to_pylist() for c in ("g", "id", "first", "lead", "kind", "bytes"))):
+            for g, *member in zip(*(batch[c].to_pylist() for c in ("g", "id", "first", "lead", "kind", "bytes", "far"))):
                 if g != bucket:
                     out += _compare(members)
                     bucket, members, large = g, [], g in hot
                 if large:
-                    out += _windows(member)
+                    out += _blocks(member)
                 else:
                     members.append(member)
                     if len(members) > BUCKET:
                         large = True
                         for m in members:
-                            out += _windows(m)
+                            out += _blocks(m)
                         members = []
                 if len(out) > 50_000:
                     yield _batch(out, _FOUND)
@@ -345,6 +369,25 @@ def _deal(hot: list[int], *more: str) -> Column:
     return F.when(F.col("g").isin(hot), F.xxhash64("g", *more)).otherwise(F.col("g"))
 
 
+def _late(spark: SparkSession, blocks: DataFrame) -> DataFrame:
+    """Covered ranges of the blocks of large buckets: of blocks that repeat
+    whole, and of the windows that repeat in blocks with a common core."""
+    one = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "a")).alias("at"),
+                                  F.first("i").alias("i"), F.first("bytes").alias("bytes"))
+    one = materialise(spark, one, "suffix_blocks")
+    whole = (blocks.where("a >= 0").join(one.where("n > 1").select("k"), "k", "left_semi")
+             .select("id", "a", (F.col("a") + F.octet_length("bytes")).alias("b")))
+    cores = one.groupBy("i").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    starts = F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)
+    windows = (one.join(cores, "i", "left_semi").select("n", "at.id", "at.a", "bytes", F.explode(starts).alias("w"))
+               .select("n", "id", "a", "w", F.unhex(F.md5(F.substring("bytes", F.col("w") + 1, F.lit(LENGTH)))).alias("h")))
+    windows = materialise(spark, windows, "suffix_late")
+    twice = windows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    single = (windows.where("n = 1 and a >= 0").join(twice, "h", "left_semi")
+              .select("id", (F.col("a") + F.col("w")).alias("a"), (F.col("a") + F.col("w") + LENGTH).alias("b")))
+    return whole.unionByName(single)
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs), ``kept_sha256`` of the bytes left, and ``removed``
@@ -368,7 +411,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = parallelism(spark)
 
     found = raw.mapInArrow(_scan, "g long, o long, id long, x long")
-    found = (found.repartition(parts, _deal(hot, "o")).sortWithinPartitions("g", "o")
+    place = F.when(F.col("x") < 0, F.xxhash64("id", "x")).otherwise(_deal(hot, "o"))
+    found = (found.repartition(parts, place).sortWithinPartitions("g", "o")
              .mapInArrow(_refine(np.array(hot, np.int64)), _OPEN))
     found = materialise(spark, found, "suffix_buckets")
 
@@ -380,9 +424,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .mapInArrow(_resolve(frozenset(hot)), _FOUND))
     resolved = materialise(spark, resolved, "suffix_windows")
 
-    keys = resolved.where("b = -1").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    late = (resolved.where("b = -1 and a >= 0").join(keys, ["k1", "k2"], "left_semi")
-            .select("id", "a", (F.col("a") + LENGTH).alias("b")))
+    late = _late(spark, resolved.where("b = -1"))
     pos = F.shiftright("x", 16)
     whole = found.where(F.col("kind") == COVERED).select(
         "id", (pos - F.col("x").bitwiseAND(255)).alias("a"),
