@@ -49,8 +49,8 @@ def splitters(docs: DataFrame, id_col: str, text_col: str, ranges: int, seed: in
     sample = docs if rows <= want else docs.sample(fraction=min(1.0, 1.1 * want / rows), seed=seed)
     keys = (_keyed(sample, id_col, text_col, [F.lit(0).alias("_")]).select(F.struct(*_KEY.names).alias("k"))
             .orderBy("k").limit(2 * want).collect())
-    step = max(1, len(keys) // ranges)
-    return [[k.k.prefix, k.k.hash, k.k.shorter, k.k.id] for k in keys[step::step]][:ranges - 1]
+    cuts = [keys[len(keys) * j // ranges].k for j in range(1, ranges)] if keys else []
+    return [[k.prefix, k.hash, k.shorter, k.id] for k in cuts]
 
 
 def _range_of(cuts: list):
