@@ -30,6 +30,9 @@ STEPS = 4
 #: groups of their language, or else with all small groups.
 MIN_GROUP = 200
 ACCURACY = 10_000
+#: Groups (a few dozen numbers each) whose estimates are broadcast; more are
+#: joined by a shuffle, in which Spark splits the groups with many rows.
+BROADCAST_GROUPS = 20_000
 FEATURES = ("words", "word_length", "symbols", "dup_lines", "repeats")
 #: Least standard deviation of each feature: below it a spread is noise of
 #: rare counts (a document with one symbol among documents with none).
@@ -95,9 +98,10 @@ def _with_groups(stats: DataFrame) -> DataFrame:
     sizes = (rows.withColumn("pool", lang).groupBy("pair", "pool")
              .agg(F.count(F.when(~F.col("base_failed"), 1)).alias("n")))
     pools = sizes.where(F.col("n") < MIN_GROUP).groupBy("pool").agg(F.sum("n").alias("pooled"))
-    return (rows.join(sizes.join(pools, "pool", "left").select("pair", F.when(
+    groups = materialise(stats.sparkSession, sizes.join(pools, "pool", "left").select("pair", F.when(
         F.col("n") >= MIN_GROUP, F.col("pair")).when(F.col("pooled") >= MIN_GROUP, F.col("pool"))
-        .otherwise(F.lit("all")).alias("grp")), "pair").drop("pair"))
+        .otherwise(F.lit("all")).alias("grp")), "quality_groups")
+    return rows.join(_small(groups), "pair").drop("pair")
 
 
 def _cholesky(cov: dict) -> list[list[Column]]:
@@ -111,6 +115,11 @@ def _cholesky(cov: dict) -> list[list[Column]]:
     return steps
 
 
+def _small(groups: DataFrame) -> DataFrame:
+    """``groups``, a materialised table, to be broadcast if small enough."""
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def _distances(rows: DataFrame, model: DataFrame) -> DataFrame:
     """``rows`` with the squared Mahalanobis distance ``d2`` (unscaled)."""
     out = rows.join(model, "grp", "left")
@@ -138,21 +147,22 @@ def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Model per group: mean ``m*``, Cholesky factor ``l**``, ``scale``."""
     p = len(FEATURES)
     med = rows.groupBy("grp").agg(*[F.percentile_approx(f"x{i}", 0.5, ACCURACY).alias(f"m{i}") for i in range(p)])
-    med = materialise(spark, med, "mcd_median")
+    med = _small(materialise(spark, med, "mcd_median"))
     mad = rows.join(med, "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}") for i in range(p)])
     model = mad.select("grp", *[f"m{i}" for i in range(p)], *[
         (F.sqrt(F.pow(1.4826 * F.col(f"a{i}"), 2) + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
         for i in range(p) for j in range(i + 1)])
-    model = materialise(spark, model, "mcd_start")
+    model = _small(materialise(spark, model, "mcd_start"))
     for step in range(STEPS):
         d = _distances(rows, model).select("grp", "d2", *[f"x{i}" for i in range(p)])
         limit = d.groupBy("grp").agg(F.percentile_approx("d2", H, ACCURACY).alias("limit"))
-        model = materialise(spark, _moments(d.join(limit, "grp").where("d2 <= limit")), f"mcd_{step}")
+        limit = _small(materialise(spark, limit, f"mcd_limit_{step}"))
+        model = _small(materialise(spark, _moments(d.join(limit, "grp").where("d2 <= limit")), f"mcd_{step}"))
     scale = (_distances(rows, model).groupBy("grp")
              .agg((F.percentile_approx("d2", 0.5, ACCURACY) / CHI2_MEDIAN).alias("scale")))
-    return materialise(spark, model.join(scale, "grp"), "mcd_model")
+    return _small(materialise(spark, model.join(scale, "grp"), "mcd_model"))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
