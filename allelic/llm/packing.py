@@ -13,12 +13,15 @@ Python runs per batch inside tasks (tokenising, numpy); Spark sorts and deals.
 from __future__ import annotations
 
 import os
+import re
 import sys
+import types
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +35,8 @@ END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS, DIMS, BITS = 1024, 4, 12
 RANGE_TOKENS = 8_000_000
-CACHE = 200_000
+#: Chunks that a worker remembers, about 200 bytes each.
+CACHE = 900_000
 _PACKED = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -70,48 +74,110 @@ def curve_keys(counts: np.ndarray) -> np.ndarray:
     return hilbert(np.minimum((even * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 
+#: A full stop or comma that may share a piece with the character before it.
+_JOINED = re.compile(r"(?<![a-z0-9\xdf-\xf6\xf8-\xff])[.,][ \n]")
+
+
 class Encoder:
-    """Token ids of texts.  The tokenizer's pieces never cross a blank, so
-    texts are cut at blanks and the ids of each chunk are remembered."""
+    """Token ids of texts.
+
+    Where the tokenizer's pieces never cross a blank, texts are cut at blanks
+    and the ids of each chunk are remembered.  In Latin-1 texts case is folded
+    first and full stops and commas behind letters or digits, which are pieces
+    of their own, are cut off, so that fewer chunks are new.  New chunks of
+    letters alone are encoded in one go: each is one piece, and its last id
+    ends a word.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, bytes] = {"": b""}
+        self.cuts = self._ids("a b. c") == self._ids("a") + self._ids("b") + self._ids(".") + self._ids("c")
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        self.ends[[i for w, i in self.tok.get_vocab().items() if w.endswith("</w>")]] = True
+        self.folds = self._ids("AÀ") == self._ids("aà")
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
+        if not self.cuts:
+            return np.array(self._ids(text), "<u4").tobytes()
+        if self.folds and _latin(text):  # there case is folded letter by letter
+            text = text.lower()
+            if not _JOINED.search(text):
+                text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
         chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         new = set(chunks).difference(self.known)
         if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known = {"": b""}
-                new = set(chunks) - {""}
-            new = list(new)
-            for c, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
+            if len(self.known) > CACHE:
+                self.known = {}
+                new = set(chunks)
+            self._learn(new)
         return b"".join(map(self.known.__getitem__, chunks))
 
+    def _learn(self, new: set) -> None:
+        letters = [c for c in new if c.isalpha() and _latin(c)]
+        if letters and self._learn_letters(letters):
+            new = new.difference(letters)
+        new = list(new)
+        for at in range(0, len(new), 1000):
+            part = new[at:at + 1000]
+            for c, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[c] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_letters(self, letters: list) -> bool:
+        e = self.tok.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0]
+        ids = np.array(e.ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(ends) != len(letters):
+            return False
+        raw, at = ids.tobytes(), 0
+        for c, end in zip(letters, ends.tolist()):
+            self.known[c] = raw[at:end]
+            at = end
+        return True
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return False
+
+
+def _encoder(tokenizer_json: str) -> Encoder:
+    """One per worker process: what it has learnt serves the next task too."""
+    home = sys.modules.setdefault("_allelic_encoders", types.ModuleType("_allelic_encoders"))
+    key = "e" + str(zlib.crc32(tokenizer_json.encode()))
+    if not hasattr(home, key):
+        setattr(home, key, Encoder(tokenizer_json))
+    return getattr(home, key)
+
 
 def _tokenise(tokenizer_json: str, end_id: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
-        encode, pack = Encoder(tokenizer_json), zstandard.ZstdCompressor(level=1)
+        encode, pack = _encoder(tokenizer_json), zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], "<u4").tobytes()
-        for f in frames:
-            for at in range(0, len(f), 512):
-                ids, texts = f["id"].iloc[at:at + 512], f["text"].iloc[at:at + 512]
-                counts = np.zeros((len(ids), BUCKETS), np.float32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                counts = np.zeros((part.num_rows, BUCKETS), np.float32)
                 sizes, blobs = [], []
-                for row, text in enumerate(texts):
-                    raw = encode(text) + end
+                for row, text in enumerate(part["text"]):
+                    raw = encode(text.as_py()) + end
                     arr = np.frombuffer(raw, "<u4")
                     counts[row] = np.bincount((arr * np.uint32(2654435761)) >> np.uint32(22), minlength=BUCKETS)
                     sizes.append(len(arr))
                     # byte planes apart: the high bytes are nearly constant
                     blobs.append(pack.compress(np.frombuffer(raw, "u1").reshape(-1, 4).T.tobytes()))
-                yield pd.DataFrame({"id": ids.to_numpy(), "n": sizes, "key": curve_keys(counts), "blob": blobs})
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array(sizes, pa.int64()), pa.array(curve_keys(counts)),
+                                                  pa.array(blobs, pa.binary())], ["id", "n", "key", "blob"])
     return run
 
 
@@ -188,7 +254,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         model = f.read()  # a fixed file of the driver, sent with the task code
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     shared = spark.sparkContext.broadcast(model)
-    ids = rows.mapInPandas(lambda frames: _tokenise(shared.value, end_id)(frames), "id long, n long, key long, blob binary")
+    ids = rows.mapInArrow(lambda batches: _tokenise(shared.value, end_id)(batches), "id long, n long, key long, blob binary")
     ids = materialise(spark, ids, "pack_ids")
     tokens = ids.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, -(-tokens // RANGE_TOKENS))
