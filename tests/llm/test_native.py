@@ -124,6 +124,31 @@ def test_quality_rejects_symbols_and_keeps_prose(spark):
     assert all(got[i] == (i % 50 != 0) for i in got)
 
 
+def test_quality_each_rare_feature_rejects_alone(spark):
+    """5-20% symbols, and many repeated lines, next to clean prose that stays."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(rnd.randrange(2, 9)))
+    rows, bad = [], set()
+    for i in range(800):
+        lines = [" ".join(word() for _ in range(12)) for _ in range(rnd.randrange(8, 40))]
+        if i % 40 == 0:
+            bad.add(i)
+            text = "\n".join(lines)
+            share = rnd.uniform(0.05, 0.2)
+            text += "#" * round(len("".join(text.split())) * share / (1 - share))
+        elif i % 40 == 1:
+            bad.add(i)
+            text = "\n".join(x + "\nmore\nnext" for x in lines)  # two lines in three, no window of three words
+        elif i % 40 == 2:
+            text = "\n".join([*lines, "# " + lines[0][:4]])  # one symbol, nothing repeated
+        else:
+            text = "\n".join(lines)
+        rows.append((i, text, "en", "a" if i % 2 else "b", 0))
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i in got if not got[i].kept} == bad
+
+
 # --- secrets -------------------------------------------------------------------------
 
 SECRETS = [
