@@ -1,13 +1,19 @@
 """LM scoring by cross-entropy difference.
 
 Two bigram models, of the target documents and of all documents, share one
-vocabulary (the most frequent words of the corpus and one unknown word), one
-order and one smoothing.  The per-token loss difference scores a document:
-below zero it reads more like the target than like the corpus.
-
-Words and bigrams are counted over all rows and whole texts, combined per task
-before they are shuffled; what is gathered grows with the corpus, the models
-have a fixed size (``vocab`` squared numbers each) and are broadcast.
+vocabulary (every word of the corpus and one unknown word), one order and one
+smoothing.  The per-token loss difference scores a document: below zero it
+reads more like the target than like the corpus.
+
+Documents are dealt into chunks of a bounded size by a hash.  A chunk counts
+its distinct words and bigrams, and sends the counts to parts of the key
+space, where they are summed; each chunk gets the sums of its own keys back
+and scores its documents with them.  Tables grow with the corpus, a task holds
+one chunk or one part, a frequent word is one entry a chunk, and nothing but
+the number of chunks is on the driver.
+
+Keys are 64-bit hashes of words and of word pairs: two that clash are counted
+as one, which among a thousand million keys has a chance of about 5 percent.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +33,16 @@ from allelic.llm.common import documents, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VOCAB = 2_000
-#: Longer words are unknown to the models.
+#: Longer words are unknown to models over a given number of words.
 WORD_CHARS = 64
 #: Weight of the unigram model in each bigram row, in counts.
 PRIOR = 20.0
 TYPES = 300_000
-SALTS = 64
 BROADCAST_IDS = 2_000_000
+#: Bytes of text in a chunk; its keys take about as much in a part.
+CHUNK_BYTES = 12_000_000
+#: Stand for the start of a text and for unknown words; no token has a space.
+START, UNKNOWN = " start", " unknown"
 
 
 def tokens(text: str) -> list[str]:
@@ -58,104 +66,173 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def vocabulary(texts: DataFrame, size: int = VOCAB) -> list[str]:
+def vocabulary(texts: DataFrame, size: int) -> list[str]:
     """The ``size`` most frequent words, ties by code point."""
     counts = texts.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def _ids(vocab: list[str]):
-    """Word to number: 0 starts a text, 1 is unknown."""
-    return {w: k for k, w in enumerate(vocab, 2)}
-
-
-def _pairs(texts, index: dict, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram cells of some texts in a row, and the tokens of each."""
-    cells, lengths = [], []
-    for t in texts:
-        ids = [index.get(w, 1) for w in tokens(t)]
-        a = np.array([0, *ids], np.int64)
-        cells.append(a[:-1] * size + a[1:])
-        lengths.append(len(ids))
-    return (np.concatenate(cells) if cells else np.zeros(0, np.int64)), np.array(lengths, np.int64)
-
-
-_COUNTS = "row int, salt int, counts binary"
-
-
-def _bigram_counts(shared):
-    """Per task: a row of counts for each first word, sparse: columns, then
-    counts in all documents, then in the target's."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = shared.value
-        index, size = _ids(vocab), len(vocab) + 2
-        every, target = np.zeros(size * size, np.int32), np.zeros(size * size, np.int32)
-        for f in frames:
-            for at in range(0, len(f), 256):
-                part = f.iloc[at:at + 256]
-                cells, lengths = _pairs(part["text"], index, size)
-                for total, use in ((every, slice(None)), (target, np.repeat(part["target"].to_numpy(bool), lengths))):
-                    cell, n = np.unique(cells[use], return_counts=True)
-                    total[cell] += n.astype(np.int32)
-        salt = TaskContext.get().partitionId() % SALTS
-        rows = [(r, salt, _sparse(every[r * size:(r + 1) * size], target[r * size:(r + 1) * size])) for r in range(size)]
-        yield pd.DataFrame([r for r in rows if r[2]], columns=["row", "salt", "counts"])
+def _hash(words: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, object), categorize=False)
+
+
+def _mix(k: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads them."""
+    k = (k ^ (k >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    k = (k ^ (k >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return k ^ (k >> np.uint64(32))
+
+
+class _Chunk:
+    """Words and bigrams of some texts, numbered, and the order of their keys."""
+
+    def __init__(self, texts: list[str], known, n_parts: int):
+        index = {START: 0, UNKNOWN: 1}
+        number = index.setdefault
+        cur, lengths = [], []
+        for t in texts:
+            ws = tokens(t)
+            lengths.append(len(ws))
+            if known is None:
+                cur.append(np.array([number(w, len(index)) for w in ws], np.int64))
+            else:
+                cur.append(np.array([number(w, len(index)) if w in known else 1 for w in ws], np.int64))
+        self.lengths = np.array(lengths, np.int64)
+        self.cur = np.concatenate(cur) if cur else np.zeros(0, np.int64)
+        first = (np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]
+        prev = np.roll(self.cur, 1)
+        prev[first] = 0
+        self.last = self.cur[first + self.lengths[self.lengths > 0] - 1]
+        size = self.size = len(index)
+        pairs, self.pair = np.unique(prev * size + self.cur, return_inverse=True)
+        self.a, self.b = pairs // size, pairs % size
+        h = _hash(list(index))
+        # the lowest bit parts words from bigrams
+        one = np.uint64(1)
+        self.keys = np.concatenate([_mix(h) | one, _mix(h[self.a] * np.uint64(0x9E3779B97F4A7C15) + h[self.b]) & ~one])
+        # parts are ranges of the upper half of the key
+        part = ((self.keys >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
+        self.order = np.argsort(self.keys)
+        self.parts = np.searchsorted(part[self.order], np.arange(n_parts + 1))
+
+    def counts(self, use=None) -> tuple[np.ndarray, np.ndarray]:
+        """By key: occurrences, and those that end a text (of words), of all
+        tokens or of the texts that ``use`` marks."""
+        w = None if use is None else np.repeat(use, self.lengths)
+        count = lambda x, n: np.bincount(x if w is None else x[w], minlength=n)
+        last = self.last if use is None else self.last[use[self.lengths > 0]]
+        ends = np.zeros(len(self.keys), np.int64)
+        ends[:self.size] = np.bincount(last, minlength=self.size)
+        total = np.concatenate([count(self.cur, self.size), count(self.pair, len(self.a))])
+        total[0] += len(last)  # starts: as many as texts that end
+        return total, ends
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Counts in the narrowest of 1, 4 and 8 bytes."""
+    most = x.max(initial=0)
+    return x.astype(np.uint8 if most < 1 << 8 else np.uint32 if most < 1 << 32 else np.uint64).tobytes()
+
+
+def _unpack(blob: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int64)
+    return np.frombuffer(blob, {1: np.uint8, 4: np.uint32, 8: np.uint64}[len(blob) // n]).astype(np.int64)
+
+
+_SENT = "part int, chunk int, keys binary, n binary, n_target binary, ends binary, ends_target binary"
+_SUMS = ("chunk int, part int, n binary, n_target binary, ends binary, ends_target binary, "
+         "types long, tokens long, tokens_target long")
+
+
+def _emit(n_parts: int, known):
+    """A row a part with the counts of the chunk's keys."""
+    def run(table: pa.Table) -> pa.Table:
+        c = _Chunk(table["text"].to_pylist(), known and known.value, n_parts)
+        chunk = table["chunk"][0].as_py()
+        target = np.array(table["target"].to_pylist(), bool)
+        keys, o = c.keys[c.order], c.order
+        (n, ends), (n_target, ends_target) = c.counts(), c.counts(target)
+        rows = []
+        for p in range(n_parts):
+            s = slice(c.parts[p], c.parts[p + 1])
+            k = keys[s]
+            word = (k & np.uint64(1)).astype(bool)
+            at = o[s]
+            rows.append((p, chunk, k.tobytes(), _pack(n[at]), _pack(n_target[at]), _pack(ends[at][word]), _pack(ends_target[at][word])))
+        names = [x.split()[0] for x in _SENT.split(", ")]
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
     return run
 
 
-def _sparse(every: np.ndarray, target: np.ndarray) -> bytes:
-    col = np.flatnonzero(every)
-    return np.stack([col, every[col], target[col]]).astype(np.int64).tobytes() if len(col) else b""
-
+def _sum(table: pa.Table) -> pa.Table:
+    """The sums of a part's keys, for each chunk those it sent, and the part's
+    words and tokens."""
+    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
+    sizes = np.array([len(k) for k in keys])
+    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    word = (key & np.uint64(1)).astype(bool)
+    words = [(k & np.uint64(1)).astype(bool) for k in keys]
+    cuts = np.cumsum(sizes)[:-1]
+    where = np.split(inverse, cuts)
+
+    def total(name, of_words):
+        out = np.zeros(len(key), np.int64)
+        for blob, at, w in zip(table[name], where, words):
+            at = at[w] if of_words else at
+            np.add.at(out, at, _unpack(blob.as_py(), len(at)))
+        return out
 
-def _dense(blob: bytes, size: int) -> np.ndarray:
-    col, every, target = np.frombuffer(blob, np.int64).reshape(3, -1)
-    out = np.zeros((2, size), np.int64)
-    out[0, col], out[1, col] = every, target
-    return out
+    sums = [total("n", False), total("n_target", False), total("ends", True), total("ends_target", True)]
+    start, unknown = (_mix(_hash([START, UNKNOWN])) | np.uint64(1))
+    vocab = word & (key != start) & (key != unknown)
+    real = word & (key != start)
+    stats = [int(vocab.sum()), int(sums[0][real].sum()), int(sums[1][real].sum())]
+    cols = [table["chunk"].to_pylist(), table["part"].to_pylist(),
+            *[[_pack(s[at]) for at in where] for s in sums[:2]],
+            *[[_pack(s[at[w]]) for at, w in zip(where, words)] for s in sums[2:]],
+            *[[x] * len(keys) for x in stats]]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], [x.split()[0] for x in _SUMS.split(", ")])
 
 
-def _sum(size: int):
-    def run(table: pa.Table) -> pa.Table:
-        total = sum(_dense(x.as_py(), size) for x in table["counts"])
-        col = np.flatnonzero(total[0])
-        return table.slice(0, 1).set_column(2, "counts", pa.array(
-            [np.stack([col, total[0, col], total[1, col]]).tobytes()], pa.binary()))
-    return run
+_SCORES = "id long, n_tokens long, target_loss double, background_loss double"
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss of each bigram in nats, from its counts (square matrix): Dirichlet
+def _score(n_parts: int, known):
+    """Losses of a chunk's documents from the sums of its keys: Dirichlet
     smoothing with the unigram model, itself smoothed by one count a word."""
-    uni = counts.sum(0) + 1.0
-    uni[0] = 0.0
-    uni /= uni.sum()
-    rows = counts.sum(1, keepdims=True)
-    p = (counts + PRIOR * uni) / (rows + PRIOR)
-    p[:, 0] = 1.0  # no text goes on with its start
-    return -np.log(p).astype(np.float32)
-
-
-def _score(vocab, models):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, size = _ids(vocab.value), len(vocab.value) + 2
-        target, every = models.value
-        for f in frames:
-            for at in range(0, len(f), 256):
-                part = f.iloc[at:at + 256]
-                cells, n = _pairs(part["text"], index, size)
-                doc = np.repeat(np.arange(len(part)), n)
-                many = np.maximum(n, 1)
-                t = np.bincount(doc, target[cells], len(part)) / many
-                b = np.bincount(doc, every[cells], len(part)) / many
-                for x in (t, b):
-                    x[n == 0] = np.nan
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "n_tokens": n, "target_loss": t, "background_loss": b})
+    def run(texts: pa.Table, sums: pa.Table) -> pa.Table:
+        if not len(texts):
+            return pa.table({"id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()),
+                             "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
+        c = _Chunk(texts["text"].to_pylist(), known and known.value, n_parts)
+        n = {name: np.zeros(len(c.keys), np.int64) for name in ("n", "n_target", "ends", "ends_target")}
+        if sorted(sums["part"].to_pylist()) != list(range(n_parts)):
+            raise ValueError("a chunk needs the sums of each part once")
+        for r in sums.to_pylist():
+            at = c.order[c.parts[r["part"]]:c.parts[r["part"] + 1]]
+            word = at[at < c.size]
+            for name, keys in (("n", at), ("n_target", at), ("ends", word), ("ends_target", word)):
+                n[name][keys] = _unpack(r[name], len(keys))
+        n_types = sum(sums["types"].to_pylist()) + 1
+        doc, many, losses = np.repeat(np.arange(len(c.lengths)), c.lengths), np.maximum(c.lengths, 1), []
+        for end in ("_target", ""):
+            count, ends = n[f"n{end}"], n[f"ends{end}"]
+            uni = (count[:c.size] + 1.0) / (sum(sums[f"tokens{end}"].to_pylist()) + n_types)
+            rows = count[:c.size] - ends[:c.size]
+            p = (count[c.size:] + PRIOR * uni[c.b]) / (rows[c.a] + PRIOR)
+            x = np.bincount(doc, -np.log(p)[c.pair], len(c.lengths)) / many
+            x[c.lengths == 0] = np.nan
+            losses.append(x)
+        return pa.table({"id": texts["id"], "n_tokens": pa.array(c.lengths), "target_loss": pa.array(losses[0]),
+                         "background_loss": pa.array(losses[1])})
     return run
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocab: int = VOCAB) -> DataFrame:
+                    vocab: int | None = None) -> DataFrame:
     """One row per input row: id, ``n_tokens``, ``target_loss``,
     ``background_loss`` (nats a token) and ``score``, their difference.
 
@@ -164,7 +241,8 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     target documents that model is its uniform prior.  Null, empty and blank
     texts have no tokens and null losses.  Rows repeated in full count and are
     scored each.  An empty table gives an empty result; other columns are
-    ignored.
+    ignored.  All words are known to the models, or, with ``vocab``, that many
+    of the most frequent.
     """
     spark = docs.sparkSession
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
@@ -172,16 +250,16 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    words = spark.sparkContext.broadcast(vocabulary(texts, vocab))
-    size = len(words.value) + 2
-    flagged = texts.join(ids, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    part = flagged.mapInPandas(_bigram_counts(words), _COUNTS).groupBy("row", "salt").applyInArrow(_sum(size), _COUNTS)
-    counts = np.zeros((2, size, size), np.float64)
-    for r in part.groupBy("row").applyInArrow(_sum(size), _COUNTS).toLocalIterator():  # ``size`` rows
-        counts[:, r.row] = _dense(r.counts, size)
-    models = spark.sparkContext.broadcast((losses(counts[1]).ravel(), losses(counts[0]).ravel()))
-    del counts
-    out = texts.mapInPandas(_score(words, models), "id long, n_tokens long, target_loss double, background_loss double")
+    known = None if vocab is None else spark.sparkContext.broadcast(frozenset(vocabulary(texts, vocab)))
+    n = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // CHUNK_BYTES
+    # by content, so that a task that runs again deals alike
+    chunks = (texts.join(ids, "id", "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"),
+                                                   F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("chunk"))
+              .repartitionById(n, "chunk"))
+    sent = chunks.groupBy("chunk").applyInArrow(_emit(n, known), _SENT)
+    sums = sent.repartitionById(n, "part").groupBy("part").applyInArrow(_sum, _SUMS)
+    out = chunks.groupBy("chunk").cogroup(sums.repartitionById(n, "chunk").groupBy("chunk")).applyInArrow(
+        _score(n, known), _SCORES)
     loss = lambda c: F.round(F.when(F.col("n_tokens") > 0, F.col(c)), 6)
     return out.select(F.col("id").alias(id_col), "n_tokens", loss("target_loss").alias("target_loss"),
                       loss("background_loss").alias("background_loss"),

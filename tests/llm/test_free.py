@@ -216,6 +216,20 @@ def test_lm_scores(spark, edge):
             assert g[4] == pytest.approx(g[2] - g[3], abs=1e-6)
 
 
+def test_lm_every_word_counts(spark, edge, monkeypatch):
+    """No word is unknown, rare and long ones either, over many chunks and parts."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 30_000, raising=False)
+    target = spark.createDataFrame([(1,), (4,), (6,)], "doc_id long")
+    got = lm_scoring.score_documents(edge, target).collect()
+    monkeypatch.setattr(lm_scoring, "WORD_CHARS", 1 << 30)  # of the plain version
+    key = lambda r: (str(r[0]), r[1], r[3] or 0)
+    want = sorted(_losses(PAIRS, {1, 4, 6}, 1 << 30), key=key)
+    assert len(got) == len(want)
+    for g, w in zip(sorted(map(tuple, got), key=key), want):
+        assert g[:2] == w[:2]
+        assert g[2:4] == ((None, None) if w[2] is None else pytest.approx(w[2:], abs=2e-6))
+
+
 def test_lm_held_out(spark, docs):
     """Good documents not trained on score below the bad ones."""
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
