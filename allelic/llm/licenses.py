@@ -1,9 +1,10 @@
 """License scan by sentence rules (DataFrame functions only).
 
-A text is cut into sentences, each is normalised, and known licence sentences
-get their identifier; the identifiers in reading order form the document's
-sequence, in which ordered licence rules are matched, longer rules first.
-Only texts with one of the words that every known sentence has are cut.
+A text is normalised with marks where sentences end, and known licence
+sentences get their identifier; the identifiers in reading order form the
+document's sequence, in which ordered licence rules are matched, longer rules
+first.  A known sentence may be wrapped over lines.  Only texts with one of the
+words that every known sentence has are cut.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.llm.common import documents, let, text_of
+from allelic.llm.common import documents, text_of
 
 #: Known licence sentences (fixed values, public licence wording), by identifier from 1.
 SENTENCES = (
@@ -43,19 +44,36 @@ RULES = (
     ("bsd", (12, 13)), ("bsd", (12,)), ("apache-2.0", (14,)), ("mit", (15,)), ("gpl-3.0", (16,)),
     ("cc-by-4.0", (17,)), ("proprietary", (18,)), ("gpl-3.0", (1, 9)),
 )
+#: Longer published wordings of known sentences, with the identifier.
+WORDINGS = (
+    (2, "Licensed under the Apache License, Version 2.0 (the \"License\")"),
+    (10, SENTENCES[9] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+         "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+         "so, subject to the following conditions"),
+)
 #: Every known sentence has one of these.
-TRIGGER = r"(?iu)licen[sc]e|copyright|permission|warranty|redistribut|rights reserved"
-#: Sentences end at a line end, or at . ! ? ; before white space or the end.
-CUT = r"[.!?;]+(?:[\x20\x09-\x0D]+|$)|[\x0A\x0D]+"
-
-
-def normal(sentence: Column) -> Column:
-    """Lower case letters and digits, single spaces between."""
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+TRIGGER = r"(?iu)licen[sc]e|copyright|permission|warranty|redistribut|reserved"
+#: Sentences end at . ! ? before white space or the end, at blank lines and at
+#: marks of a list like (a) or 1) that begin a line.
+HARD = (r"[.!?;]*[.!?][.!?;]*(?:[\x20\x09-\x0D]+|$)|\x0D?\x0A[\x20\x09]*\x0D?\x0A"
+        r"|(?:^|[\x0A\x0D])[\x20\x09*#/-]*\(?(?:[0-9]{1,2}|[a-z])\)(?=[\x20\x09])")
+#: They may end, or go on, at a line end and at ; or : before white space.
+SOFT = r"[;:]+(?:[\x20\x09-\x0D]+|$)|[\x0A\x0D]+"
+
+
+def marked(text: Column) -> Column:
+    """Lower case letters and digits, single spaces between; \\x01 where a
+    sentence ends, \\x02 where it may end."""
+    steps = [(HARD, "\x01"), (SOFT, "\x02"), (r"[^\p{L}\p{N}\x01\x02]+", " "),
+             (r"[\x20\x02]*\x01[\x20\x01\x02]*", "\x01"), (r"\x20*\x02[\x20\x02]*", "\x02")]
+    out = F.translate(F.lower(text), "\x01\x02\x03", "   ")
+    for pattern, mark in steps:
+        out = F.regexp_replace(out, pattern, mark)
+    return F.trim(out)
 
 
 def _normal_text(s: str) -> str:
-    """:func:`normal` for the fixed sentences, which are ASCII."""
+    """:func:`marked` without marks, for the fixed sentences, which are ASCII."""
     return " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
 
 
@@ -65,7 +83,7 @@ def rules_in_order(rules=RULES) -> list[tuple[str, tuple]]:
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  sentences=SENTENCES, rules=RULES, trigger: str = TRIGGER) -> DataFrame:
+                  sentences=SENTENCES, rules=RULES, trigger: str = TRIGGER, wordings=WORDINGS) -> DataFrame:
     """One row per input row: id, ``sentence_ids`` (known sentences in reading
     order, comma-joined) and ``licenses`` (distinct licences of the matched
     rules, by code point, comma-joined), ``n_rules`` (matches).
@@ -76,11 +94,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table gives an empty result; other columns are ignored.  A sentence longer
     or shorter than the known one is another sentence.
     """
-    known = F.create_map(*[F.lit(x) for i, s in enumerate(sentences, 1) for x in (_normal_text(s), i)])
+    known = [(_normal_text(x), i) for i, x in [*enumerate(sentences, 1), *wordings]]
     t = F.col("t")
-    ids = F.filter(F.transform(F.filter(F.split(t, CUT, -1), lambda s: s.rlike(trigger)),
-                               lambda s: F.try_element_at(known, normal(s))), lambda i: i.isNotNull())
-    seq = F.when(t.rlike(trigger), F.array_join(F.transform(ids, lambda i: i.cast("string")), ","))
+    found = marked(t)
+    for x, i in sorted(known, key=lambda k: -len(k[0])):
+        found = F.regexp_replace(found, r"(?<=^|[\x01\x02])" + x.replace(" ", r"[\x20\x02]") + r"(?=$|[\x01\x02])", f"\x03{i}\x03")
+    seq = F.when(t.rlike(trigger), F.array_join(F.regexp_extract_all(found, F.lit("\x03([0-9]+)\x03"), 1), ","))
     out = (docs.select(F.col(id_col), text_of(text_col).alias("t"))
            .select(id_col, F.coalesce(seq, F.lit("")).alias("sentence_ids")))
     # each identifier between its own commas, so that adjacent matches do not share one

@@ -203,6 +203,59 @@ def test_license_rules(spark, edge):
     assert licenses.scan_licenses(edge).where("n_rules > 0").count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+
+
+def test_license_published_texts(spark):
+    """As published and wrapped, in a comment, in one line; each sentence and rule is reached."""
+    comment = lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\nint main();"
+    texts, want = [], []
+    for t, ids, name in ((APACHE, "2,5,6", "apache-2.0"), (GPL, "7,8,9", "gpl-3.0"), (MIT, "10,11", "mit"), (BSD, "12,13", "bsd")):
+        texts += [t, t.replace("\n", "\r\n"), comment(t), "Some prose goes before.\n" + t + "and some after"]
+        want += [(ids, name, 1)] * 4
+    texts += [MIT.replace("\n", " "), BSD.replace("1.", "(a)"), "Copyright 2020 X\nAll rights\nreserved", GPL.replace("hope", "belief")]
+    want += [("10,11", "mit", 1), ("12,13", "bsd", 1), ("18", "proprietary", 1), ("7,9", "gpl-3.0", 1)]
+    for i, x in enumerate(licenses.SENTENCES, 1):
+        texts.append("prose here\n" + x.replace(" ", "\n", 3) + ".\nmore prose")
+        want.append(i)
+    for name, ids in licenses.RULES:
+        texts.append("\n\n".join(licenses.SENTENCES[i - 1].replace(" ", "\n") for i in ids))
+        want.append((",".join(map(str, ids)), name, 1))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r, w in zip(licenses.scan_licenses(df).orderBy("doc_id").collect(), want):
+        assert (r.sentence_ids == str(w) if isinstance(w, int) else tuple(r)[1:] == w), (texts[r.doc_id], r, w)
+
+
 def test_license_sentences_have_triggers():
     import re
     for s in licenses.SENTENCES:
