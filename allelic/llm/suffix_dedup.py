@@ -1,4 +1,4 @@
-"""Substring dedup by refining buckets of suffixes (bucket-pointer refinement).
+"""Substring dedup by buckets of suffixes at anchors (not bucket-pointer refinement).
 
 A byte goes when a string of ``LENGTH`` bytes that covers it starts anywhere
 else.  Sorting every suffix of a corpus costs many times its size, so only
