@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from allelic.llm.byte_bpe import op13_byte_bpe
 from allelic.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from allelic.llm.fixity import OP8_SQL, op8_fixity
 from allelic.llm.jaccard_join import op2_jaccard_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_fixity": op8_fixity,
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
