@@ -10,6 +10,7 @@ from allelic.llm.licenses import OP10_SQL, op10_licenses
 from allelic.llm.lm_scoring import op1_lm_scoring
 from allelic.llm.mixing import OP3_SQL, op3_mixing
 from allelic.llm.packing import op6_packing
+from allelic.llm.phrases import OP11_SQL, op11_phrases
 from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
 from allelic.llm.suffix_dedup import op5_suffix_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_fixity": op8_fixity,
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
+    "op11_phrases": op11_phrases,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE_SQL = {
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op4_exact_dedup": OP4_SQL,
     "op8_fixity": OP8_SQL,
     "op10_licenses": OP10_SQL,
+    "op11_phrases": OP11_SQL,
 }
