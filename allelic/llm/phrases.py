@@ -277,7 +277,7 @@ words AS (
   SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
 grams AS (
   SELECT lang, k, i, ws
-  FROM words, (SELECT unnest([1, 2, 3]) AS k), unnest(range(1, len(ws) - k + 2)) AS at(i)),
+  FROM words, (SELECT unnest([1, 2, 3]) AS k), unnest(range(1, len(ws) - k + 2)) AS pos(i)),
 f AS (
   SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS n
   FROM grams GROUP BY ALL),
