@@ -14,6 +14,7 @@ from allelic.llm.phrases import OP11_SQL, op11_phrases
 from allelic.llm.quality import op7_quality
 from allelic.llm.secrets import op9_secrets
 from allelic.llm.suffix_dedup import op5_suffix_dedup
+from allelic.llm.variants import op12_variants
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
     "op11_phrases": op11_phrases,
+    "op12_variants": op12_variants,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE_SQL = {

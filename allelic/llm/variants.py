@@ -162,14 +162,6 @@ def _near_keys(symbols: int, known):
     return run
 
 
-def _places(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch["key"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bitmap.places(h, bits)), pa.int64())], ["bit"])
-    return run
-
-
 def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
     """``word, other, other_n``, both ways, of all words of ``words(word, n)``
     that differ by one inserted, deleted or replaced code point."""
@@ -178,7 +170,7 @@ def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
     symbols = symbols or symbols_for(size)
     keyed = materialise(spark, words.select("word", "n").mapInArrow(_keys(symbols), "word string, n long, key long"), "variants_keyed")
     bits = bitmap.bits_for(size)
-    known = spark.sparkContext.broadcast(bitmap.collect(keyed.select("key").mapInArrow(_places(bits), "bit long"), bits))
+    known = spark.sparkContext.broadcast(bitmap.collect(bitmap.place_rows(keyed, "key", bits), bits))
     proposed = keyed.select("word").mapInArrow(_near_keys(symbols, known), "word string, key long")
     others = keyed.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
     return (proposed.join(others, "key").where("word <> other").where(F.levenshtein("word", "other", 1) == 1)
