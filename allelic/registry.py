@@ -21,6 +21,7 @@ from allelic.schema import CALL_COLUMNS
 from allelic.session import scratch_path
 from allelic.sinks import feed as feed_ops
 from allelic.sinks import writers
+from allelic.sinks.bgzf import write_block_gzip
 from allelic.sinks.vcf import write_vcf
 from allelic.sources import fixtures as fx
 from allelic.sources import tables
@@ -29,6 +30,7 @@ from allelic.streaming.ingest import ingest_feed_stream, ingest_vcf_stream
 
 #: Positions of a file of the incremental query: several files a contig.
 N1_BUCKET = 100_000
+WHOLE_CONTIG, GZ_SPLIT = 1 << 40, 1 << 14
 T_CONTIG, T_START = fx.TARGET_CONTIG, fx.TARGET_START
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,7 +121,16 @@ def _vcf_dir(s, d):
 
 @register("vcf_to_calls")
 def _q_vcf_to_calls(s, d):
-    return read_vcf(s, _vcf_dir(s, d), skip_missing=True)
+    return read_vcf(s, _vcf_dir(s, d))
+
+
+@register("vcf_gz_to_calls")
+def _q_vcf_gz_to_calls(s, d):
+    """The calls from block-gzip files, each read by several tasks."""
+    text, path = scratch_path(s, "vcf_whole"), scratch_path(s, "vcf_gz")
+    write_vcf(_calls(s, d), text, bucket_size=WHOLE_CONTIG)
+    write_block_gzip(s, text, path)
+    return read_vcf(s, path, split_bytes=GZ_SPLIT)
 
 
 @register("vcf_samples")
@@ -257,8 +268,7 @@ def _q_n1_incremental(s, d):
         write_vcf(calls.where(F.col("batch_id") == b).drop("batch_id"), f"{src}/batch_{b}",
                   bucket_size=N1_BUCKET)
     root = scratch_path(s, "n1_table")
-    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=16,
-                      skip_missing=True)
+    ingest_vcf_stream(s, src, root, scratch_path(s, "n1_checkpoint"), max_files_per_trigger=16)
     return tables.read_warehouse(s, root).select(*CALL_COLUMNS, "batch_id")
 
 

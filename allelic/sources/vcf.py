@@ -8,9 +8,11 @@ with built-in array / map expressions.  No Python runs per row.
 Header join: the header side holds one row per file with that file's
 samples.  Headers sit at the start of each file, so they are read from the
 file prefixes only (one small task per group of files, ``mapInPandas`` over
-the file list); the body scan is the only full pass over the text.  When
-the filesystem cannot be opened from Python, the headers come from the
-``#CHROM`` lines of the full scan instead.  The header size (files x
+the file list); the body scan is the only full pass over the text.  Where a
+file lies in a store that Python cannot open, the headers of all files come
+from a scan of the text instead, by the same rules: the first ``#CHROM`` line
+of a file is its header, a file without one and records before it are errors,
+raised on the driver.  The header size (files x
 samples) is measured first; under ``max_broadcast_samples`` it is
 broadcast, otherwise headers are exploded to (file, index, sample) and
 joined on (file, index) after the body is exploded, a balanced shuffle join
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from allelic.schema import CALL_COLUMNS
+from allelic.sources.bgzf import SPLIT_BYTES, block_size, gzip_lines
 
 # The header reader runs in Python workers; ship this module's functions by
 # value so workers need no installed copy of the package.
@@ -46,6 +49,8 @@ except Exception:  # noqa: BLE001 - older cloudpickle: rely on --py-files / inst
 
 MAX_BROADCAST_SAMPLES = 2_000_000  # files x samples held by the broadcast header
 MAX_BROADCAST_FILES = 100_000  # (file, sample count) rows held by a broadcast
+#: The header line by which a file declares its absent cell.
+ABSENT_META = "##allelic_absent_cell="
 DEFAULT_COHORT, DEFAULT_ENGINE = "synthetic_v1", "s3_tables"
 _BLANKS = " \t\n\r\x0b\x0c"
 
@@ -54,16 +59,40 @@ def _as_list(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """Stripped text lines with their file path."""
+def _is_gzip(path: str) -> bool:
+    return path.endswith((".gz", ".bgz"))
+
+
+def read_lines(spark: SparkSession, paths, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Stripped text lines with their file path; block-gzip files are read in
+    parts of ``split_bytes`` where Python can open them."""
+    line = F.btrim("line", F.lit(_BLANKS)).alias("line")
+    inputs = input_files(spark, paths)
+    packed = [p for p in inputs if _is_gzip(p)]
+    if packed and _prefix_readable(packed):
+        out = gzip_lines(spark, packed, split_bytes).select(path_key(F.col("uri")).alias("file"), line)
+        rest = [p for p in inputs if not _is_gzip(p)]
+        return out.unionByName(_text_lines(spark, rest).select("file", line)) if rest else out
+    unread = [p for p in packed if p.endswith(".bgz")]
+    if unread:  # Spark's text reader chooses the codec by suffix and does not know this one
+        raise ValueError(f"block-gzip files in this store must be named .gz: {unread[:5]}")
+    return _text_lines(spark, _as_list(paths)).select("file", line)
+
+
+def _text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines with their file and, to order them in it, block and number."""
+    return spark.read.text(paths).select(
+        path_key(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("number"))
+
+
+def input_files(spark: SparkSession, paths) -> list[str]:
     try:
-        raw = spark.read.text(_as_list(paths))
+        return spark.read.text(_as_list(paths)).inputFiles()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"VCF file not found: {paths}") from e
         raise
-    return raw.select(path_key(F.col("_metadata.file_path")).alias("file"),
-                      F.btrim("value", F.lit(_BLANKS)).alias("line"))
 
 
 def path_key(c: Column) -> Column:
@@ -71,88 +100,88 @@ def path_key(c: Column) -> Column:
     return F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
 
 
+_HEADER = "uri string, samples array<string>, absent string, early boolean, plain_gzip boolean"
+
+
 def _read_header_prefixes(batches):
-    """mapInPandas body: for each file URI read lines up to ``#CHROM``."""
-    import gzip
+    """mapInPandas body: for each file URI read lines up to ``#CHROM``.
+    ``samples`` is null without a header, ``early`` says that records came
+    before it."""
     import io
 
     import pandas as pd
     import pyarrow.fs as pfs
     for pdf in batches:
-        samples, found = [], []
+        rows = []
         for uri in pdf["uri"]:
             fs, path = pfs.FileSystem.from_uri(uri)
-            got, early = None, False
-            with fs.open_input_stream(path, compression=None) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if uri.endswith(".gz") else raw
+            got, absent, early, plain = None, None, False, False
+            with fs.open_input_file(path) as raw:
+                if _is_gzip(uri):
+                    plain = not block_size(raw.read(1 << 16))
+                    raw.seek(0)
+                    import gzip
+                    stream = gzip.GzipFile(fileobj=raw)
+                else:
+                    stream = raw
                 for line in io.TextIOWrapper(stream, encoding="utf-8"):
                     line = line.strip()
+                    if line.startswith(ABSENT_META):
+                        absent = line[len(ABSENT_META):]
                     if line.startswith("#CHROM"):
                         parts = line.split("\t")
                         got = parts[9:] if len(parts) > 9 else []
                         break
                     early = early or bool(line) and not line.startswith("#")
-            if early:
-                raise ValueError(f"Invalid VCF: records before the '#CHROM' header in {uri}")
-            samples.append(got if got is not None else [])
-            found.append(got is not None)
-        yield pd.DataFrame({"uri": pdf["uri"], "samples": samples, "found": found})
+            rows.append((uri, got, absent, early, plain))
+        yield pd.DataFrame(rows, columns=["uri", "samples", "absent", "early", "plain_gzip"])
 
 
-def _prefix_readable(uri: str) -> bool:
-    try:
-        import pyarrow.fs as pfs
-        pfs.FileSystem.from_uri(uri)
-        return True
-    except Exception:  # noqa: BLE001 - unsupported scheme / missing driver
-        return False
+def _prefix_readable(uris: list[str]) -> bool:
+    """Whether Python can open the stores of all files."""
+    import pyarrow.fs as pfs
+    for uri in {u.partition(":")[0]: u for u in uris}.values():
+        try:
+            pfs.FileSystem.from_uri(uri)
+        except Exception:  # noqa: BLE001 - unsupported scheme / missing driver
+            return False
+    return True
 
 
 def header_prefixes(spark: SparkSession, uris: list[str]) -> DataFrame:
-    """(file, samples, found): one row per file, from the file prefixes."""
+    """(file, samples, absent, early, plain_gzip): one row per file, from the
+    file prefixes."""
     files = spark.createDataFrame([(u,) for u in uris], "uri string")
     n = max(1, min(len(uris), spark.sparkContext.defaultParallelism))
-    h = files.repartition(n).mapInPandas(
-        _read_header_prefixes, "uri string, samples array<string>, found boolean")
-    return h.select(path_key(F.col("uri")).alias("file"), "samples", "found")
-
-
-def _norm(p: str) -> str:
-    """Python twin of ``path_key``."""
-    import re
-    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", p)
-
-
-def header_samples(lines: DataFrame) -> DataFrame:
-    """(file, samples) from the first ``#CHROM`` line of each file; files
-    with 9 or fewer header columns have no samples."""
-    h = lines.where(F.col("line").startswith("#CHROM")).select(
-        "file", F.split("line", "\t").alias("h"))
-    h = h.select("file", F.when(F.size("h") > 9, F.slice("h", 10, F.size("h") - 9))
-                 .otherwise(F.array().cast("array<string>")).alias("samples"))
-    return h.groupBy("file").agg(F.min("samples").alias("samples"))
+    h = files.repartition(n).mapInPandas(_read_header_prefixes, _HEADER)
+    return h.withColumn("file", path_key(F.col("uri"))).drop("uri")
+
+
+def header_scan(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """The same from a scan of the text."""
+    place, line = F.struct("block", "number"), F.btrim("line", F.lit(_BLANKS))
+    rows = _text_lines(spark, uris).withColumn("line", line).where("line <> ''")
+    h = F.split("line", "\t")
+    samples = F.when(F.size(h) > 9, F.slice(h, 10, F.greatest(F.size(h) - 9, F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    header, meta = F.col("line").startswith("#CHROM"), F.col("line").startswith(ABSENT_META)
+    seen = rows.groupBy("file").agg(
+        F.min(F.when(header, F.struct("block", "number", samples.alias("samples")))).alias("h"),
+        F.min(F.when(~F.col("line").startswith("#"), place)).alias("body"),
+        F.min(F.when(meta, F.struct("block", "number", F.substring("line", len(ABSENT_META) + 1, 1 << 20).alias("absent")))).alias("m"))
+    first = F.struct(F.col("h.block").alias("block"), F.col("h.number").alias("number"))
+    files = spark.createDataFrame([(u,) for u in uris], "uri string").select(path_key(F.col("uri")).alias("file"), "uri")
+    return files.join(seen, "file", "left").select(
+        "file", F.col("h.samples").alias("samples"), F.col("m.absent").alias("absent"),
+        F.coalesce(F.col("body") < first, F.lit(False)).alias("early"), F.col("uri").endswith("gz").alias("plain_gzip"))
 
 
 def vcf_samples(spark: SparkSession, paths) -> DataFrame:
     """(file, sample_index, sample_id) for every file; raises ValueError when
     a file has no ``#CHROM`` header."""
-    lines = read_lines(spark, paths)
-    inputs = spark.read.text(_as_list(paths)).inputFiles()
-    hdr, _ = resolve_headers(spark, paths, lines, inputs, True)
+    hdr, _, _ = resolve_headers(spark, input_files(spark, paths))
     return hdr.select("file", F.posexplode("samples").alias("sample_index", "sample_id"))
 
 
-def _check_headers(spark, paths, hdr: DataFrame) -> list:
-    """One small action: a row per file (bounded by the file count)."""
-    rows = hdr.select("file", F.size("samples").alias("n")).collect()
-    have = {_norm(r["file"]) for r in rows}
-    files = {_norm(p) for p in spark.read.text(_as_list(paths)).inputFiles()}
-    missing = sorted(files - have)
-    if missing:
-        raise ValueError(f"Invalid VCF: No '#CHROM' header found in {missing[:5]}")
-    return rows
-
-
 def info_to_json(info: Column) -> Column:
     """INFO text -> JSON object text (values are strings; flags 'true';
     keys lower-cased; a repeated key keeps its last value)."""
@@ -192,61 +221,43 @@ def _digits_or_zero(v: Column) -> Column:
     return F.when(v.rlike("^[0-9]+$"), F.coalesce(v.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
 
 
-def _reject_bgz(inputs: list[str]) -> None:
-    """Readers choose the codec by suffix, and none knows this one."""
-    bad = [p for p in inputs if p.endswith(".bgz")]
-    if bad:
-        raise ValueError(f"block-gzipped files must be named .gz: {bad[:5]}")
-
-
-def resolve_headers(spark: SparkSession, paths, lines: DataFrame, inputs: list[str],
-                    validate: bool = True, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES):
-    """(header frame, files x samples).  One aggregate row reaches the driver."""
-    _reject_bgz(inputs)
-    if inputs and _prefix_readable(inputs[0]):
-        hdr = header_prefixes(spark, inputs)
-        absent = F.when(~F.col("found"), F.col("file"))
-        r = hdr.agg(F.sum(F.size("samples")).alias("n"), F.count(absent).alias("absent"),
-                    F.min(absent).alias("example")).first()
-        if r["absent"] and validate:
-            raise ValueError(f"Invalid VCF: No '#CHROM' header found in {r['absent']} files, "
-                             f"such as {r['example']}")
-        return hdr.where(F.col("found")).select("file", "samples"), r["n"] or 0
-    hdr = header_samples(lines)
-    if validate:
-        rows = _check_headers(spark, paths, hdr)
-        return hdr, sum(r["n"] for r in rows)
-    return hdr, max_broadcast_samples + 1
+def resolve_headers(spark: SparkSession, inputs: list[str], validate: bool = True) -> tuple[DataFrame, int, int]:
+    """(header frame: file, samples, absent), files x samples, and the number
+    of ordinary gzip files.  One aggregate row reaches the driver."""
+    hdr = header_prefixes(spark, inputs) if _prefix_readable(inputs) else header_scan(spark, inputs).persist()
+    lost, early = F.when(F.col("samples").isNull() & ~F.col("early"), F.col("file")), F.when(F.col("early"), F.col("file"))
+    r = hdr.agg(F.sum(F.size("samples")).alias("n"), F.count_if("plain_gzip").alias("plain_gzip"), F.count(lost).alias("n_lost"),
+                F.min(lost).alias("lost"), F.count(early).alias("n_early"), F.min(early).alias("early")).first()
+    if validate and r["n_lost"]:
+        raise ValueError(f"Invalid VCF: No '#CHROM' header found in {r['n_lost']} files, such as {r['lost']}")
+    if validate and r["n_early"]:
+        raise ValueError(f"Invalid VCF: records before the '#CHROM' header in {r['n_early']} files, such as {r['early']}")
+    return hdr.where(F.col("samples").isNotNull()).select("file", "samples", "absent"), r["n"] or 0, r["plain_gzip"]
 
 
 def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
              engine: str = DEFAULT_ENGINE, max_broadcast_samples: int = MAX_BROADCAST_SAMPLES,
              validate_headers: bool = True, repartition_compressed: bool = True,
-             carry: dict | None = None, skip_missing: bool = False) -> DataFrame:
-    """Parse VCF files (plain or gzip) into the 15-column call table.
-    ``skip_missing`` leaves out cells that are a single ``.`` (the writer's
-    mark for a sample without a call at the site).
-    ``carry`` adds per-line columns (expressions over ``file``, e.g. a batch
-    id taken from the path) that are kept on every call."""
-    lines = read_lines(spark, paths)
+             carry: dict | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Parse VCF files (plain, gzip or block-gzip) into the 15-column call
+    table.  ``carry`` adds per-line columns (expressions over ``file``, e.g. a
+    batch id taken from the path) that are kept on every call."""
+    lines = read_lines(spark, paths, split_bytes)
     for name, expr in (carry or {}).items():
         lines = lines.withColumn(name, expr)
-    inputs = spark.read.text(_as_list(paths)).inputFiles()
-    _reject_bgz(inputs)
-    if repartition_compressed and any(p.endswith(".gz") for p in inputs):
-        # A gzip file is one input split: spread its lines before exploding.
+    inputs = input_files(spark, paths)
+    hdr, total, plain_gzip = resolve_headers(spark, inputs, validate_headers)
+    if repartition_compressed and plain_gzip:
+        # such a file is one task: spread its lines before exploding
         lines = lines.repartition(spark.sparkContext.defaultParallelism * 2)
-    hdr, total = resolve_headers(spark, paths, lines, inputs, validate_headers,
-                                 max_broadcast_samples)
     return parse_lines(lines, hdr, total <= max_broadcast_samples, cohort_id, engine,
-                       extra=list(carry or {}), n_files=len(inputs), skip_missing=skip_missing)
+                       extra=list(carry or {}), n_files=len(inputs))
 
 
 def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
                 cohort_id: str = DEFAULT_COHORT, engine: str = DEFAULT_ENGINE,
-                extra: list | None = None, n_files: int | None = None,
-                skip_missing: bool = False) -> DataFrame:
-    """(file, line) rows + per-file headers -> calls.  ``extra`` columns of
+                extra: list | None = None, n_files: int | None = None) -> DataFrame:
+    """(file, line) rows + per-file headers (file, samples, absent) -> calls.  ``extra`` columns of
     ``lines`` (e.g. a batch id) are carried to the output."""
     extra = extra or []
     body = lines.where((F.length("line") > 0) & ~F.col("line").startswith("#"))
@@ -271,6 +282,7 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
         j = j.where(F.size("f") >= F.size("samples") + 9)
         cells = F.zip_with("samples", F.slice("f", 10, F.size("samples")),
                            lambda sm, c: F.named_struct(F.lit("s"), sm, F.lit("c"), c))
+        cells = F.when(F.col("absent").isNull(), cells).otherwise(F.filter(cells, lambda x: x["c"] != F.col("absent")))
         # Line-level columns are projected before the explode; expressions
         # next to a generator in one select would be evaluated per output row.
         per_line = j.select(*extra, *line_cols, cells.alias("cells"))
@@ -281,18 +293,17 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
     else:
         # One (file, count) row per file: broadcast only when the file count
         # is checked to be small; otherwise AQE picks the join.
-        n = hdr.select("file", F.size("samples").alias("n_samples"))
+        n = hdr.select("file", "absent", F.size("samples").alias("n_samples"))
         if n_files is not None and n_files <= MAX_BROADCAST_FILES:
             n = F.broadcast(n)
         j = body.join(n, "file").where(F.size("f") >= F.col("n_samples") + 9)
-        per_line = j.select("file", *extra, *line_cols,
+        per_line = j.select("file", "absent", *extra, *line_cols,
                             F.slice("f", 10, F.col("n_samples")).alias("cells"))
         keep = [c for c in per_line.columns if c != "cells"]
         calls = per_line.select(*keep, F.posexplode("cells").alias("idx", "c"))
+        calls = calls.where("absent is null or c <> absent").drop("absent")
         names = hdr.select("file", F.posexplode("samples").alias("idx", "sample_id"))
         calls = calls.join(names, ["file", "idx"])
-    if skip_missing:
-        calls = calls.where(F.col("c") != ".")
     sf = F.split(F.col("c"), ":")
     calls = calls.withColumn("sf", sf)
 
@@ -320,8 +331,8 @@ def read_vcf_rejects(spark: SparkSession, paths) -> DataFrame:
     fields: (file, line, n_fields, expected_fields).  The reference parser
     logs one warning per such line; here they are a DataFrame to inspect."""
     lines = read_lines(spark, paths)
-    inputs = spark.read.text(_as_list(paths)).inputFiles()
-    hdr, _ = resolve_headers(spark, paths, lines, inputs, True)
+    inputs = input_files(spark, paths)
+    hdr, _, _ = resolve_headers(spark, inputs)
     body = lines.where((F.length("line") > 0) & ~F.col("line").startswith("#"))
     n = hdr.select("file", (F.size("samples") + 9).alias("expected_fields"))
     if len(inputs) <= MAX_BROADCAST_FILES:

@@ -10,7 +10,7 @@ allele_frequency carrier_frequency_top carrier_frequency_all carrier_lookup carr
 gene_burden gene_burden_plain gene_burden_brca1 omop_phenotype_join omop_join_plain site_depth
 locus_calls sample_call_counts calls_with_demographics browse_variants browse_person
 browse_conditions browse_search ingest_summary validate_cohort site_alt_frequency layout_parity
-vcf_to_calls vcf_samples parquet_roundtrip jsonl_roundtrip person_scan condition_scan
+vcf_to_calls vcf_gz_to_calls vcf_samples parquet_roundtrip jsonl_roundtrip person_scan condition_scan
 partition_counts scan_contig feed_append vds_variant_data vds_reference_data vds_counts
 vds_to_calls partition_stats researcher_view steward_view researcher_masked
 published_frequencies scan_cost bench_summary bench_ranking bench_scaling n1_counts
