@@ -38,11 +38,20 @@ def places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
+def place_rows(rows: DataFrame, col: str, bits: int) -> DataFrame:
+    """A row ``bit`` for each place of the hashes (long) in ``col``."""
+    low = F.col(col).bitwiseAND(F.lit(bits - 1))
+    high = F.shiftrightunsigned(F.col(col), 32).bitwiseAND(F.lit(bits - 1))
+    return rows.select(F.explode(F.array(low.cast("long"), high.cast("long"))).alias("bit"))
+
+
 def collect(rows: DataFrame, bits: int) -> np.ndarray:
     """The bitmap of the places in the column ``bit``, as bytes."""
     out = np.zeros(bits // 8, np.uint8)
     nth = F.col("bit") + 1  # Spark numbers bits from 1
-    parts = rows.groupBy(F.bitmap_bucket_number(nth).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(nth)).alias("part"))
+    # dealt by bucket first: else each task sends a part of the bitmap for each bucket
+    rows = rows.select(F.bitmap_bucket_number(nth).alias("bucket"), F.bitmap_bit_position(nth).alias("at")).repartition("bucket")
+    parts = rows.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("part"))
     for r in parts.collect():  # bits / 8 bytes
         part = np.frombuffer(r.part, np.uint8)
         at = (r.bucket - 1) * len(part)

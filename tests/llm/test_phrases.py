@@ -1,5 +1,6 @@
 """Phrase collocations against plain Python, bitmaps, exact scores."""
 
+import random
 import re
 from collections import Counter
 
@@ -67,8 +68,8 @@ def test_lengths_and_limits(spark, docs, most, least, top):
 def test_every_pass_adds_what_failed(spark, docs, monkeypatch):
     """Without a sample the words, then the pairs, fail: three passes."""
     passes = []
-    held = phrases._sum
-    monkeypatch.setattr(phrases, "_sum", lambda *a: passes.append(a[1]) or held(*a))
+    held = phrases._frequent_hashes
+    monkeypatch.setattr(phrases, "_frequent_hashes", lambda *a: passes.append(a[1]) or held(*a))
     frequent_phrases(docs, sample=0.0)
     assert passes == [[1], [2], [1, 2, 3], [2, 3], [2, 3]]
     passes.clear()
@@ -80,15 +81,30 @@ def test_full_bitmap_costs_work_only(spark, docs, monkeypatch):
     rows = [(r.lang, r.text) for r in docs.collect()]
     monkeypatch.setattr(bitmap, "MOST_BITS", 15)
     monkeypatch.setattr(phrases, "CHUNK", 500)
+    monkeypatch.setattr(phrases, "RANGE", 9000)
     assert rows_of(collocations(docs)) == brute(rows)
 
 
+def test_phrases_too_long_for_one_number():
+    """Codes of many words do not fit 64 bits and are numbered on the way."""
+    rnd = random.Random(1)
+    words = [f"w{rnd.randrange(30)}" for _ in range(4000)]
+    text = " ".join(words[:2500]) + "\n" + " ".join(words[2500:])
+    chunk = phrases._Chunk((text + " " + " ".join(f"x{k}" for k in range(50_000))).encode(), "en")
+    full = np.full(1 << 12, 255, np.uint8)
+    with np.errstate(over="ignore"):
+        for k, cols, h, n in chunk.count(list(range(1, 8)), full, None):
+            got = {p.split("\t")[1]: c for p, c in zip(chunk.phrases(cols).to_pylist(), n.tolist()) if "x" not in p}
+            want = Counter(" ".join(w[i:i + k]) for w in (words[:2500], words[2500:]) for i in range(len(w) - k + 1))
+            assert got == want and len(h) == len(n)
+
+
 def test_hand_counts(spark):
-    rows = [(None, "A b. a b! a\tb c d"), ("en", "the cat\nthe cat; THE CAT"), ("en", None), ("en", " \x0b ,,, "), ("x", "one")]
+    rows = [(None, "A b. a b! a\tb c d"), ("en", "the cat\nthe cat; THE CAT"), ("en", None), ("en", " \x0b ,,, "), ("x", "one"), ("a\tb", "z z")]
     df = spark.createDataFrame(rows, "lang string, text string")
     got = {(r.lang, r.phrase): r.n for r in frequent_phrases(df, min_count=2).collect()}
     assert got == {("und", ""): 7, ("und", "a"): 3, ("und", "b"): 3, ("und", "a b"): 3, ("en", ""): 6, ("en", "the"): 3,
-                   ("en", "cat"): 3, ("en", "the cat"): 3, ("x", ""): 1}
+                   ("en", "cat"): 3, ("en", "the cat"): 3, ("x", ""): 1, ("a\tb", ""): 2, ("a\tb", "z"): 2}
 
 
 def test_edge_rows(spark, edge):
@@ -111,11 +127,13 @@ def test_scores_beyond_64_bits(spark):
 
 
 def test_bitmap(spark):
-    h = np.random.RandomState(1).randint(0, 1 << 63, 1000).astype(np.uint64)
+    h = np.random.RandomState(1).randint(-(1 << 63), 1 << 63, 1000).view(np.uint64)
     bits = bitmap.bits_for(len(h))
     df = spark.createDataFrame([(int(x),) for p in bitmap.places(h, bits) for x in p], "bit long")
     made = bitmap.collect(df, bits)
     assert bitmap.hits(made, h).all()
+    rows = spark.createDataFrame([(int(x),) for x in h.view(np.int64)], "key long")
+    assert (bitmap.collect(bitmap.place_rows(rows, "key", bits), bits) == made).all()
     others = np.random.RandomState(2).randint(0, 1 << 63, 100_000).astype(np.uint64)
     assert bitmap.hits(made, others).mean() < 0.01
     assert not bitmap.collect(df.where(F.lit(False)), bits).any()
