@@ -5,8 +5,9 @@ The export is one pass over the calls: a row's table is an expression, and
 one job writes ``table=variant_data`` / ``table=reference_data`` folders,
 each parted by contig and sorted by position.  Reference rows have a null
 INFO.  Beside the columns of the split format every row keeps quality,
-filter, cohort and engine, and reference rows the annotations of their site
-(``site_info``), so the calls come back whole; in sorted files these columns
+filter, cohort and engine, reference rows the annotations of their site
+(``site_info``), and rows whose depths are not plain numbers their text
+(``ad_text``), so the calls come back whole; in sorted files these columns
 are runs of one value.
 
 Default mode keeps every original call: only ``0/0`` goes to reference
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelic.functions.genotype import is_carrier
@@ -28,7 +29,11 @@ from allelic.schema import CALL_COLUMNS
 VDS_VERSION, GENOME = "v1.0", "GRCh38"
 VARIANT_TABLE, REFERENCE_TABLE = "variant_data", "reference_data"
 SPLIT_COLUMNS = ["locus_contig", "locus_position", "alleles", "sample_id", "call", "dp", "gq", "ad", "info"]
-KEPT_COLUMNS = ["qual", "filter", "cohort_id", "engine", "site_info"]
+KEPT_COLUMNS = ["qual", "filter", "cohort_id", "engine", "site_info", "ad_text"]
+
+
+def _depths(ad) -> Column:
+    return F.array_join(F.transform(ad, lambda x: x.cast("string")), ",")
 
 
 def split_rows(calls: DataFrame, compat: bool = False) -> DataFrame:
@@ -43,7 +48,8 @@ def split_rows(calls: DataFrame, compat: bool = False) -> DataFrame:
         F.array("reference_bases", "alternate_bases").alias("alleles"),
         "sample_id", call.alias("call"), "dp", "gq", ad.alias("ad"),
         F.when(variant, F.col("attributes")).alias("info"),
-        "qual", "filter", "cohort_id", "engine", F.when(~variant, F.col("attributes")).alias("site_info"))
+        "qual", "filter", "cohort_id", "engine", F.when(~variant, F.col("attributes")).alias("site_info"),
+        F.when(~F.col("allele_depth").eqNullSafe(_depths(ad)), F.col("allele_depth")).alias("ad_text"))
 
 
 def split_vds(calls: DataFrame, compat: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -93,6 +99,6 @@ def vds_to_calls(variant_data: DataFrame, reference_data: DataFrame) -> DataFram
         F.col("alleles")[0].alias("reference_bases"),
         F.col("alleles")[1].alias("alternate_bases"),
         "sample_id", F.col("call").alias("genotype"), "qual", "filter", "dp", "gq",
-        F.array_join(F.transform("ad", lambda x: x.cast("string")), ",").alias("allele_depth"),
+        F.coalesce("ad_text", _depths(F.col("ad"))).alias("allele_depth"),
         F.coalesce("info", "site_info").alias("attributes"), "cohort_id", "engine")
     return out.select(*CALL_COLUMNS)

@@ -83,6 +83,7 @@ VDS_KEPT = T.StructType([
     T.StructField("cohort_id", T.StringType()),
     T.StructField("engine", T.StringType()),
     T.StructField("site_info", T.StringType()),
+    T.StructField("ad_text", T.StringType()),
 ])
 REFERENCE_DATA = T.StructType([f for f in VARIANT_DATA.fields if f.name != "info"])
 

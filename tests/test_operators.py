@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from allelic.functions.cost import scan_cost
 from allelic.operators import burden, browse, carriers, clinical, frequency, policy, summary
@@ -115,6 +116,52 @@ def test_policy(calls):
             policy.published(renamed)
 
 
+def test_published_follows_lineage(spark, calls):
+    ok = [
+        frequency.allele_frequency(calls),
+        frequency.carrier_frequency(calls, top=3),
+        frequency.site_alt_frequency(calls),
+        calls.withColumn("d", F.when(F.col("genotype") == "1/1", 2).otherwise(0)).groupBy("start").agg(F.sum("d").alias("allele_count")),
+        calls.groupBy("start").agg(F.count_distinct("sample_id").alias("sample_count")),
+        calls.groupBy("start").agg(F.avg("dp").alias("mean_depth")).union(calls.groupBy("start").agg(F.avg("gq").alias("x"))),
+    ]
+    for df in ok:
+        assert policy.published(df) is df
+    sid, gt = F.col("sample_id"), F.col("genotype")
+    bad = [
+        calls.groupBy(F.upper(sid).alias("gene_symbol")).agg(F.count("*").alias("sample_count")),
+        calls.select(F.concat(sid, F.lit("")).alias("gene_symbol")),
+        calls.select(F.sha2(sid, 256).alias("filter")),
+        calls.groupBy("start").agg(F.array_join(F.collect_list("sample_id"), ",").alias("gene_symbol")),
+        calls.groupBy("start").agg(F.max("sample_id").alias("gene_symbol")),
+        calls.groupBy("start").agg(F.sum(F.xxhash64("sample_id")).alias("allele_count")),
+        calls.groupBy("start").agg(F.first(F.struct("sample_id"))["sample_id"].alias("qual")),
+        calls.groupBy(gt.alias("filter")).agg(F.count("*").alias("sample_count")),
+        calls.select(F.col("filter")).union(calls.select(sid)),
+        calls.select(F.when(gt == "1/1", F.lit("yes")).alias("filter")),
+        calls.select(F.explode(F.array("sample_id")).alias("gene_symbol")),
+        calls.select(F.lag("sample_id").over(Window.orderBy("start")).alias("gene_symbol")),
+        calls.withColumn("x", sid).groupBy("x").agg(F.count("*").alias("sample_count")).select(F.col("x").alias("gene_symbol"), "sample_count"),
+        calls.selectExpr("(select max(sample_id) from values ('a') t(sample_id)) as gene_symbol"),
+        calls.select("sample_id").mapInPandas(lambda it: (f.rename(columns={"sample_id": "qual"}) for f in it), "qual string"),
+    ]
+    for df in bad:
+        with pytest.raises(ValueError, match="withheld"):
+            policy.published(df)
+
+
+def test_vds_keeps_depth_text(spark, calls):
+    depths = [".", "9,.", "", None, "07,1", "3,4", "99999999999,1", ",", "1", " 2,3"]
+    rows = [call(100 + k, "s1", gt)[:11] + (d, A, "c1", "e") for k, d in enumerate(depths) for gt in ("0/0", "0/1")]
+    df = spark.createDataFrame(rows, COLS)
+    for mode in (False, True):
+        back = vds_to_calls(*split_vds(df, compat=mode))
+        got = sorted((r.start, str(r.allele_depth)) for r in back.collect())
+        assert got == sorted((100 + k, str(d)) for k, d in enumerate(depths) for _ in range(2))
+    d = diff_counts(df, vds_to_calls(*split_vds(df))).first()
+    assert (d["left_only"], d["right_only"]) == (0, 0)
+
+
 def test_vds_split_and_back(calls):
     var, ref = split_vds(calls)
     assert ref.count() == 1 and var.count() == 8
