@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -43,6 +44,7 @@ def test_join_edges(edge):
 def test_join_repeated_ids_are_one_document(edge):
     got = sorted((r.n_shingles, r.component_id) for r in jaccard_join.jaccard_classes(edge).collect() if r.doc_id == 6)
     assert got == [(296, 6), (296, 6), (415, 6)]
+    assert _rows(jaccard_join.jaccard_classes(edge), *CLASSES) == brute.near_classes(PAIRS)
 
 
 def test_join_documents(docs):
@@ -50,18 +52,65 @@ def test_join_documents(docs):
     assert _rows(jaccard_join.jaccard_classes(docs), *CLASSES) == brute.near_classes(rows)
 
 
-def test_join_recursion_in_a_crowded_band(spark, monkeypatch):
-    """Many documents about as far apart as the threshold: regions stay open
-    after the first pivots and recurse."""
-    monkeypatch.setattr(jaccard_join, "FIRST_PIVOTS", 1)
-    rnd = random.Random(8)
-    base = prose(rnd, 150).split()
+def crowded(seed, many, edits, size=150):
+    """Documents about as far apart from one another as the threshold, of
+    which groups share their edits, so that regions stay open."""
+    rnd = random.Random(seed)
+    base = prose(rnd, size).split()
     rows = []
-    for i in range(90):
+    for i in range(many):
         w = list(base)
-        for _ in range(rnd.choice([2, 3, 4, 5, 6])):
-            w[rnd.randrange(len(w))] = f"edit{rnd.randrange(10**6)}"
-        rows.append((i, " ".join(w)))
+        for _ in range(rnd.choice(edits)):
+            at = rnd.randrange(len(w))
+            w[at] = f"edit{at}x{rnd.randrange(3)}" if rnd.random() < 0.8 else f"edit{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w[:rnd.choice([size, size, size - 12])])))
+    return rows
+
+
+@pytest.mark.parametrize("heads, pivots", [(0, 1), (2, 2), (1000, 16)])
+def test_join_recursion_in_a_crowded_band(spark, monkeypatch, heads, pivots):
+    monkeypatch.setattr(jaccard_join, "MOST_HEADS", heads)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+    depths = []
+    held = jaccard_join._deeper
+    monkeypatch.setattr(jaccard_join, "_deeper", lambda rows, sets, depth, percent: depths.append(depth) or held(rows, sets, depth, percent))
+    rows = crowded(8, 90, [2, 3, 4, 5, 6])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _rows(jaccard_join.jaccard_classes(df), *CLASSES) == brute.near_classes(rows)
+    assert depths == ([1, 2] if heads == 0 else depths)
+
+
+@pytest.mark.parametrize("percent", [50, 90, 100])
+def test_join_other_thresholds(spark, monkeypatch, percent):
+    monkeypatch.setattr(jaccard_join, "MOST_HEADS", 2)
+    rows = crowded(percent, 60, [0, 1, 2, 4, 8, 12], 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _rows(jaccard_join.jaccard_classes(df, percent=percent), *CLASSES) == brute.near_classes(rows, percent)
+
+
+def test_join_ranges_batches_and_common_shingles(spark, docs, monkeypatch):
+    """Small ranges and batches, and shingles that count as common, change
+    nothing."""
+    monkeypatch.setattr(jaccard_join, "BATCH", 3000)
+    monkeypatch.setattr(jaccard_join, "RANGE", 20_000)
+    monkeypatch.setattr(jaccard_join, "COMMON", 45)
+    seen = []
+    held = jaccard_join._common
+    monkeypatch.setattr(jaccard_join, "_common", lambda *a: seen.append(held(*a)) or seen[-1])
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(10**6 + i, t) for i, t in crowded(4, 60, [1, 2, 5])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _rows(jaccard_join.jaccard_classes(df), *CLASSES) == brute.near_classes(rows)
+    assert len(seen[0])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_join_rows_that_repeat_ids(spark, seed):
+    """Ids that occur several times, with one text or several, lose no link."""
+    rnd = random.Random(seed)
+    small = [" ".join(f"{c}{k}" for k in range(8)) for c in "abc"]
+    rows = [(5, "p q r s t u v w"), (6, "p q r s t u v"), (6, "p q r s t u v"), (7, "p q r s t u v w x"), (8, "q r s t u v w x"),
+            (8, "q r s t u v w x"), (9, small[0]), (9, small[1]), (9, small[1]), (10, small[1] + " z"), (11, small[0] + " z"), (12, small[2])]
+    rows += [(100 + k, prose(rnd, rnd.randrange(3, 40))) for k in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert _rows(jaccard_join.jaccard_classes(df), *CLASSES) == brute.near_classes(rows)
 
@@ -171,63 +220,66 @@ def test_pack_empty(empty):
 
 # --- LM scoring ----------------------------------------------------------------------
 
-def _losses(rows, target, vocab_size):
+def _losses(rows, target):
     toks = [(i, (t or "").lower().split()) for i, t in rows]
-    n = Counter(w for _, ws in toks for w in ws if len(w) <= lm_scoring.WORD_CHARS)
-    index = {w: k for k, (w, _) in enumerate(sorted(n.items(), key=lambda x: (-x[1], x[0]))[:vocab_size], 2)}
-    size = len(index) + 2
+    index = {w: k for k, w in enumerate(sorted({w for _, ws in toks for w in ws}), 1)}
+    size = len(index) + 1
     out = []
     for use in (lambda i: i in target, lambda i: True):
         c = np.zeros((size, size))
         for i, ws in toks:
             if use(i):
-                prev = 0
-                for w in ws:
-                    k = index.get(w, 1)
-                    c[prev, k] += 1
-                    prev = k
-        uni = c.sum(0) + 1
-        uni[0] = 0
-        uni /= uni.sum()
+                for a, b in zip([0, *(index[w] for w in ws)], [index[w] for w in ws]):
+                    c[a, b] += 1
+        uni = (c.sum(0) + 1) / (c.sum() + size)  # one count for what is unseen
         p = (c + lm_scoring.PRIOR * uni) / (c.sum(1, keepdims=True) + lm_scoring.PRIOR)
         score = []
         for i, ws in toks:
-            prev, total = 0, 0.0
-            for w in ws:
-                k = index.get(w, 1)
-                total -= math.log(p[prev, k])
-                prev = k
-            score.append(total / len(ws) if ws else None)
+            at = [index[w] for w in ws]
+            score.append(sum(-math.log(p[a, b]) for a, b in zip([0, *at], at)) / len(ws) if ws else None)
         out.append(score)
     return [(i, len(ws), a, b) for (i, ws), a, b in zip(toks, *out)]
 
 
-def test_lm_scores(spark, edge):
-    target = spark.createDataFrame([(1,), (4,), (None,), (999,), (4,), (6,)], "doc_id long")
-    got = lm_scoring.score_documents(edge, target, vocab=50).collect()
+def _check_losses(got, want):
     key = lambda r: (str(r[0]), r[1], r[3] or 0)
-    want = sorted(_losses(PAIRS, {1, 4, 6}, 50), key=key)
-    for g, w in zip(sorted(map(tuple, got), key=key), want):
+    assert len(got) == len(want)
+    for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
         assert g[:2] == w[:2]
         if w[2] is None:
             assert g[2:] == (None, None, None)
         else:
-            assert g[2:4] == pytest.approx(w[2:], abs=2e-4)
+            assert g[2:4] == pytest.approx(w[2:], abs=2e-6)
             assert g[4] == pytest.approx(g[2] - g[3], abs=1e-6)
 
 
-def test_lm_every_word_counts(spark, edge, monkeypatch):
-    """No word is unknown, rare and long ones either, over many chunks and parts."""
-    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 30_000, raising=False)
-    target = spark.createDataFrame([(1,), (4,), (6,)], "doc_id long")
-    got = lm_scoring.score_documents(edge, target).collect()
-    monkeypatch.setattr(lm_scoring, "WORD_CHARS", 1 << 30)  # of the plain version
-    key = lambda r: (str(r[0]), r[1], r[3] or 0)
-    want = sorted(_losses(PAIRS, {1, 4, 6}, 1 << 30), key=key)
-    assert len(got) == len(want)
-    for g, w in zip(sorted(map(tuple, got), key=key), want):
-        assert g[:2] == w[:2]
-        assert g[2:4] == ((None, None) if w[2] is None else pytest.approx(w[2:], abs=2e-6))
+@pytest.mark.parametrize("chunk", [30_000, 200, 10**9])
+def test_lm_every_word_counts(spark, edge, monkeypatch, chunk):
+    """Rare and long words too, over one chunk or many chunks and parts; with
+    small chunks most parts have no keys of a chunk."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", chunk)
+    few = edge if chunk > 200 else edge.where("length(text) < 500 or text is null")
+    target = spark.createDataFrame([(1,), (4,), (None,), (999,), (4,), (6,)], "doc_id long")
+    rows = [(r.doc_id, r.text) for r in few.collect()]
+    _check_losses(lm_scoring.score_documents(few, target).collect(), _losses(rows, {1, 4, 6}))
+
+
+def test_lm_rows_repeated_in_full(spark, monkeypatch):
+    """They count each and travel once a batch."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 400)
+    rows = [(1, "a b c a b")] * 300 + [(2, "b c"), (2, "c b"), (None, "a b"), (None, "a b"), (3, "")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([(1,)], "doc_id long")
+    _check_losses(lm_scoring.score_documents(df, target).collect(), _losses(rows, {1}))
+    sent = [r for b in lm_scoring._deal(iter([pa.RecordBatch.from_pylist([{"id": i, "text": t, "target": False, "chunk": 0} for i, t in rows])]))
+            for r in b.to_pylist()]
+    assert len(sent) == 1 and len(lm_scoring._Docs([sent[0]["docs"]]).texts) == 5
+
+
+def test_lm_keys_travel_as_differences():
+    for keys in ([], [0], [5, 6, 1 << 63, (1 << 64) - 1]):
+        keys = np.array(keys, np.uint64)
+        assert (lm_scoring._unpack_keys(lm_scoring._pack_keys(keys)) == keys).all()
 
 
 def test_lm_held_out(spark, docs):

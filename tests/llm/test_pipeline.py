@@ -54,14 +54,25 @@ def test_exact_stage_keeps_one_of_rows_repeated_in_full(spark):
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, "a b"), (1, "other")]
 
 
+def test_near_duplicates_tells_texts_apart(spark):
+    """Of an id with a near copy and a text of its own, the copy goes."""
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(5, a), (6, a + " more"), (6, b), (6, b), (7, b + " end"), (8, "other words"), (None, a), (9, None), (4, "z " + a)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    out = P.near_duplicates(spark, df, SF)
+    assert out.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(4, "z " + a), (6, b), (6, b), (8, "other words"), (9, None), (None, a)], key=str)
+
+
 def test_registered():
     q = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in q if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in q and set(E.oracle_sql()) <= set(q)
 
 
-@pytest.mark.parametrize("name", ["op3_mixing", "op4_exact_dedup", "op8_fixity", "op10_licenses"])
+@pytest.mark.parametrize("name", ["op3_mixing", "op4_exact_dedup", "op8_fixity", "op10_licenses", "op11_phrases"])
 def test_oracle(spark, name):
     import duckdb
     con = duckdb.connect()
