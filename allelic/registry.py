@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.operators import browse, policy, querylog, summary
+from allelic.operators import association, browse, ld, pca, policy, querylog, scores, summary
 from allelic.operators import burden, carriers, clinical, frequency
 from allelic.operators import synth, validation
 from allelic.operators import vds as vds_ops
@@ -337,6 +337,57 @@ def _q_n1_counts(s, d):
                   "mode"))
 
 
+# --- genetics: association, linkage, components, scores -----------------------------
+# Results that rest on floating sums are rounded, and a negative zero is zero.
+
+#: Pairs of sites of the derived calls share few samples.
+LD_WINDOW, LD_SAMPLES = 100_000, 2
+
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in cols})
+
+
+@register("gwas_linear")
+def _q_gwas_linear(s, d):
+    df = association.linear_association(_calls(s, d), fx.traits(s, d), "n_conditions", ["age", "male"])
+    return _rounded(df, "beta", "se", "t", "p_value").drop("neg_log10_p")
+
+
+@register("gwas_logistic")
+def _q_gwas_logistic(s, d):
+    df = association.logistic_association(_calls(s, d), fx.traits(s, d), "is_case", ["age", "male"])
+    return _rounded(df, "score", "variance", "z", "p_value")
+
+
+register("ld_pairs")(lambda s, d: ld.ld_pairs(_calls(s, d), LD_WINDOW, min_samples=LD_SAMPLES))
+register("ld_pruned")(lambda s, d: ld.ld_prune(_calls(s, d), 0.2, LD_WINDOW, min_samples=LD_SAMPLES))
+
+
+@register("genotype_pca")
+def _q_genotype_pca(s, d):
+    return _rounded(pca.genotype_pca(_calls(s, d), 3), "pc1", "pc2", "pc3")
+
+
+def _score_inputs(s, d):
+    return fx.sites(fx.table(s, d, "part")), fx.person(s, d), fx.score_weights(s, d)
+
+
+@register("polygenic_scores")
+def _q_polygenic_scores(s, d):
+    return _rounded(scores.polygenic_scores(_calls(s, d), *_score_inputs(s, d)), "score")
+
+
+@register("polygenic_scores_vds")
+def _q_polygenic_scores_vds(s, d):
+    """From the split layout's variant table alone: no reference calls."""
+    v = tables.read_variant_data(s, _vds(s, d))
+    calls = v.select(F.col("locus_contig").alias("reference_name"), F.col("locus_position").alias("start"),
+                     F.col("alleles")[0].alias("reference_bases"), F.col("alleles")[1].alias("alternate_bases"),
+                     "sample_id", F.col("call").alias("genotype"))
+    return _rounded(scores.polygenic_scores(calls, *_score_inputs(s, d)), "score")
+
+
 # --- C20, K1, K2 --------------------------------------------------------------------
 
 register("validate_cohort")(lambda s, d: validation.validate_cohort(

@@ -143,6 +143,28 @@ def condition_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sample: number of conditions, case status, covariates."""
+    c = condition_occurrence(spark, sf_dir).groupBy("person_id").agg(
+        F.count(F.lit(1)).alias("n_conditions"), F.max(F.when(F.col("condition_concept_id") == CONDITION_CONCEPTS[0], 1).otherwise(0)).alias("is_case"))
+    return person(spark, sf_dir).join(c, "person_id", "left").select(
+        "sample_id", F.coalesce("n_conditions", F.lit(0)).cast("long").alias("n_conditions"),
+        F.coalesce("is_case", F.lit(0)).alias("is_case"), (F.col("year_of_birth") - 1980).alias("age"),
+        F.when(F.col("gender_concept_id") == MALE, 1).otherwise(0).alias("male"))
+
+
+def score_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of four kinds: the alternate allele, the reference allele, the
+    other strand, and an allele that the site does not have."""
+    st, r = sites(table(spark, sf_dir, "part")), F.col("site_key") % 5
+    ref, alt, flip = F.col("reference_bases"), F.col("alternate_bases"), lambda c: F.translate(c, "ACGT", "TGCA")
+    return st.where(r < 4).select(
+        "reference_name", "start",
+        F.when(r == 0, alt).when(r == 1, ref).when(r == 2, flip(alt)).otherwise(F.lit("N")).alias("effect_allele"),
+        F.when(r == 1, alt).when(r == 2, flip(ref)).otherwise(ref).alias("other_allele"),
+        ((F.col("qual") - 55) / 100).alias("weight"))
+
+
 def _pick(values: list, idx: Column) -> Column:
     expr = None
     for i, v in enumerate(values):

@@ -98,6 +98,24 @@ query_log AS (
          CAST(event_id * 100000 AS BIGINT) AS bytes_scanned
   FROM events)"""
 
+_CTES["traits"] = """
+traits AS (
+  SELECT p.sample_id, COUNT(c.person_id) AS n_conditions,
+         CAST(coalesce(max(CASE WHEN c.condition_concept_id = 43530807 THEN 1 ELSE 0 END), 0) AS INTEGER) AS is_case,
+         p.year_of_birth - 1980 AS age, CASE WHEN p.gender_concept_id = 8507 THEN 1 ELSE 0 END AS male
+  FROM person p LEFT JOIN condition_occurrence c ON c.person_id = p.person_id
+  GROUP BY p.person_id, p.sample_id, p.year_of_birth, p.gender_concept_id)"""
+
+_CTES["score_weights"] = """
+score_weights AS (
+  SELECT reference_name, start,
+         CASE site_key % 5 WHEN 0 THEN alternate_bases WHEN 1 THEN reference_bases
+              WHEN 2 THEN translate(alternate_bases, 'ACGT', 'TGCA') ELSE 'N' END AS effect_allele,
+         CASE site_key % 5 WHEN 1 THEN alternate_bases WHEN 2 THEN translate(reference_bases, 'ACGT', 'TGCA')
+              ELSE reference_bases END AS other_allele,
+         (qual - 55) / 100 AS weight
+  FROM sites WHERE site_key % 5 < 4)"""
+
 _DEPS = {
     "sites": [],
     "pairs": [],
@@ -106,6 +124,8 @@ _DEPS = {
     "person": [],
     "condition_occurrence": [],
     "query_log": [],
+    "traits": ["person", "condition_occurrence"],
+    "score_weights": ["sites"],
 }
 
 

@@ -17,8 +17,10 @@ published_frequencies scan_cost bench_summary bench_ranking bench_scaling n1_cou
 n1_incremental synthetic_calls synthetic_person synthetic_conditions calls_to_vcf
 compacted_equal feed_stream replay_equal append_after_compact
 allele_frequency_vds gene_burden_vds omop_join_vds
+gwas_linear gwas_logistic ld_pairs ld_pruned genotype_pca polygenic_scores polygenic_scores_vds
 """.split()
-ROWS_ONLY: set = set()
+# Newton steps, a greedy walk and a decomposition: tested against plain numpy instead.
+ROWS_ONLY: set = {"gwas_logistic", "ld_pruned", "genotype_pca"}
 
 
 def _library(entries):
