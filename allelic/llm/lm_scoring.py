@@ -1,16 +1,20 @@
 """LM scoring by cross-entropy difference.
 
 Two bigram models, of the target documents and of all documents, share one
-vocabulary (every word of the corpus and one unknown word), one order and one
-smoothing.  The per-token loss difference scores a document: below zero it
-reads more like the target than like the corpus.
-
-Documents are dealt into chunks of a bounded size by a hash.  A chunk counts
-its distinct words and bigrams, and sends the counts to parts of the key
-space, where they are summed; each chunk gets the sums of its own keys back
-and scores its documents with them.  Tables grow with the corpus, a task holds
-one chunk or one part, a frequent word is one entry a chunk, and nothing but
-the number of chunks is on the driver.
+vocabulary (every word of the corpus), one order and one smoothing.  The
+per-token loss difference scores a document: below zero it reads more like
+the target than like the corpus.
+
+Documents are dealt into chunks of a bounded size by a hash; texts travel
+compressed, a row for the documents of a batch that go to one chunk, in which
+rows repeated in full stand once with their number.  A chunk counts its
+distinct words and bigrams, and sends the counts to parts of the key space,
+where they are summed; each chunk gets the sums of its own keys back and
+scores its documents with them.  Tables grow with the corpus, a task holds one
+chunk or one part, a frequent word is one entry a chunk, and nothing but the
+number of chunks is on the driver.  A chunk has a row for each part that holds
+keys of it, so rows are at most the smaller of chunks times parts and of the
+distinct keys of all chunks.
 
 Keys are 64-bit hashes of words and of word pairs: two that clash are counted
 as one, which among a thousand million keys has a chance of about 5 percent.
@@ -33,45 +37,19 @@ from allelic.llm.common import documents, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Longer words are unknown to models over a given number of words.
-WORD_CHARS = 64
 #: Weight of the unigram model in each bigram row, in counts.
 PRIOR = 20.0
-TYPES = 300_000
 BROADCAST_IDS = 2_000_000
 #: Bytes of text in a chunk; its keys take about as much in a part.
 CHUNK_BYTES = 12_000_000
-#: Stand for the start of a text and for unknown words; no token has a space.
-START, UNKNOWN = " start", " unknown"
+#: Stands for the start of a text; no token has a space.
+START = " start"
 
 
 def tokens(text: str) -> list[str]:
     return text.lower().split()
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    c: Counter = Counter()
-
-    def flush():
-        words = [w for w in c if len(w) <= WORD_CHARS]
-        out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([c[w] for w in words], pa.int64())], ["word", "n"])
-        c.clear()
-        return out
-
-    for batch in batches:
-        for t in batch["text"]:
-            c.update(tokens(t.as_py()))
-            if len(c) > TYPES:
-                yield flush()
-    yield flush()
-
-
-def vocabulary(texts: DataFrame, size: int) -> list[str]:
-    """The ``size`` most frequent words, ties by code point."""
-    counts = texts.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
-
-
 def _hash(words: list[str]) -> np.ndarray:
     return pd.util.hash_array(np.array(words, object), categorize=False)
 
@@ -83,21 +61,63 @@ def _mix(k: np.ndarray) -> np.ndarray:
     return k ^ (k >> np.uint64(32))
 
 
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for the documents of a batch that go to one chunk."""
+    import zstandard
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        chunk = batch["chunk"].to_numpy(zero_copy_only=False)
+        order = np.argsort(chunk, kind="stable")
+        numbers, blobs = [], []
+        for some in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else ():
+            rows = batch.take(pa.array(some))
+            seen = Counter(zip(rows["id"].to_pylist(), rows["target"].to_pylist(), rows["text"].to_pylist()))
+            texts = [t.encode() for _, _, t in seen]
+            head = np.array([(i or 0, i is None, target, many, len(t)) for ((i, target, _), many), t in zip(seen.items(), texts)], np.int64)
+            numbers.append(int(chunk[some[0]]))
+            blobs.append(pack.compress(np.int64(len(head)).tobytes() + head.tobytes() + b"".join(texts)))
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "docs"])
+
+
+class _Docs:
+    """The documents of a chunk."""
+
+    def __init__(self, blobs: list[bytes]):
+        import zstandard
+        unpack = zstandard.ZstdDecompressor()
+        heads, self.texts = [np.zeros((0, 5), np.int64)], []
+        for raw in map(unpack.decompress, blobs):
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            head = np.frombuffer(raw, np.int64, 5 * n, 8).reshape(n, 5)
+            at = 8 + 40 * n + np.concatenate([[0], np.cumsum(head[:, 4])])
+            self.texts += [raw[x:y].decode() for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+            heads.append(head)
+        head = np.concatenate(heads)
+        self.ids, self.null, self.target, self.many = head[:, 0], head[:, 1] == 1, head[:, 2] == 1, head[:, 3]
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, their bytes by place: the high ones are 0."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_keys(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view("<u8").ravel(), dtype=np.uint64)
+
+
 class _Chunk:
     """Words and bigrams of some texts, numbered, and the order of their keys."""
 
-    def __init__(self, texts: list[str], known, n_parts: int):
-        index = {START: 0, UNKNOWN: 1}
+    def __init__(self, texts: list[str], many: np.ndarray, n_parts: int):
+        index = {START: 0}
         number = index.setdefault
         cur, lengths = [], []
         for t in texts:
             ws = tokens(t)
             lengths.append(len(ws))
-            if known is None:
-                cur.append(np.array([number(w, len(index)) for w in ws], np.int64))
-            else:
-                cur.append(np.array([number(w, len(index)) if w in known else 1 for w in ws], np.int64))
-        self.lengths = np.array(lengths, np.int64)
+            cur.append(np.array([number(w, len(index)) for w in ws], np.int64))
+        self.lengths, self.many = np.array(lengths, np.int64), many
         self.cur = np.concatenate(cur) if cur else np.zeros(0, np.int64)
         first = (np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]
         prev = np.roll(self.cur, 1)
@@ -113,18 +133,19 @@ class _Chunk:
         # parts are ranges of the upper half of the key
         part = ((self.keys >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
         self.order = np.argsort(self.keys)
-        self.parts = np.searchsorted(part[self.order], np.arange(n_parts + 1))
-
-    def counts(self, use=None) -> tuple[np.ndarray, np.ndarray]:
-        """By key: occurrences, and those that end a text (of words), of all
-        tokens or of the texts that ``use`` marks."""
-        w = None if use is None else np.repeat(use, self.lengths)
-        count = lambda x, n: np.bincount(x if w is None else x[w], minlength=n)
-        last = self.last if use is None else self.last[use[self.lengths > 0]]
+        own, at = np.unique(part[self.order], return_index=True)
+        #: place of the keys of each part that has some, in order
+        self.parts = {int(p): slice(x, y) for p, x, y in zip(own, at, [*at[1:], len(self.keys)])}
+
+    def counts(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By key: occurrences, and those that end a text (of words), where
+        document k counts ``use[k]`` times."""
+        w, some = np.repeat(use, self.lengths), use[self.lengths > 0]
+        count = lambda x, of, n: np.bincount(x, of, n).astype(np.int64)  # noqa: E731  exact up to 2**53
         ends = np.zeros(len(self.keys), np.int64)
-        ends[:self.size] = np.bincount(last, minlength=self.size)
-        total = np.concatenate([count(self.cur, self.size), count(self.pair, len(self.a))])
-        total[0] += len(last)  # starts: as many as texts that end
+        ends[:self.size] = count(self.last, some, self.size)
+        total = np.concatenate([count(self.cur, w, self.size), count(self.pair, w, len(self.a))])
+        total[0] += some.sum()  # starts: as many as texts that end
         return total, ends
 
 
@@ -141,98 +162,105 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
 
 
 _SENT = "part int, chunk int, keys binary, n binary, n_target binary, ends binary, ends_target binary"
-_SUMS = ("chunk int, part int, n binary, n_target binary, ends binary, ends_target binary, "
-         "types long, tokens long, tokens_target long")
+_SUMS = "chunk int, part int, n binary, n_target binary, ends binary, ends_target binary"
+_STATS = "types long, tokens long, tokens_target long"
 
 
-def _emit(n_parts: int, known):
-    """A row a part with the counts of the chunk's keys."""
+def _emit(n_parts: int):
+    """A row with the counts of the chunk's keys for each part that has some."""
     def run(table: pa.Table) -> pa.Table:
-        c = _Chunk(table["text"].to_pylist(), known and known.value, n_parts)
+        docs = _Docs(table["docs"].to_pylist())
         chunk = table["chunk"][0].as_py()
-        target = np.array(table["target"].to_pylist(), bool)
+        with np.errstate(over="ignore"):
+            c = _Chunk(docs.texts, docs.many, n_parts)
         keys, o = c.keys[c.order], c.order
-        (n, ends), (n_target, ends_target) = c.counts(), c.counts(target)
+        (n, ends), (n_target, ends_target) = c.counts(docs.many), c.counts(docs.many * docs.target)
         rows = []
-        for p in range(n_parts):
-            s = slice(c.parts[p], c.parts[p + 1])
+        for p, s in c.parts.items():
             k = keys[s]
             word = (k & np.uint64(1)).astype(bool)
             at = o[s]
-            rows.append((p, chunk, k.tobytes(), _pack(n[at]), _pack(n_target[at]), _pack(ends[at][word]), _pack(ends_target[at][word])))
+            rows.append((p, chunk, _pack_keys(k), _pack(n[at]), _pack(n_target[at]), _pack(ends[at][word]), _pack(ends_target[at][word])))
         names = [x.split()[0] for x in _SENT.split(", ")]
         types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
     return run
 
 
-def _sum(table: pa.Table) -> pa.Table:
-    """The sums of a part's keys, for each chunk those it sent, and the part's
-    words and tokens."""
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
-    sizes = np.array([len(k) for k in keys])
-    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    word = (key & np.uint64(1)).astype(bool)
-    words = [(k & np.uint64(1)).astype(bool) for k in keys]
-    cuts = np.cumsum(sizes)[:-1]
-    where = np.split(inverse, cuts)
-
-    def total(name, of_words):
-        out = np.zeros(len(key), np.int64)
-        for blob, at, w in zip(table[name], where, words):
+class _Part:
+    """The keys of a part, and where each chunk's are among them."""
+
+    def __init__(self, table: pa.Table):
+        keys = [_unpack_keys(x) for x in table["keys"].to_pylist()]
+        self.keys, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        self.word = (self.keys & np.uint64(1)).astype(bool)
+        self.words = [(k & np.uint64(1)).astype(bool) for k in keys]
+        self.where = np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
+
+    def total(self, blobs: list[bytes], of_words: bool) -> np.ndarray:
+        out = np.zeros(len(self.keys), np.int64)
+        for blob, at, w in zip(blobs, self.where, self.words):
             at = at[w] if of_words else at
-            np.add.at(out, at, _unpack(blob.as_py(), len(at)))
+            out[at] += _unpack(blob, len(at))  # a chunk has a key once
         return out
 
-    sums = [total("n", False), total("n_target", False), total("ends", True), total("ends_target", True)]
-    start, unknown = (_mix(_hash([START, UNKNOWN])) | np.uint64(1))
-    vocab = word & (key != start) & (key != unknown)
-    real = word & (key != start)
-    stats = [int(vocab.sum()), int(sums[0][real].sum()), int(sums[1][real].sum())]
+
+def _sum(table: pa.Table) -> pa.Table:
+    """The sums of a part's keys, for each chunk those it sent."""
+    part = _Part(table)
+    sums = [part.total(table[c].to_pylist(), "ends" in c) for c in ("n", "n_target", "ends", "ends_target")]
     cols = [table["chunk"].to_pylist(), table["part"].to_pylist(),
-            *[[_pack(s[at]) for at in where] for s in sums[:2]],
-            *[[_pack(s[at[w]]) for at, w in zip(where, words)] for s in sums[2:]],
-            *[[x] * len(keys) for x in stats]]
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4, *[pa.int64()] * 3]
+            *[[_pack(s[at]) for at in part.where] for s in sums[:2]],
+            *[[_pack(s[at[w]]) for at, w in zip(part.where, part.words)] for s in sums[2:]]]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
     return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(cols, types)], [x.split()[0] for x in _SUMS.split(", ")])
 
 
+def _count(table: pa.Table) -> pa.Table:
+    """Words of a part, and their occurrences in all texts and in the target's."""
+    part = _Part(table)
+    real = part.word & (part.keys != (_mix(_hash([START])) | np.uint64(1))[0])
+    n = [int(part.total(table[c].to_pylist(), False)[real].sum()) for c in ("n", "n_target")]
+    return pa.table({"types": [int(real.sum())], "tokens": [n[0]], "tokens_target": [n[1]]})
+
+
 _SCORES = "id long, n_tokens long, target_loss double, background_loss double"
 
 
-def _score(n_parts: int, known):
+def _score(n_parts: int):
     """Losses of a chunk's documents from the sums of its keys: Dirichlet
-    smoothing with the unigram model, itself smoothed by one count a word."""
-    def run(texts: pa.Table, sums: pa.Table) -> pa.Table:
-        if not len(texts):
-            return pa.table({"id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()),
-                             "target_loss": pa.array([], pa.float64()), "background_loss": pa.array([], pa.float64())})
-        c = _Chunk(texts["text"].to_pylist(), known and known.value, n_parts)
+    smoothing with the unigram model, itself smoothed by one count a word and
+    one for all words unseen."""
+    def run(table: pa.Table, sums: pa.Table) -> pa.Table:
+        docs = _Docs(table["docs"].to_pylist())
+        with np.errstate(over="ignore"):
+            c = _Chunk(docs.texts, docs.many, n_parts)
         n = {name: np.zeros(len(c.keys), np.int64) for name in ("n", "n_target", "ends", "ends_target")}
-        if sorted(sums["part"].to_pylist()) != list(range(n_parts)):
-            raise ValueError("a chunk needs the sums of each part once")
-        for r in sums.to_pylist():
-            at = c.order[c.parts[r["part"]]:c.parts[r["part"] + 1]]
+        if sorted(sums["part"].to_pylist()) != sorted(c.parts):
+            raise ValueError("a chunk needs the sums of each of its parts once")
+        for r in sums.select(["part", *n]).to_pylist():
+            at = c.order[c.parts[r["part"]]]
             word = at[at < c.size]
             for name, keys in (("n", at), ("n_target", at), ("ends", word), ("ends_target", word)):
                 n[name][keys] = _unpack(r[name], len(keys))
-        n_types = sum(sums["types"].to_pylist()) + 1
+        stats = sums.slice(0, 1).to_pylist()[0]
+        n_types = stats["types"] + 1
         doc, many, losses = np.repeat(np.arange(len(c.lengths)), c.lengths), np.maximum(c.lengths, 1), []
         for end in ("_target", ""):
             count, ends = n[f"n{end}"], n[f"ends{end}"]
-            uni = (count[:c.size] + 1.0) / (sum(sums[f"tokens{end}"].to_pylist()) + n_types)
+            uni = (count[:c.size] + 1.0) / (stats[f"tokens{end}"] + n_types)
             rows = count[:c.size] - ends[:c.size]
             p = (count[c.size:] + PRIOR * uni[c.b]) / (rows[c.a] + PRIOR)
             x = np.bincount(doc, -np.log(p)[c.pair], len(c.lengths)) / many
             x[c.lengths == 0] = np.nan
             losses.append(x)
-        return pa.table({"id": texts["id"], "n_tokens": pa.array(c.lengths), "target_loss": pa.array(losses[0]),
-                         "background_loss": pa.array(losses[1])})
+        each = np.repeat(np.arange(len(docs.ids)), docs.many)
+        return pa.table({"id": pa.array(docs.ids[each], mask=docs.null[each]), "n_tokens": pa.array(c.lengths[each]),
+                         "target_loss": pa.array(losses[0][each]), "background_loss": pa.array(losses[1][each])})
     return run
 
 
-def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocab: int | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_tokens``, ``target_loss``,
     ``background_loss`` (nats a token) and ``score``, their difference.
 
@@ -241,8 +269,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     target documents that model is its uniform prior.  Null, empty and blank
     texts have no tokens and null losses.  Rows repeated in full count and are
     scored each.  An empty table gives an empty result; other columns are
-    ignored.  All words are known to the models, or, with ``vocab``, that many
-    of the most frequent.
+    ignored.
     """
     spark = docs.sparkSession
     ids = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("id")).where("id is not null").distinct()
@@ -250,16 +277,17 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    known = None if vocab is None else spark.sparkContext.broadcast(frozenset(vocabulary(texts, vocab)))
     n = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // CHUNK_BYTES
     # by content, so that a task that runs again deals alike
-    chunks = (texts.join(ids, "id", "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"),
-                                                   F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("chunk"))
-              .repartitionById(n, "chunk"))
-    sent = chunks.groupBy("chunk").applyInArrow(_emit(n, known), _SENT)
-    sums = sent.repartitionById(n, "part").groupBy("part").applyInArrow(_sum, _SUMS)
-    out = chunks.groupBy("chunk").cogroup(sums.repartitionById(n, "chunk").groupBy("chunk")).applyInArrow(
-        _score(n, known), _SCORES)
+    dealt = texts.join(ids, "id", "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"),
+                                                 F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("chunk"))
+    chunks = dealt.mapInArrow(_deal, "chunk int, docs binary").repartitionById(n, "chunk")
+    sent = chunks.groupBy("chunk").applyInArrow(_emit(n), _SENT).repartitionById(n, "part")
+    stats = sent.groupBy("part").applyInArrow(_count, _STATS).agg(
+        *[F.sum(c).alias(c) for c in ("types", "tokens", "tokens_target")]).withColumn("all", F.lit(0))
+    sums = sent.groupBy("part").applyInArrow(_sum, _SUMS).repartitionById(n, "chunk").withColumn("all", F.lit(0))
+    sums = sums.join(F.broadcast(stats), "all").drop("all")  # one row
+    out = chunks.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(_score(n), _SCORES)
     loss = lambda c: F.round(F.when(F.col("n_tokens") > 0, F.col(c)), 6)
     return out.select(F.col("id").alias(id_col), "n_tokens", loss("target_loss").alias("target_loss"),
                       loss("background_loss").alias("background_loss"),
