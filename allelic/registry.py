@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.operators import association, browse, ld, pca, policy, querylog, scores, summary
+from allelic.operators import association, browse, carrier_states, ld, longitudinal, pca, policy, querylog, scores, summary, trials
 from allelic.operators import burden, carriers, clinical, frequency
 from allelic.operators import synth, validation
 from allelic.operators import vds as vds_ops
-from allelic.plans.layout import compact, diff_counts
+from allelic.plans import tiers
+from allelic.plans.layout import cluster, compact, compact_small, diff_counts
 from allelic.schema import CALL_COLUMNS
 from allelic.session import scratch_path
 from allelic.sinks import feed as feed_ops
@@ -31,6 +32,8 @@ from allelic.streaming.ingest import ingest_feed_stream, ingest_vcf_stream
 #: Positions of a file of the incremental query: several files a contig.
 N1_BUCKET = 100_000
 WHOLE_CONTIG, GZ_SPLIT = 1 << 40, 1 << 14
+#: File sizes at which the derived table has both small and large files.
+PACK_BYTES, SMALL_BYTES = 40_000, 9_000
 T_CONTIG, T_START = fx.TARGET_CONTIG, fx.TARGET_START
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -388,6 +391,81 @@ def _q_polygenic_scores_vds(s, d):
     return _rounded(scores.polygenic_scores(calls, *_score_inputs(s, d)), "score")
 
 
+@register("carrier_frequency_states")
+def _q_carrier_frequency_states(s, d):
+    """C2 from the states of two batches, the second with new samples; the
+    first is counted twice, which adds no sample and is not merged."""
+    calls = fx.variants(s, d, with_batch=True)
+    one, two = calls.where("batch_id = '001'"), calls.where("batch_id = '002'")
+    known = carrier_states.number_samples(one)
+    numbers = carrier_states.number_samples(two, known)
+    path = scratch_path(s, "carrier_states")
+    for n, batch in enumerate((one, two)):
+        carrier_states.carrier_states(batch, numbers).write.parquet(f"{path}/batch={n}")
+    states = [s.read.parquet(f"{path}/batch={n}") for n in (0, 1)]
+    return carrier_states.carrier_frequency_of(carrier_states.merge_states(*states))
+
+
+# --- trials, allele fraction over time, tiers, layout ------------------------------
+
+register("trial_matches")(lambda s, d: trials.match_trials(
+    trials.facts(_calls(s, d), fx.person(s, d), fx.condition_occurrence(s, d)), fx.person(s, d), fx.trials(s, d), fx.trial_criteria(s, d)))
+
+
+def _tracked(df):
+    return _rounded(df, "fraction", "change", "lowest", "highest")
+
+
+register("allele_fraction_track")(lambda s, d: _tracked(longitudinal.track(fx.biopsies(s, d))))
+
+
+@register("allele_fraction_stream")
+def _q_allele_fraction_stream(s, d):
+    """The same from a stream of files whose days are not in order."""
+    src, root = scratch_path(s, "biopsies"), scratch_path(s, "tracked")
+    rows = fx.biopsies(s, d)
+    rows.repartition(3, F.xxhash64("day", "sample_id")).write.json(src)
+    longitudinal.track_stream(s, src, root, scratch_path(s, "tracked_checkpoint"), max_files_per_trigger=1)
+    return _tracked(longitudinal.read_tracked(s, root))
+
+
+@register("tier_lookup")
+def _q_tier_lookup(s, d):
+    """Carried pathogenic calls from the hot tier: two batches, one of them
+    replayed with fewer calls, both tiers compacted."""
+    calls = fx.variants(s, d, with_batch=True)
+    root = scratch_path(s, "tiers")
+    for part in (calls.where("batch_id = '001'"), calls.where("batch_id = '002'"), calls.where("batch_id = '001' and reference_name <> 'chr5'")):
+        tiers.append_tiered(part, root)
+    root = tiers.compact_tiered(s, root, scratch_path(s, "tiers_compact"))
+    return tiers.read_tiered(s, root, tiers.CLINICAL).select(*CALL_COLUMNS)
+
+
+def _small_parts(s, d):
+    """A table of many small files: each batch in several parts."""
+    calls = fx.variants(s, d, with_batch=True)
+    src = scratch_path(s, "small_parts")
+    parts = calls.withColumn("part_id", F.concat(F.lit("p"), F.pmod(F.xxhash64("sample_id"), F.lit(4)).cast("string")))
+    writers.write_batches(parts, src)
+    return calls, src
+
+
+@register("packed_equal")
+def _q_packed_equal(s, d):
+    """The rows after only small files were packed, against the calls."""
+    calls, src = _small_parts(s, d)
+    dst = scratch_path(s, "packed")
+    compact_small(s, src, dst, target_bytes=PACK_BYTES, small_bytes=SMALL_BYTES)
+    return diff_counts(calls.select(*CALL_COLUMNS), tables.read_warehouse(s, dst).select(*CALL_COLUMNS))
+
+
+@register("clustered_equal")
+def _q_clustered_equal(s, d):
+    calls = fx.variants(s, d, with_batch=True)
+    dst = cluster(calls, scratch_path(s, "clustered"))
+    return diff_counts(calls.select(*CALL_COLUMNS), tables.read_warehouse(s, dst).select(*CALL_COLUMNS))
+
+
 # --- C20, K1, K2 --------------------------------------------------------------------
 
 register("validate_cohort")(lambda s, d: validation.validate_cohort(

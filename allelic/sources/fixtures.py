@@ -165,6 +165,44 @@ def score_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("qual") - 55) / 100).alias("weight"))
 
 
+def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        k.alias("trial_id"), (F.lit(1960) + k % 10).cast("int").alias("min_year"), (F.lit(1985) + k % 15).cast("int").alias("max_year"))
+
+
+def trial_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to four criteria a trial: a gene, one or two conditions in a window
+    of years, and an excluded gene; every seventh trial only excludes."""
+    k = F.col("s_suppkey")
+    concept = lambda i: F.element_at(F.array(*[F.lit(str(c)) for c in CONDITION_CONCEPTS]), (i % 3 + 1).cast("int"))
+    contig, none = k % N_CONTIGS + 1, F.lit(None).cast("string")
+    gene = F.when(contig == 21, "APP").when(contig == 17, "BRCA1").otherwise(F.concat(F.lit("GENE"), contig.cast("string")))
+    from_day = F.concat((1992 + k % 4).cast("string"), F.lit("-01-01"))
+    to_day = F.concat((1995 + k % 4).cast("string"), F.lit("-12-31"))
+    positive = k % 7 != 0
+
+    def one(i, use, mode, kind, code, start=none, end=none):
+        return F.when(use, F.struct(F.lit(i).alias("criterion_id"), F.lit(mode).alias("mode"), F.lit(kind).alias("kind"), code.alias("code"),
+                                    start.alias("from_day"), end.alias("to_day")))
+
+    rules = F.array(one(1, positive, "all", "variant", gene), one(2, positive, "any", "condition", concept(k), from_day, to_day),
+                    one(3, positive & (k % 2 == 0), "any", "condition", concept(k + 1)),
+                    one(4, k % 4 != 2, "none", "variant:PATHOGENIC", F.lit("BRCA1")))
+    return table(spark, sf_dir, "supplier").select(k.alias("trial_id"), F.explode(F.array_compact(rules)).alias("x")).select("trial_id", "x.*")
+
+
+def biopsies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depths of a marker (the contig of a part) of a customer by order day."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    dp = F.col("l_quantity").cast("long")
+    part = (F.col("o_custkey") + F.col("l_partkey") + F.col("l_linenumber")) % 10
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        sample_name(F.col("o_custkey")).alias("sample_id"), F.concat(F.lit("chr"), (F.col("l_partkey") % N_CONTIGS + 1).cast("string")).alias("marker"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("day"), dp.alias("dp"),
+        F.floor(dp * part / 10).cast("long").alias("alt"))
+
+
 def _pick(values: list, idx: Column) -> Column:
     expr = None
     for i, v in enumerate(values):

@@ -116,6 +116,34 @@ score_weights AS (
          (qual - 55) / 100 AS weight
   FROM sites WHERE site_key % 5 < 4)"""
 
+_CTES["trials"] = """
+trials AS (
+  SELECT s_suppkey AS trial_id, 1960 + s_suppkey % 10 AS min_year, 1985 + s_suppkey % 15 AS max_year FROM supplier)"""
+
+_CTES["trial_criteria"] = """
+trial_criteria AS (
+  SELECT s_suppkey AS trial_id, 1 AS criterion_id, 'all' AS mode, 'variant' AS kind,
+         CASE s_suppkey % 22 + 1 WHEN 21 THEN 'APP' WHEN 17 THEN 'BRCA1' ELSE 'GENE' || CAST(s_suppkey % 22 + 1 AS VARCHAR) END AS code,
+         NULL::VARCHAR AS from_day, NULL::VARCHAR AS to_day
+  FROM supplier WHERE s_suppkey % 7 <> 0
+  UNION ALL
+  SELECT s_suppkey, 2, 'any', 'condition', (['43530807', '374919', '4216183'])[(s_suppkey % 3 + 1)::INTEGER],
+         CAST(1992 + s_suppkey % 4 AS VARCHAR) || '-01-01', CAST(1995 + s_suppkey % 4 AS VARCHAR) || '-12-31'
+  FROM supplier WHERE s_suppkey % 7 <> 0
+  UNION ALL
+  SELECT s_suppkey, 3, 'any', 'condition', (['43530807', '374919', '4216183'])[((s_suppkey + 1) % 3 + 1)::INTEGER], NULL, NULL
+  FROM supplier WHERE s_suppkey % 7 <> 0 AND s_suppkey % 2 = 0
+  UNION ALL
+  SELECT s_suppkey, 4, 'none', 'variant:PATHOGENIC', 'BRCA1', NULL, NULL FROM supplier WHERE s_suppkey % 4 <> 2)"""
+
+_CTES["biopsies"] = """
+biopsies AS (
+  SELECT 'sample_' || lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR)))::INTEGER, '0') AS sample_id,
+         'chr' || CAST(l_partkey % 22 + 1 AS VARCHAR) AS marker, substr(CAST(o_orderdate AS VARCHAR), 1, 10) AS day,
+         CAST(l_quantity AS BIGINT) AS dp,
+         CAST(floor(CAST(l_quantity AS BIGINT) * ((o_custkey + l_partkey + l_linenumber) % 10) / 10) AS BIGINT) AS alt
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 _DEPS = {
     "sites": [],
     "pairs": [],
@@ -126,6 +154,9 @@ _DEPS = {
     "query_log": [],
     "traits": ["person", "condition_occurrence"],
     "score_weights": ["sites"],
+    "trials": [],
+    "trial_criteria": [],
+    "biopsies": [],
 }
 
 

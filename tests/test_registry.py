@@ -18,6 +18,7 @@ n1_incremental synthetic_calls synthetic_person synthetic_conditions calls_to_vc
 compacted_equal feed_stream replay_equal append_after_compact
 allele_frequency_vds gene_burden_vds omop_join_vds
 gwas_linear gwas_logistic ld_pairs ld_pruned genotype_pca polygenic_scores polygenic_scores_vds
+carrier_frequency_states trial_matches allele_fraction_track allele_fraction_stream tier_lookup packed_equal clustered_equal
 """.split()
 # Newton steps, a greedy walk and a decomposition: tested against plain numpy instead.
 ROWS_ONLY: set = {"gwas_logistic", "ld_pruned", "genotype_pca"}
