@@ -57,8 +57,9 @@ BATCH, RANGE = 1_000_000, 2_000_000
 #: Documents of one shingle that a range of hashes may gather.
 COMMON = 2_000_000
 #: A region with more possible heads of a pair gets so many further pivots and
-#: recurses, up to so many shingles.
-MOST_HEADS, PIVOTS, MOST_DEPTH = 1000, 16, 3
+#: recurses, up to so many shingles.  To hold a row against a head takes some
+#: 10 ns, to send it on to its next shingles some 100 microseconds.
+MOST_HEADS, PIVOTS, MOST_DEPTH = 5000, 16, 3
 #: Stands for the number of documents of a common shingle.
 MANY = (1 << 31) - 1
 

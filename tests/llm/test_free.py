@@ -67,7 +67,7 @@ def crowded(seed, many, edits, size=150):
     return rows
 
 
-@pytest.mark.parametrize("heads, pivots", [(0, 1), (2, 2), (1000, 16)])
+@pytest.mark.parametrize("heads, pivots", [(0, 1), (2, 2), (5000, 16)])
 def test_join_recursion_in_a_crowded_band(spark, monkeypatch, heads, pivots):
     monkeypatch.setattr(jaccard_join, "MOST_HEADS", heads)
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
