@@ -56,11 +56,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    result = jaccard_classes(docs)
-    gone = materialise(spark, result.where("doc_id <> component_id").select("doc_id").distinct(), "stage_near")
-    small = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each group of near duplicates.
+
+    Texts are told apart, not ids: of an id with several texts each has its
+    own fate, and rows repeated in full have one.  Documents without words,
+    and those with a null id, stay.
+    """
+    rows = docs.select("doc_id", _text_hash().alias("h")).where("doc_id is not null").distinct()
+    if rows.groupBy("doc_id").count().where("count > 1").head(1):
+        # numbers in the order of the ids; written, so that they hold
+        rows = rows.orderBy("doc_id", "h").withColumn("_row", F.monotonically_increasing_id())
+        rows = materialise(spark, rows, "stage_rows")
+        result = jaccard_classes(_join(docs, rows, "inner").select("_row", "text"), "_row")
+        gone = result.where("_row <> component_id").select("_row").distinct()
+        gone = rows.join(gone, "_row").select("doc_id", "h")
+    else:
+        result = jaccard_classes(docs).where("doc_id <> component_id").select("doc_id").distinct()
+        gone = rows.join(result, "doc_id").select("doc_id", "h")
+    return _join(docs, materialise(spark, gone, "stage_near"), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
