@@ -20,6 +20,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def running(items: Column, kind: str, value: Callable[[Column], Column], op: Callable[[Column, Column], Column],
+            identity: Column, block: int = 128) -> Column:
+    """``items`` (an array of ``kind``) as structs ``x`` and ``before``, the
+    fold by the associative ``op`` of the values (ints) of all items before.
+
+    Arrays are immutable, so appending one by one is quadratic; here items are
+    folded in blocks, whose starts come from a fold over the blocks.
+    """
+    parts = F.when(F.size(items) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / block).cast("int")), lambda b: F.slice(items, b * block + 1, F.lit(block))))
+    totals = F.transform(parts, lambda p: F.aggregate(p, identity, lambda a, x: op(a, value(x))))
+    ints, pairs = F.lit([]).cast("array<int>"), F.lit([]).cast(f"array<struct<x:{kind},before:int>>")
+
+    def step(acc, x, out, new):
+        return F.struct(op(acc["at"], new).alias("at"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    starts = F.aggregate(totals, F.struct(identity.alias("at"), ints.alias("out")), lambda a, t: step(a, t, a["at"], t), lambda a: a["out"])
+    blocks = F.zip_with(parts, starts, lambda p, s: F.aggregate(
+        p, F.struct(s.alias("at"), pairs.alias("out")),
+        lambda a, x: step(a, x, F.struct(x.alias("x"), a["at"].alias("before")), value(x)), lambda a: a["out"]))
+    return F.coalesce(F.flatten(blocks), pairs)
+
+
 def text_of(col) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

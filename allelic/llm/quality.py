@@ -1,11 +1,14 @@
 """Quality rules: base rules and robust multivariate outliers (DataFrame only).
 
 Every document gets whole-text counts, and from them a vector of transformed
-statistics.  For each language and source a minimum-covariance-determinant
-estimate is fitted: from median and median absolute deviation, each
-concentration step keeps the ``H`` of the documents with the smallest
-Mahalanobis distances and refits mean and covariance on them.  A document is
-rejected when its distance to its group's estimate is beyond ``CUTOFF``.
+statistics.  A minimum-covariance-determinant estimate is fitted for all
+documents, for each language, and for each language and source: concentration
+steps keep the ``H`` of the documents with the smallest Mahalanobis distances
+and refit mean and covariance on them, from several fixed starts, of which the
+least determinant wins.  Each estimate is drawn towards that of the level
+above as if ``SHRINK`` documents more came from there, so a verdict moves
+smoothly with the size of its group.  A document is rejected when its distance
+to its group's estimate is beyond ``CUTOFF``.
 
 A step is two aggregations over the small statistics table: an approximate
 quantile of the distances (a mergeable sketch of fixed size) and sums for the
@@ -25,10 +28,9 @@ SYMBOLS = r"#*$%&|<>"
 MIN_WORDS = 50
 #: Share of the group that each concentration step keeps.
 H = 0.75
-STEPS = 4
-#: Groups with fewer fitted documents share an estimate with the other small
-#: groups of their language, or else with all small groups.
-MIN_GROUP = 200
+STEPS = 3
+#: Documents that the level above counts for beside a group's own.
+SHRINK = 100.0
 ACCURACY = 10_000
 #: Groups (a few dozen numbers each) whose estimates are broadcast; more are
 #: joined by a shuffle, in which Spark splits the groups with many rows.
@@ -93,18 +95,15 @@ def _features() -> list[Column]:
             share(F.col("n_repeat_words"), words_)]
 
 
+#: Levels of estimates: a column each, from the widest.
+LEVELS = ("everything", "language", "grp")
+
+
 def _with_groups(stats: DataFrame) -> DataFrame:
-    """``grp``: language and source, or the pool of small groups it falls to."""
-    pair = F.to_json(F.struct(F.coalesce("lang", F.lit("\0")).alias("l"), F.coalesce("source", F.lit("\0")).alias("s")))
-    lang = F.to_json(F.struct(F.coalesce("lang", F.lit("\0")).alias("l")))
-    rows = stats.withColumn("pair", pair)
-    sizes = (rows.withColumn("pool", lang).groupBy("pair", "pool")
-             .agg(F.count(F.when(~F.col("base_failed"), 1)).alias("n")))
-    pools = sizes.where(F.col("n") < MIN_GROUP).groupBy("pool").agg(F.sum("n").alias("pooled"))
-    groups = materialise(stats.sparkSession, sizes.join(pools, "pool", "left").select("pair", F.when(
-        F.col("n") >= MIN_GROUP, F.col("pair")).when(F.col("pooled") >= MIN_GROUP, F.col("pool"))
-        .otherwise(F.lit("all")).alias("grp")), "quality_groups")
-    return rows.join(_small(groups), "pair").drop("pair")
+    """A key for each level."""
+    part = lambda c: F.coalesce(c, F.lit("\0"))
+    return stats.withColumns({"everything": F.lit("all"), "language": F.to_json(F.struct(part("lang").alias("l"))),
+                              "grp": F.to_json(F.struct(part("lang").alias("l"), part("source").alias("s")))})
 
 
 def _cholesky(cov: dict) -> list[list[Column]]:
@@ -123,9 +122,10 @@ def _small(groups: DataFrame) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
 
 
-def _distances(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """``rows`` with the squared Mahalanobis distance ``d2`` (unscaled)."""
-    out = rows.join(model, "grp", "left")
+def _distances(rows: DataFrame, model: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the squared Mahalanobis distance ``d2`` (unscaled) to each
+    model of their ``key``."""
+    out = rows.join(model, key, "left")
     parts = []
     for i in range(len(FEATURES)):
         z = F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
@@ -135,37 +135,78 @@ def _distances(rows: DataFrame, model: DataFrame) -> DataFrame:
         *[f"z{i}" for i in range(len(FEATURES))])
 
 
-def _moments(kept: DataFrame) -> DataFrame:
-    p = len(FEATURES)
-    agg = kept.groupBy("grp").agg(
-        *[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)],
-        *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i in range(p) for j in range(i + 1)])
-    cov = {(i, j): F.col(f"c{i}{j}") + (FLOORS[i] ** 2 if i == j else 0.0) for i in range(p) for j in range(i + 1)}
+_P = range(len(FEATURES))
+_PAIRS = [(i, j) for i in _P for j in range(i + 1)]
+
+
+def _factored(model: DataFrame) -> DataFrame:
+    """``model`` with the Cholesky factor ``l**`` of its covariance ``c**`` and
+    floors, and ``size``, the logarithm of its determinant's root."""
+    cov = {(i, j): F.col(f"c{i}{j}") + (FLOORS[i] ** 2 if i == j else 0.0) for i, j in _PAIRS}
     for name, col in _cholesky(cov):
-        agg = agg.withColumn(name, col)
-    return agg.drop(*[f"c{i}{j}" for i in range(p) for j in range(i + 1)])
+        model = model.withColumn(name, col)
+    return model.withColumn("size", F.round(sum((F.log(F.col(f"l{i}{i}")) for i in _P), F.lit(0.0)), 9))
 
 
-def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Model per group: mean ``m*``, Cholesky factor ``l**``, ``scale``."""
-    p = len(FEATURES)
-    med = rows.groupBy("grp").agg(*[F.percentile_approx(f"x{i}", 0.5, ACCURACY).alias(f"m{i}") for i in range(p)])
+def _towards(own: str, above: str, n: str) -> Column:
+    w = F.col(n) / (F.col(n) + SHRINK)
+    return F.when(F.col(above).isNull(), F.col(own)).otherwise(w * F.col(own) + (1 - w) * F.col(above))
+
+
+def _level(spark: SparkSession, rows: DataFrame, key: str, above: DataFrame | None) -> DataFrame:
+    """Model per ``key``: mean ``m*``, covariance ``c**``, its factor and
+    ``scale``.  ``above`` has those of the level above as ``am*``, ``ac**`` and
+    ``ascale`` by ``key``."""
+    names = [*[f"m{i}" for i in _P], *[f"c{i}{j}" for i, j in _PAIRS]]
+    med = rows.groupBy(key).agg(*[F.percentile_approx(f"x{i}", 0.5, ACCURACY).alias(f"m{i}") for i in _P])
     med = _small(materialise(spark, med, "mcd_median"))
-    mad = rows.join(med, "grp").groupBy("grp").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
-        *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}") for i in range(p)])
-    model = mad.select("grp", *[f"m{i}" for i in range(p)], *[
-        (F.sqrt(F.pow(1.4826 * F.col(f"a{i}"), 2) + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-        for i in range(p) for j in range(i + 1)])
-    model = _small(materialise(spark, model, "mcd_start"))
+    mad = rows.join(med, key).groupBy(key).agg(
+        *[F.first(f"m{i}").alias(f"m{i}") for i in _P],
+        *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}") for i in _P])
+    spread = mad.select(key, F.lit(0).alias("start"), *[f"m{i}" for i in _P], *[
+        (F.pow(1.4826 * F.col(f"a{i}"), 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _PAIRS])
+    starts = spread
+    if above is not None:  # the estimate of the level above is a start of its own
+        starts = starts.unionByName(mad.select(key).join(above, key).select(
+            key, F.lit(1).alias("start"), *[F.col(f"a{c}").alias(c) for c in names]))
+    else:  # the classical estimate of all rows
+        starts = starts.unionByName(rows.groupBy(key).agg(
+            *[F.avg(f"x{i}").alias(f"m{i}") for i in _P], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in _PAIRS])
+            .withColumn("start", F.lit(1)))
+    factor = [f"l{i}{j}" for i, j in _PAIRS]
+    model = _small(materialise(spark, _factored(starts), "mcd_start"))
     for step in range(STEPS):
-        d = _distances(rows, model).select("grp", "d2", *[f"x{i}" for i in range(p)])
-        limit = d.groupBy("grp").agg(F.percentile_approx("d2", H, ACCURACY).alias("limit"))
+        d = _distances(rows, model.select(key, "start", *[f"m{i}" for i in _P], *factor), key)
+        d = d.select(key, "start", "d2", *[f"x{i}" for i in _P])
+        limit = d.groupBy(key, "start").agg(F.percentile_approx("d2", H, ACCURACY).alias("limit"))
         limit = _small(materialise(spark, limit, f"mcd_limit_{step}"))
-        model = _small(materialise(spark, _moments(d.join(limit, "grp").where("d2 <= limit")), f"mcd_{step}"))
-    scale = (_distances(rows, model).groupBy("grp")
-             .agg((F.percentile_approx("d2", 0.5, ACCURACY) / CHI2_MEDIAN).alias("scale")))
-    return _small(materialise(spark, model.join(scale, "grp"), "mcd_model"))
+        kept = d.join(limit, [key, "start"]).where("d2 <= limit").groupBy(key, "start").agg(
+            F.count(F.lit(1)).alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in _P],
+            *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i, j in _PAIRS])
+        if above is not None:
+            kept = kept.join(above, key).select(key, "start", *[_towards(c, f"a{c}", "n").alias(c) for c in names])
+        model = _small(materialise(spark, _factored(kept.select(key, "start", *names)), f"mcd_{step}"))
+    best = model.groupBy(key).agg(F.min(F.struct("size", "start")).alias("best"))
+    model = _small(materialise(spark, model.join(best, key).where("start = best.start").drop("start", "best", "size"), "mcd_best"))
+    scale = _distances(rows, model, key).groupBy(key).agg(
+        (F.percentile_approx("d2", 0.5, ACCURACY) / CHI2_MEDIAN).alias("scale"), F.count(F.lit(1)).alias("n"))
+    if above is not None:
+        scale = scale.join(above.select(key, "ascale"), key).select(key, _towards("scale", "ascale", "n").alias("scale"))
+    return _small(materialise(spark, model.join(scale.select(key, "scale"), key), "mcd_model"))
+
+
+def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Model per ``grp`` of ``rows(everything, language, grp, x*)``."""
+    names = [*[f"m{i}" for i in _P], *[f"c{i}{j}" for i, j in _PAIRS], "scale"]
+    keys = materialise(spark, rows.select(*LEVELS).distinct(), "mcd_keys")
+    model = None
+    for wide, key in zip((None, *LEVELS), LEVELS):
+        above = None
+        if model is not None:
+            above = keys.select(wide, key).distinct().join(model, wide).select(key, *[F.col(c).alias(f"a{c}") for c in names])
+            above = _small(materialise(spark, above, "mcd_above"))
+        model = _level(spark, rows, key, above)
+    return model
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -185,8 +226,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     stats = materialise(spark, text_stats(docs, id_col, text_col, lang_col, source_col, carry), "quality_stats")
     rows = _with_groups(stats).withColumns({f"x{i}": x for i, x in enumerate(_features())})
     rows = materialise(spark, rows, "quality_rows")
-    model = fit(spark, rows.where(~F.col("base_failed")).select("grp", *[f"x{i}" for i in range(len(FEATURES))]))
-    d = _distances(rows, model)
+    model = fit(spark, rows.where(~F.col("base_failed")).select(*LEVELS, *[f"x{i}" for i in _P]))
+    d = _distances(rows, model, "grp")
     # distances shrink below the normal ones where floors dominate: never scale up
     scaled = F.when(~F.col("base_failed"), F.col("d2") / F.greatest(F.col("scale"), F.lit(1.0)))
     return d.withColumn("distance", scaled).select(

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.llm.common import WORD, documents, let, materialise, text_of
+from allelic.llm.common import WORD, documents, let, materialise, running, text_of
 
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]{14,}"
@@ -34,9 +34,9 @@ SMOOTH = 0.5
 #: Added pseudo-random strings per class that training always has: a model of
 #: random strings is close to uniform within the characters that occur.
 PRIOR = 2.0
-#: A token is a secret at this mean log-likelihood ratio a character, with
-#: characters of two classes at least.
-LLR = 0.5
+#: A token is a secret at this mean log-likelihood ratio a character; one of
+#: small letters, capitals or digits alone needs the second.
+LLR, LLR_ONE_CLASS = 0.5, 1.0
 
 
 def spans(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
@@ -44,18 +44,26 @@ def spans(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
     end exclusive) and ``v`` (the group); matches with a shorter group go."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    step = F.arrays_zip(F.transform(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), F.char_length).alias("gap"),
-                        found.alias("hit"), value.alias("v"))
-    empty = F.lit([]).cast("array<struct<s:int,e:int,v:string>>")
+    steps = F.zip_with(
+        F.zip_with(F.transform(pieces, F.char_length), F.transform(found, F.char_length),
+                   lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit"))),
+        value, lambda x, v: F.struct(x["gap"].alias("gap"), x["hit"].alias("hit"), v.alias("v")))
+    # the piece behind the last match has none
+    steps = F.filter(steps, lambda x: x["hit"].isNotNull())
+    placed = let(steps, lambda items: running(items, "struct<gap:int,hit:int,v:string>", lambda x: x["gap"] + x["hit"],
+                                              lambda a, b: a + b, F.lit(0)))
+    out = F.transform(placed, lambda p: F.struct(
+        (p["before"] + p["x"]["gap"]).alias("s"), (p["before"] + p["x"]["gap"] + p["x"]["hit"]).alias("e"), p["x"]["v"].alias("v")))
+    return F.filter(out, lambda x: F.char_length(x["v"]) >= least) if least else out
 
-    def add(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.char_length(x["hit"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            start.alias("s"), end.alias("e"), x["v"].alias("v")))).alias("out"))
 
-    out = F.aggregate(step, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda a: a["out"])
-    return F.filter(out, lambda x: F.char_length(x["v"]) >= least) if least else out
+def _uncovered(cand: Column, base: Column) -> Column:
+    """Candidates that no base span covers whole.  In order of their starts, a
+    span before it that reaches its end covers a candidate."""
+    kind = "struct<s:int,k:int,e:int,v:string>"
+    return F.transform(F.filter(let(F.array_sort(F.concat(base, cand)), lambda items: running(
+        items, kind, lambda x: F.when(x["k"] < 3, x["e"]).otherwise(F.lit(-1)), lambda a, b: F.greatest(a, b), F.lit(-1))),
+        lambda p: (p["x"]["k"] == 3) & (p["before"] < p["x"]["e"])), lambda p: p["x"])
 
 
 def _codes(token: Column) -> Column:
@@ -113,17 +121,17 @@ def score(token: Column, model: list[float]) -> Column:
         / F.greatest(F.size(c) - 2, F.lit(1)))
 
 
-def _mixed(v: Column) -> Column:
-    return sum((v.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]", "[0-9]")), F.lit(0)) >= 2
+def _one_class(v: Column) -> Column:
+    return v.rlike(r"^([a-z]+|[A-Z]+|[0-9]+)\z")
 
 
 def find_secrets(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
-                 text_col: str = "text", llr: float = LLR) -> DataFrame:
+                 text_col: str = "text", llr: float = LLR, llr_one_class: float = LLR_ONE_CLASS) -> DataFrame:
     """One row per input row: id and ``found``, an array of structs ``kind``,
     ``s``, ``e``, ``v``, by start, then kind in the order of ``KINDS``.
 
     Null and empty texts have no spans.  A random-string span is dropped when
-    a base span overlaps it; base spans always stay.  Rows repeated in full
+    a base span covers it whole; base spans always stay.  Rows repeated in full
     are scanned alike.  An empty table gives an empty result (and a model of
     the priors alone).  Other columns are ignored.
     """
@@ -136,12 +144,11 @@ def find_secrets(docs: DataFrame, model: list[float] | None = None, id_col: str
     found = F.when(t.rlike(ANY), F.concat(
         base(0, spans(t, ASSIGN, 2, ASSIGN_VALUE)), base(1, spans(t, ACCESS)), base(2, spans(t, HEX)))).otherwise(none)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("t")).select(
-        "id", found.alias("base"), F.when(t.rlike(CANDIDATE), base(3, F.filter(
-            spans(t, CANDIDATE), lambda x: _mixed(x["v"])))).otherwise(none).alias("cand"))
+        "id", found.alias("base"), F.when(t.rlike(CANDIDATE), base(3, spans(t, CANDIDATE))).otherwise(none).alias("cand"))
     # few rows and short columns from here on: the text scan is not repeated
     rows = materialise(docs.sparkSession, rows, "secret_spans")
-    extra = F.filter("cand", lambda c: (score(c["v"], model) >= llr) & ~F.exists(
-        "base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+    extra = F.filter(_uncovered(F.col("cand"), F.col("base")),
+                     lambda c: score(c["v"], model) >= F.when(_one_class(c["v"]), llr_one_class).otherwise(llr))
     return rows.select(F.col("id").alias(id_col), F.transform(
         F.array_sort(F.concat("base", extra)), lambda x: F.struct(
             F.get(kinds, x["k"]).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))).alias("found"))

@@ -92,24 +92,34 @@ def _low(x, p):
     return np.sort(x)[max(0, math.ceil(p * len(x)) - 1)]
 
 
-def mcd_distances(x, floors, h, steps, chi2_median):
-    """Scaled squared distances of the rows of x to the estimate on them."""
-    floors = np.array(floors)
+def mcd(x, floors, h, steps, chi2_median, shrink, above=None):
+    """Mean, covariance without floors, and scale of the rows of x, drawn
+    towards ``above`` (the same of the level above)."""
+    floors = np.diag(np.array(floors) ** 2)
     med = np.array([_low(c, 0.5) for c in x.T])
     mad = np.array([_low(abs(c - m), 0.5) for c, m in zip(x.T, med)])
-    mean, cov = med, np.diag((1.4826 * mad) ** 2 + floors ** 2)
-
-    def dist():
-        z = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T)
-        return (z ** 2).sum(0)
-
-    for _ in range(steps):
-        d = np.round(dist(), 9)
-        part = x[d <= _low(d, h)]
-        mean = part.mean(0)
-        cov = np.cov(part.T, bias=True) + np.diag(floors ** 2)
-    d = dist()
-    return d / max(1.0, _low(np.round(d, 9), 0.5) / chi2_median)
+    starts = [(med, np.diag((1.4826 * mad) ** 2)), above[:2] if above else (x.mean(0), np.cov(x.T, bias=True))]
+    found = []
+    for k, (mean, cov) in enumerate(starts):
+        for _ in range(steps):
+            d = np.round(mcd_distances(x, mean, cov + floors), 9)
+            part = x[d <= _low(d, h)]
+            mean, cov = part.mean(0), np.cov(part.T, bias=True).reshape(x.shape[1], -1)
+            if above:
+                w = len(part) / (len(part) + shrink)
+                mean, cov = w * mean + (1 - w) * above[0], w * cov + (1 - w) * above[1]
+        found.append((round(np.linalg.slogdet(cov + floors)[1] / 2, 9), k, mean, cov))
+    _, _, mean, cov = min(found, key=lambda f: f[:2])
+    scale = _low(np.round(mcd_distances(x, mean, cov + floors), 9), 0.5) / chi2_median
+    if above:
+        w = len(x) / (len(x) + shrink)
+        scale = w * scale + (1 - w) * above[2]
+    return mean, cov, scale
+
+
+def mcd_distances(x, mean, cov):
+    z = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T)
+    return (z ** 2).sum(0)
 
 
 def features(c, n_lines):

@@ -99,18 +99,49 @@ def test_quality_counts(edge):
     assert out.where("base_failed and kept").count() == 0
 
 
+def judged(rows):
+    """rows: (id, text, lang, source) -> id -> distance, by plain numpy."""
+    q = quality
+    counts = {i: brute.text_counts(t) for i, t, *_ in rows}
+    fit = [r for r in rows if not counts[r[0]][5]]
+    x = {r[0]: brute.features(counts[r[0]], sum(bool(line) for line in r[1].split("\n"))) for r in fit}
+    setting = (q.FLOORS, q.H, q.STEPS, q.CHI2_MEDIAN, q.SHRINK)
+    of = lambda keep: np.array([x[r[0]] for r in fit if keep(r)])
+    top, out = brute.mcd(of(lambda r: True), *setting), {}
+    for lang in {r[2] for r in fit}:
+        language = brute.mcd(of(lambda r: r[2] == lang), *setting, above=top)
+        for source in {r[3] for r in fit if r[2] == lang}:
+            mean, cov, scale = brute.mcd(of(lambda r: r[2:4] == (lang, source)), *setting, above=language)
+            ids = [r[0] for r in fit if r[2:4] == (lang, source)]
+            d = brute.mcd_distances(np.array([x[i] for i in ids]), mean, cov + np.diag(np.array(q.FLOORS) ** 2))
+            out |= dict(zip(ids, d / max(1.0, scale)))
+    return out
+
+
 def test_quality_distances(docs):
-    rows = {r.doc_id: r.text for r in docs.collect()}
-    counts = {i: brute.text_counts(t) for i, t in rows.items()}
-    fit = [i for i in counts if not counts[i][5]]
-    x = np.array([brute.features(counts[i], sum(bool(line) for line in rows[i].split("\n"))) for i in fit])
-    want = brute.mcd_distances(x, quality.FLOORS, quality.H, quality.STEPS, quality.CHI2_MEDIAN)
-    got = {r.doc_id: r for r in quality.quality(docs).collect()}  # too few documents a source: one pool
-    for i, d in zip(fit, want):
-        assert got[i].distance == pytest.approx(d, rel=1e-6, abs=1e-9)
+    want = judged([(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()])
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    assert {i for i in got if got[i].distance is not None} == set(want)
+    for i, d in want.items():
+        assert got[i].distance == pytest.approx(d, rel=1e-5, abs=1e-8)
         assert got[i].kept == (d <= quality.CUTOFF)
 
 
+def test_quality_moves_smoothly_with_the_size_of_a_group(spark):
+    """A document or two more, around any size, change no distance much."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(rnd.randrange(2, 9)))
+    rows = [(i, " ".join(word() for _ in range(rnd.randrange(60, 300))), "en", "big", 0) for i in range(500)]
+    # another source with short words and some symbols
+    odd = [(1000 + i, " ".join(word()[:3] for _ in range(rnd.randrange(60, 300))) + " #" * (i % 9), "en", "odd", 0) for i in range(202)]
+    last = None
+    for n in (199, 201):
+        got = {r.doc_id: r.distance for r in quality.quality(spark.createDataFrame(rows + odd[:n], SCHEMA)).collect() if r.doc_id < 1198}
+        if last:
+            assert max(abs(got[i] - last[i]) / (1 + last[i]) for i in got) < 0.1
+        last = got
+
+
 def test_quality_rejects_symbols_and_keeps_prose(spark):
     rnd = random.Random(2)
     word = lambda: "".join(rnd.choice("etaoinshr") for _ in range(rnd.randrange(2, 9)))
@@ -174,6 +205,51 @@ def test_secret_base_spans(spark, edge):
     assert [(r.doc_id, r.spans) for r in found] == [(15, "hex:0:2000")]
 
 
+def scores_brute(token, model):
+    at = [secrets.ALPHABET.index(c) for c in token if c in secrets.ALPHABET]
+    return sum(model[a * secrets.N + b] for a, b in zip([secrets.N - 2, *at], at)) / max(1, len(at))
+
+
+def test_secret_random_spans_are_those_of_the_model(spark, docs):
+    """Every candidate is judged: by plain Python on documents and planted tokens."""
+    rnd = random.Random(8)
+    draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    low, up, mixed = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijABCDEFGHIJ0123456789+/"
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    planted = [draw(low, 16), draw(up, 32), draw("0123456789", 20), draw(mixed, 37), draw(mixed, 21) + "deadbeefdeadbeef", "internationalisation",
+               "a" * 20, "AKIA" + draw(up, 16), "token=" + draw(mixed, 30), "password: " + draw(low, 20) + " " + draw(mixed, 25)]
+    rows += [(10**6 + k, f"see {p} there") for k, p in enumerate(planted)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.train(docs)
+    import re
+    for r in secrets.find_secrets(df, model).collect():
+        text = dict(rows)[r.doc_id] or ""
+        base = brute.base_secrets(text)
+        want = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+            one = re.fullmatch("[a-z]+|[A-Z]+|[0-9]+", m[0])
+            if scores_brute(m[0], model) >= (secrets.LLR_ONE_CLASS if one else secrets.LLR) and not any(a <= m.start() and e >= m.end() for a, _, e in base):
+                want.append((m.start(), m.end()))
+        assert [(x.s, x.e) for x in r.found if x.kind == "random"] == want
+    got = {r.doc_id - 10**6: [(x.kind, x.v) for x in r.found] for r in secrets.find_secrets(df, model).collect() if r.doc_id >= 10**6}
+    assert got[4] == [("random", planted[4]), ("hex", "deadbeefdeadbeef")]  # the whole token, not only its end
+    assert got[0] == [("random", planted[0])] and got[3] == [("random", planted[3])] and got[5] == [] and got[6] == [("hex", "a" * 20)]
+
+
+def test_secret_spans_are_linear(spark):
+    """Many matches in a text: each is placed, in time that follows their number."""
+    import time
+    took = []
+    for n in (4000, 16_000):
+        text = " ".join(f"{k:016x}" for k in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").repartition(1)
+        start = time.time()
+        found = secrets.find_secrets(df, [0.0] * secrets.N ** 2, llr=1.0).first().found
+        took.append(time.time() - start)
+        assert [(x.s, x.e) for x in found] == [(17 * k, 17 * k + 16) for k in range(n)]
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_secret_model_held_out(spark, docs):
     """Accuracy on random strings and on words of documents not trained on."""
     rnd = random.Random(3)
@@ -256,9 +332,43 @@ def test_license_published_texts(spark):
         assert (r.sentence_ids == str(w) if isinstance(w, int) else tuple(r)[1:] == w), (texts[r.doc_id], r, w)
 
 
+def test_license_short_notices_and_tags(spark):
+    texts = ["This project is licensed under the MIT license.", "// SPDX-License-Identifier: BSD-3-Clause\ncode", "# SPDX-License-Identifier: GPL-2.0-only",
+             "Released under GPLv3", "LICENSED UNDER THE\nAPACHE LICENSE, VERSION 2.0", "Distributed under the ISC License!", "We licensed under the MIT license.",
+             "SPDX-License-Identifier: LGPL-2.1-or-later", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy "
+             "of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "This is free and unencumbered software "
+             "released into the public domain.", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser "
+             "General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."]
+    want = ["mit", "bsd-3-clause", "gpl-2.0", "gpl-3.0", "apache-2.0", "isc", "", "lgpl-2.1", "mpl-2.0", "unlicense", "lgpl"]
+    out = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert _native(out) and [r.licenses for r in out.orderBy("doc_id").collect()] == want
+
+
+def test_license_rows_repeated_and_long(spark):
+    line = "permission of the reader\n"
+    rows = [(1, SHORT := "Released under the MIT License"), (1, SHORT), (None, SHORT), (2, line * 3000 + SHORT), (3, "x" * 50_000 + " license")]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.sentence_ids) for r in got) == [("1", "4"), ("1", "4"), ("2", "4"), ("3", ""), ("None", "4")]
+
+
+def test_license_sql_on_published_texts(spark, tmp_path):
+    """The SQL knows the same sentences, wrapped as published or not."""
+    import duckdb
+    texts = [t.replace("\n", e) for t in (APACHE, GPL, MIT, BSD) for e in ("\n", "\r\n", " ")]
+    texts += [f"{x}.\nmore" for _, x in licenses._notices()[::37]] + [None, "", "(a) license\n\n1) All rights\nreserved", ";: license :\n"]
+    texts += ["\n\n".join(licenses.SENTENCES[i - 1].replace(" ", "\n") for i in ids) for _, ids in licenses.RULES if max(ids) <= len(licenses.SENTENCES)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(licenses.OP10_SQL).fetchall())
+    assert sorted(tuple(r) for r in licenses.scan_licenses(df).collect()) == want
+    assert sum(bool(w[2]) for w in want) > 40
+
+
 def test_license_sentences_have_triggers():
     import re
-    for s in licenses.SENTENCES:
+    for s in [*licenses.SENTENCES, *(x for _, x in licenses.WORDINGS), *(x for _, x in licenses._notices())]:
         assert re.search(licenses.TRIGGER.replace("(?iu)", "(?i)"), s), s
 
 
