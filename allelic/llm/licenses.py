@@ -118,7 +118,7 @@ RULES = (
     *((licence, (SPDX + k,)) for k, (licence, *_) in enumerate(NAMES)),
 )
 #: Every known sentence has one of these.
-TRIGGER = r"(?iu)licen[sc]e|copyright|permission|warranty|redistribut|reserved|public domain|mozilla|released under|distributed under"
+TRIGGER = r"(?iu)licen[sc]e|copyright|permission|warranty|redistribut|reserved|unencumbered|mozilla|released|distributed"
 #: Sentences end at . ! ? before white space or the end, at blank lines and at
 #: marks of a list like (a) or 1) that begin a line.
 HARD = (r"[.!?;]*[.!?][.!?;]*(?:[\x20\x09-\x0D]+|\z)|\x0D?\x0A[\x20\x09]*\x0D?\x0A"
