@@ -8,6 +8,7 @@ no full sort or shuffle of the table happens.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +64,15 @@ def browse_search(df: DataFrame, column: str, needle: str, sort_by: list[str],
     first = F.col(sort_by[0]).desc() if descending else F.col(sort_by[0]).asc()
     return (df.where(F.col(column).contains(F.lit(needle)))
               .orderBy(first, *sort_by[1:]).limit(page_size(limit)))
+
+
+def keep_result(result: DataFrame) -> DataFrame:
+    """A result that is asked again: computed once and kept on the executors
+    (spilled to their disks; lost blocks are computed again)."""
+    return result.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def refilter(kept: DataFrame, contig: str | None = "All", sample_id: str | None = "All") -> DataFrame:
+    """Rows of a kept result of one contig and / or sample, in its order; the
+    table is not read again."""
+    return kept.where(optional_eq("reference_name", contig) & optional_eq("sample_id", sample_id))

@@ -6,8 +6,8 @@ row, whose 128 bits are cut into four independent 32-bit draws (genotype,
 DP, GQ, AD).  Each value depends only on its own key, so the output is
 identical under any partitioning, retry or executor loss (an order-dependent
 RNG is not), and any SQL engine with ``md5`` can recompute it.
-Distributions follow the reference generator; its hand-pinned carriers at
-fixed loci are not reproduced.
+Carriers can be pinned: an input table of loci, samples and genotypes that
+take the place of what is drawn there.
 """
 
 from __future__ import annotations
@@ -47,15 +47,22 @@ def _randint(seed: int, stream: str, lo: int, hi: int) -> Column:
     return (F.lit(lo) + F.floor(_u(seed, stream) * F.lit(float(hi - lo + 1)))).cast("int")
 
 
-def synthetic_calls(skeleton: DataFrame, seed: int = SEED) -> DataFrame:
-    """Redraw genotype, DP, GQ and AD for every call of ``skeleton``."""
+def synthetic_calls(skeleton: DataFrame, seed: int = SEED, pinned: DataFrame | None = None) -> DataFrame:
+    """Redraw genotype, DP, GQ and AD for every call of ``skeleton``.
+    ``pinned(reference_name, start, sample_id, genotype)`` gives the genotype
+    of some; pins without a call are ignored, a pin must stand once."""
     u = _u(seed, "gt")
     benign = clnsig_col(skeleton) == "BENIGN"
     gt = (F.when(benign & (u < P_BENIGN_HOM), F.lit("1/1"))
            .when(benign & (u < P_BENIGN_HET_CUM), F.lit("0/1"))
            .when(~benign & (u < P_RARE_HET), F.lit("0/1"))
            .otherwise(F.lit("0/0")))
-    df = skeleton.withColumn("genotype", gt)
+    df = skeleton
+    if pinned is not None:
+        keys = ["reference_name", "start", "sample_id"]
+        df = join_dimension(df, pinned.select(*keys, F.col("genotype").alias("_pin")), keys, "left")
+        gt = F.coalesce("_pin", gt)
+    df = df.withColumn("genotype", gt)
     het, hom = F.col("genotype") == "0/1", F.col("genotype") == "1/1"
     dp = (F.when(het, _randint(seed, "dp", *HET_DP)).when(hom, _randint(seed, "dp", *HOM_DP))
            .otherwise(_randint(seed, "dp", *REF_DP)))

@@ -1,13 +1,14 @@
 """Cohort validation report (C20): one (check, passed, detail) row per check.
 
-Every check is a one-row aggregate over the full tables; the report is their
-union.  Expected carrier sets are compared with a distributed full outer
-join (a mismatch count), never by collecting sample lists.
+Calls are read twice: once for the two whole-table checks, once (pruned to a
+locus) for its carriers.  Those make one frame, a row a sample, which is held
+against the expected carriers, the persons and the conditions, and reduced to
+one row for three checks.  Sample lists never reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from allelic.operators.clinical import TARGET_PHENOTYPE, target_carriers
@@ -17,8 +18,14 @@ GENOTYPE_PATTERN = r"^[0-9.]+[/|][0-9.]+$"
 PERSON_REQUIRED = ["person_id", "sample_id"]
 
 
-def _row(agg: DataFrame, check: str, passed, detail) -> DataFrame:
-    return agg.select(F.lit(check).alias("check"), passed.alias("passed"), detail.alias("detail"))
+def _checks(one_row: DataFrame, *checks) -> DataFrame:
+    """A row for each ``(check, passed, detail)`` of an aggregate."""
+    return one_row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("check"), p.alias("passed"), d.alias("detail")) for c, p, d in checks])).alias("r")).select("r.*")
+
+
+def _said(*parts) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
 def validate_cohort(calls: DataFrame, person: DataFrame, conditions: DataFrame,
@@ -26,54 +33,41 @@ def validate_cohort(calls: DataFrame, person: DataFrame, conditions: DataFrame,
                     expected_carriers: DataFrame | None = None,
                     concept: int = TARGET_PHENOTYPE,
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    # The two whole-table checks share one scan: one aggregate, two rows.
     whole = calls.agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(~F.col("genotype").rlike(GENOTYPE_PATTERN)
                        | F.col("genotype").isNull(), 1)).alias("m"))
-    loaded = ((F.col("n") == F.lit(expected_calls)) if expected_calls is not None
-              else (F.col("n") > 0))
-    checks = [whole.select(F.explode(F.array(
-        F.struct(F.lit("calls_loaded").alias("check"), loaded.alias("passed"),
-                 F.concat(F.lit("calls="), F.col("n").cast("string")).alias("detail")),
-        F.struct(F.lit("genotype_format").alias("check"), (F.col("m") == 0).alias("passed"),
-                 F.concat(F.lit("malformed="), F.col("m").cast("string")).alias("detail")),
-    )).alias("r")).select("r.check", "r.passed", "r.detail")]
-    tc = target_carriers(calls, contig, start).select("sample_id").distinct()
+    loaded = (F.col("n") == expected_calls) if expected_calls is not None else F.col("n") > 0
+    out = _checks(whole, ("calls_loaded", loaded, _said("calls=", F.col("n"))),
+                  ("genotype_format", F.col("m") == 0, _said("malformed=", F.col("m"))))
+    persons = person.agg(F.count(F.lit(1)).alias("p"))
+    has_cols = all(col in person.columns for col in PERSON_REQUIRED)
+    out = out.unionByName(_checks(persons, ("person_columns", F.lit(has_cols) & (F.col("p") > 0), _said("persons=", F.col("p")))))
+
+    # A row a sample that carries or is expected to: at most one per sample of
+    # the cohort, counted before any broadcast.  Under the limit the big tables
+    # are filtered by a broadcast of it instead of being shuffled.
+    samples = target_carriers(calls, contig, start).select("sample_id").distinct().withColumn("found", F.lit(1))
     if expected_carriers is not None:
-        e = expected_carriers.select("sample_id").distinct()
-        cmp = (tc.withColumn("a", F.lit(1)).join(e.withColumn("b", F.lit(1)), "sample_id", "full")
-                 .agg(F.count(F.col("a")).alias("c"),
-                      F.count(F.when(F.col("a").isNull() | F.col("b").isNull(), 1)).alias("x")))
-        checks.append(_row(cmp, "carriers_at_locus", F.col("x") == 0,
-                           F.concat(F.lit("carriers="), F.col("c").cast("string"),
-                                    F.lit(" mismatches="), F.col("x").cast("string"))))
+        samples = samples.join(expected_carriers.select("sample_id").distinct().withColumn("expected", F.lit(1)), "sample_id", "full")
     else:
-        c = tc.agg(F.count(F.lit(1)).alias("c"))
-        checks.append(_row(c, "carriers_at_locus", F.col("c") > 0,
-                           F.concat(F.lit("carriers="), F.col("c").cast("string"))))
-    has_cols = all(col in person.columns for col in PERSON_REQUIRED)
-    p = person.agg(F.count(F.lit(1)).alias("p"))
-    checks.append(_row(p, "person_columns", F.lit(has_cols) & (F.col("p") > 0),
-                       F.concat(F.lit("persons="), F.col("p").cast("string"))))
-    # Carriers at one locus: at most one row per sample, counted before any
-    # broadcast.  Under the limit the big tables (person, conditions) are
-    # filtered by a broadcast of the carriers instead of being shuffled.
-    n_tc = tc.count()
-    small = n_tc <= max_broadcast_rows
-    tcb = F.broadcast(tc) if small else tc
-    matched = person.select("sample_id").join(tcb, "sample_id", "left_semi").distinct()
-    un = matched.agg((F.lit(n_tc) - F.count(F.lit(1))).alias("u"))
-    checks.append(_row(un, "carriers_have_person", F.col("u") == 0,
-                       F.concat(F.lit("unmatched="), F.col("u").cast("string"))))
-    pc = person.select("person_id", "sample_id").join(tcb, "sample_id")
-    co = conditions.where(F.col("condition_concept_id") == concept).select("person_id")
+        samples = samples.withColumn("expected", F.col("found"))
+    samples = samples.persist()  # a locus; lost blocks are computed again
+    small = samples.count() <= max_broadcast_rows
+    near = F.broadcast if small else (lambda df: df)
+    own = person.select("sample_id", "person_id").join(near(samples.select("sample_id")), "sample_id", "left_semi")
+    ill = conditions.where(F.col("condition_concept_id") == concept).select("person_id")
     if small:
-        co = co.join(F.broadcast(pc.select("person_id").distinct()), "person_id", "left_semi")
-    j = pc.join(co, "person_id").agg(F.count(F.lit(1)).alias("r"))
-    checks.append(_row(j, "concept_in_join", F.col("r") > 0,
-                       F.concat(F.lit("rows="), F.col("r").cast("string"))))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+        ill = ill.join(F.broadcast(own.select("person_id").distinct()), "person_id", "left_semi")
+    ill = ill.groupBy("person_id").agg(F.count(F.lit(1)).alias("ill"))
+    own = own.join(ill, "person_id", "left").groupBy("sample_id").agg(F.count(F.lit(1)).alias("persons"), F.sum("ill").alias("ill"))
+    one = samples.join(own, "sample_id", "left").agg(
+        F.count("found").alias("c"), F.count_if(F.col("found").isNull() | F.col("expected").isNull()).alias("x"),
+        F.count_if(F.col("found").isNotNull() & F.col("persons").isNull()).alias("u"),
+        F.coalesce(F.sum(F.when(F.col("found").isNotNull(), F.col("ill"))), F.lit(0)).alias("r"))
+    if expected_carriers is not None:
+        carriers = ("carriers_at_locus", F.col("x") == 0, _said("carriers=", F.col("c"), " mismatches=", F.col("x")))
+    else:
+        carriers = ("carriers_at_locus", F.col("c") > 0, _said("carriers=", F.col("c")))
+    return out.unionByName(_checks(one, carriers, ("carriers_have_person", F.col("u") == 0, _said("unmatched=", F.col("u"))),
+                                   ("concept_in_join", F.col("r") > 0, _said("rows=", F.col("r")))))

@@ -35,6 +35,8 @@ WHOLE_CONTIG, GZ_SPLIT = 1 << 40, 1 << 14
 #: File sizes at which the derived table has both small and large files.
 PACK_BYTES, SMALL_BYTES = 40_000, 9_000
 T_CONTIG, T_START = fx.TARGET_CONTIG, fx.TARGET_START
+#: The part at the target locus.
+T_SITE = (fx.TARGET_START - fx.SITE_BASE) // fx.SITE_STRIDE
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -391,6 +393,75 @@ def _q_polygenic_scores_vds(s, d):
     return _rounded(scores.polygenic_scores(calls, *_score_inputs(s, d)), "score")
 
 
+@register("validate_expected")
+def _q_validate_expected(s, d):
+    """The report with an expected count and carrier set, both from the orders
+    and not from the calls; one expected sample more is a mismatch."""
+    pairs = fx._pairs(s, d)
+    at = pairs.where(F.col("l_partkey") == T_SITE).where(F.pmod(F.col("o_custkey") + T_SITE, F.lit(8)) < 3)
+    expected = at.select(fx.sample_name(F.col("o_custkey")).alias("sample_id")).unionByName(
+        s.createDataFrame([("sample_none",)], "sample_id string"))
+    return validation.validate_cohort(_calls(s, d), fx.person(s, d), fx.condition_occurrence(s, d), T_CONTIG, T_START,
+                                      pairs.count(), expected)
+
+
+@register("synthetic_pinned")
+def _q_synthetic_pinned(s, d):
+    """Some samples of some loci have pinned genotypes."""
+    calls, last = _calls(s, d), F.right("sample_id", F.lit(1))
+    pins = calls.where((F.col("start") % 10 == 0) & last.isin("2", "5")).select(
+        "reference_name", "start", "sample_id", F.when(last == "2", "0/1").otherwise("1/1").alias("genotype"))
+    return synth.synthetic_calls(calls, pinned=pins)
+
+
+@register("browse_refilter")
+def _q_browse_refilter(s, d):
+    """A kept page filtered again, by sample."""
+    page = browse.keep_result(browse.browse_variants(_calls(s, d), contig="chr21", limit=1000))
+    one = page.agg(F.min("sample_id")).first()[0]
+    return browse.refilter(page, sample_id=one)
+
+
+@register("result_bundle")
+def _q_result_bundle(s, d):
+    """Two results written as a bundle, one of them read back."""
+    path = writers.write_bundle({"burden": burden.gene_burden(_calls(s, d), "APP", "chr21"), "ranking": querylog.bench_ranking(fx.query_log(s, d))},
+                                scratch_path(s, "bundle"))
+    return writers.read_bundle(s, path, "burden")
+
+
+def _with_stats(s, d):
+    calls, root = fx.variants(s, d, with_batch=True), scratch_path(s, "with_stats")
+    for b in ("001", "002"):
+        writers.write_batch(calls.where(F.col("batch_id") == b), root, partitions=1, stats=True)
+    return root
+
+
+@register("file_stats")
+def _q_file_stats(s, d):
+    """Statistics per data file; each batch and contig is one file here."""
+    return writers.read_file_stats(s, _with_stats(s, d)).drop("file")
+
+
+@register("lookup_by_stats")
+def _q_lookup_by_stats(s, d):
+    return writers.lookup_by_stats(s, _with_stats(s, d), T_CONTIG, T_START).select(*CALL_COLUMNS)
+
+
+@register("n1_files")
+def _q_n1_files(s, d):
+    """Files created by an append and written by a full rewrite, where a batch
+    has a file a contig."""
+    calls, inc, full = fx.variants(s, d, with_batch=True), scratch_path(s, "n1_inc"), scratch_path(s, "n1_full")
+    writers.write_batch(calls.where("batch_id = '001'"), inc, partitions=1)
+    before = writers.written_files(s, inc).select("file")
+    writers.write_batch(calls.where("batch_id = '002'"), inc, partitions=1)
+    created = writers.written_files(s, inc).join(before, "file", "left_anti")
+    writers.rewrite_all(calls, full, partitions=1)
+    count = lambda files, mode: files.agg(F.count(F.lit(1)).alias("files_written")).select(F.lit(mode).alias("mode"), "files_written")
+    return count(created, "incremental_append").unionByName(count(writers.written_files(s, full), "full_rewrite"))
+
+
 @register("carrier_frequency_states")
 def _q_carrier_frequency_states(s, d):
     """C2 from the states of two batches, the second with new samples; the

@@ -22,10 +22,12 @@ files), so range partitioning is the default.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from allelic.functions.genotype import with_annotations
 from allelic.schema import CALL_COLUMNS, DERIVED_ANNOTATIONS
@@ -48,6 +50,29 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_bundle(results: dict[str, DataFrame], path: str) -> str:
+    """Several results as one folder: JSON lines per result, and ``_bundle``
+    with the name, row count and schema of each."""
+    spark = next(iter(results.values())).sparkSession
+    rows = []
+    for name, df in results.items():
+        write_json(df, f"{path}/{_directory('result', name)}")
+        n = spark.read.schema(df.schema).json(f"{path}/result={name}").count()
+        rows.append((name, n, df.schema.json()))
+    about = spark.createDataFrame(rows, "name string, n_rows long, columns string")
+    about.coalesce(1).write.mode("overwrite").json(f"{path}/_bundle")
+    return path
+
+
+def read_bundle(spark, path: str, name: str) -> DataFrame:
+    """A result of a bundle, with the schema it was written with."""
+    about = spark.read.schema("name string, n_rows long, columns string").json(f"{path}/_bundle")
+    found = about.where(F.col("name") == name).first()
+    if found is None:
+        raise ValueError(f"no result {name!r} in {path}")
+    return spark.read.schema(StructType.fromJson(json.loads(found["columns"]))).json(f"{path}/result={name}")
+
+
 def layout(calls: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-distribute by (contig, start, sample_id), sort within tasks."""
     keys = ["reference_name", "start", "sample_id"]
@@ -123,6 +148,42 @@ def write_batch_stats(spark, root: str, batch_ids: list[str] | None = None) -> s
     return out
 
 
+FILE_STATS = ("reference_name string, file string, num_records long, min_start long, max_start long, "
+              "min_sample_id string, max_sample_id string, batch_id string")
+
+
+def read_file_stats(spark, root: str) -> DataFrame:
+    """The statistics of all batches, a row a data file."""
+    return spark.read.schema(FILE_STATS).parquet(f"{root}/{STATS_DIR}")
+
+
+def files_covering(spark, root: str, contig: str, start: int, sample_id: str | None = None) -> list[str]:
+    """Data files that can hold calls at a position (and of a sample): a row a
+    file reaches the driver, as in a listing."""
+    st = read_file_stats(spark, root).where(
+        (F.col("reference_name") == contig) & (F.col("min_start") <= start) & (F.col("max_start") >= start))
+    if sample_id is not None:
+        st = st.where((F.col("min_sample_id") <= sample_id) & (F.col("max_sample_id") >= sample_id))
+    return sorted(r["file"] for r in st.select("file").distinct().collect())
+
+
+def lookup_by_stats(spark, root: str, contig: str, start: int, sample_id: str | None = None) -> DataFrame:
+    """Calls at a position (and of a sample), reading only the files whose
+    statistics cover it.  Every batch must have been written with
+    ``stats=True``; a batch without them is an error."""
+    from allelic.schema import WAREHOUSE
+    from allelic.sources.tables import read_warehouse
+    missing = read_warehouse(spark, root).select("batch_id").distinct().join(
+        read_file_stats(spark, root).select("batch_id").distinct(), "batch_id", "left_anti").first()
+    if missing is not None:
+        raise ValueError(f"batch {missing['batch_id']!r} has no file statistics")
+    files = files_covering(spark, root, contig, start, sample_id)
+    table = read_warehouse(spark, root)
+    df = spark.read.schema(WAREHOUSE).option("basePath", root).parquet(*files) if files else table.where(F.lit(False))
+    df = df.where((F.col("reference_name") == contig) & (F.col("start") == start))
+    return df if sample_id is None else df.where(F.col("sample_id") == sample_id)
+
+
 def rewrite_all(calls: DataFrame, root: str, partitions: int | None = None) -> str:
     """The naive alternative to an append: rewrite every partition."""
     df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id",

@@ -12,11 +12,12 @@ the file list); the body scan is the only full pass over the text.  Where a
 file lies in a store that Python cannot open, the headers of all files come
 from a scan of the text instead, by the same rules: the first ``#CHROM`` line
 of a file is its header, a file without one and records before it are errors,
-raised on the driver.  The header size (files x
-samples) is measured first; under ``max_broadcast_samples`` it is
-broadcast, otherwise headers are exploded to (file, index, sample) and
-joined on (file, index) after the body is exploded, a balanced shuffle join
-with no per-file hot key.
+raised on the driver.  Files of a cohort mostly have the same header, so a file
+only carries the hash of its sample list, and each distinct list stands once.
+The size of the distinct lists is measured first; under ``max_broadcast_samples`` they are
+broadcast, otherwise they are exploded to (list, index, sample) and joined on
+(list, index) after the body is exploded, a balanced shuffle join with no hot
+key.
 
 Semantics (fixed by the reference parser): lines are stripped; blank and
 ``#`` lines skipped; body lines with fewer than 9 + n_samples fields are
@@ -221,18 +222,25 @@ def _digits_or_zero(v: Column) -> Column:
     return F.when(v.rlike("^[0-9]+$"), F.coalesce(v.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
 
 
+def _list_key(samples: Column) -> Column:
+    return F.md5(F.to_json(samples))
+
+
 def resolve_headers(spark: SparkSession, inputs: list[str], validate: bool = True) -> tuple[DataFrame, int, int]:
-    """(header frame: file, samples, absent), files x samples, and the number
-    of ordinary gzip files.  One aggregate row reaches the driver."""
+    """(header frame: file, samples, absent), samples of all distinct lists,
+    and the number of ordinary gzip files.  Two aggregate rows reach the
+    driver."""
     hdr = header_prefixes(spark, inputs) if _prefix_readable(inputs) else header_scan(spark, inputs).persist()
     lost, early = F.when(F.col("samples").isNull() & ~F.col("early"), F.col("file")), F.when(F.col("early"), F.col("file"))
-    r = hdr.agg(F.sum(F.size("samples")).alias("n"), F.count_if("plain_gzip").alias("plain_gzip"), F.count(lost).alias("n_lost"),
+    lists = hdr.where(F.col("samples").isNotNull()).groupBy(_list_key(F.col("samples"))).agg(F.max(F.size("samples")).alias("n"))
+    total = lists.agg(F.sum("n")).first()[0] or 0
+    r = hdr.agg(F.count_if("plain_gzip").alias("plain_gzip"), F.count(lost).alias("n_lost"),
                 F.min(lost).alias("lost"), F.count(early).alias("n_early"), F.min(early).alias("early")).first()
     if validate and r["n_lost"]:
         raise ValueError(f"Invalid VCF: No '#CHROM' header found in {r['n_lost']} files, such as {r['lost']}")
     if validate and r["n_early"]:
         raise ValueError(f"Invalid VCF: records before the '#CHROM' header in {r['n_early']} files, such as {r['early']}")
-    return hdr.where(F.col("samples").isNotNull()).select("file", "samples", "absent"), r["n"] or 0, r["plain_gzip"]
+    return hdr.where(F.col("samples").isNotNull()).select("file", "samples", "absent"), total, r["plain_gzip"]
 
 
 def read_vcf(spark: SparkSession, paths, cohort_id: str = DEFAULT_COHORT,
@@ -275,11 +283,18 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
     ]
     line_cols = site_cols + [_last_pos(F.split(F.col("f")[8], ":"), k).alias(f"p_{k}")
                              for k in FORMAT_KEYS]
+    # A row a file, and a row a distinct list: the first is broadcast behind a
+    # check of the file count, the second behind one of its samples.
+    hdr = hdr.withColumn("list", _list_key(F.col("samples")))
+    files = hdr.select("file", "list", "absent", F.size("samples").alias("n_samples"))
+    if n_files is not None and n_files <= MAX_BROADCAST_FILES:
+        files = F.broadcast(files)
+    lists = hdr.groupBy("list").agg(F.first("samples").alias("samples"))
+    j = body.join(files, "file").where(F.size("f") >= F.col("n_samples") + 9)
     # The generator emits only the sample's own cell: the line's field array
     # is not carried into every exploded row (that would copy it n times).
     if broadcast_header:
-        j = body.join(F.broadcast(hdr), "file")
-        j = j.where(F.size("f") >= F.size("samples") + 9)
+        j = j.join(F.broadcast(lists), "list")
         cells = F.zip_with("samples", F.slice("f", 10, F.size("samples")),
                            lambda sm, c: F.named_struct(F.lit("s"), sm, F.lit("c"), c))
         cells = F.when(F.col("absent").isNull(), cells).otherwise(F.filter(cells, lambda x: x["c"] != F.col("absent")))
@@ -291,19 +306,13 @@ def parse_lines(lines: DataFrame, hdr: DataFrame, broadcast_header: bool,
                  .select(*keep, F.col("cell")["s"].alias("sample_id"),
                          F.col("cell")["c"].alias("c")))
     else:
-        # One (file, count) row per file: broadcast only when the file count
-        # is checked to be small; otherwise AQE picks the join.
-        n = hdr.select("file", "absent", F.size("samples").alias("n_samples"))
-        if n_files is not None and n_files <= MAX_BROADCAST_FILES:
-            n = F.broadcast(n)
-        j = body.join(n, "file").where(F.size("f") >= F.col("n_samples") + 9)
-        per_line = j.select("file", "absent", *extra, *line_cols,
+        per_line = j.select("list", "absent", *extra, *line_cols,
                             F.slice("f", 10, F.col("n_samples")).alias("cells"))
         keep = [c for c in per_line.columns if c != "cells"]
         calls = per_line.select(*keep, F.posexplode("cells").alias("idx", "c"))
         calls = calls.where("absent is null or c <> absent").drop("absent")
-        names = hdr.select("file", F.posexplode("samples").alias("idx", "sample_id"))
-        calls = calls.join(names, ["file", "idx"])
+        names = lists.select("list", F.posexplode("samples").alias("idx", "sample_id"))
+        calls = calls.join(names, ["list", "idx"])
     sf = F.split(F.col("c"), ":")
     calls = calls.withColumn("sf", sf)
 

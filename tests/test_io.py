@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from allelic.operators import synth
@@ -162,3 +163,71 @@ def test_batch_stats_beside_batch(spark, tmpdir_path):
     assert st.where(F.col("min_start") > F.col("max_start")).count() == 0
     # the stats folder is invisible to table reads
     assert tables.read_warehouse(spark, root).count() == b1.count()
+
+
+def test_lookup_by_stats_reads_only_covering_files(spark, tmpdir_path):
+    calls = fx.variants(spark, SF_SMALL, with_batch=True)
+    root = f"{tmpdir_path}/stats"
+    for b in ("001", "002"):
+        writers.write_batch(calls.where(F.col("batch_id") == b), root, partitions=12, stats=True)
+    every = writers.written_files(spark, root).count()
+    got = writers.lookup_by_stats(spark, root, fx.TARGET_CONTIG, fx.TARGET_START)
+    assert 0 < len(got.inputFiles()) < every / 4
+    assert got.count() == calls.where((F.col("reference_name") == fx.TARGET_CONTIG) & (F.col("start") == fx.TARGET_START)).count() > 0
+    one = got.agg(F.min("sample_id")).first()[0]
+    assert writers.lookup_by_stats(spark, root, fx.TARGET_CONTIG, fx.TARGET_START, one).count() == 1
+    assert writers.lookup_by_stats(spark, root, "chr99", 1).count() == 0
+    writers.write_batch(calls.limit(5), root, "003")
+    with pytest.raises(ValueError, match="no file statistics"):
+        writers.lookup_by_stats(spark, root, fx.TARGET_CONTIG, fx.TARGET_START)
+
+
+def test_bundle_keeps_schemas(spark, tmpdir_path):
+    a = spark.createDataFrame([(1, None, 2.5), (2, "x", None)], "n int, s string, d double")
+    empty = a.where("n > 9")
+    path = writers.write_bundle({"a": a, "none": empty}, f"{tmpdir_path}/bundle")
+    back = writers.read_bundle(spark, path, "a")
+    assert back.schema == a.schema and sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, a.collect()), key=str)
+    assert writers.read_bundle(spark, path, "none").collect() == []
+    with pytest.raises(ValueError, match="no result"):
+        writers.read_bundle(spark, path, "b")
+
+
+def test_shards_are_sized_from_counts(spark, tmpdir_path):
+    from allelic.sinks.vcf import shard_width, write_vcf
+    from allelic.sources.vcf import read_vcf
+    calls = fx.variants(spark, SF_SMALL).where("reference_name = 'chr21'")
+    assert shard_width(calls.where("start < 0")) > 0
+    width = shard_width(calls, 300)
+    write_vcf(calls, f"{tmpdir_path}/sized", width)
+    lines = spark.read.text(f"{tmpdir_path}/sized").withColumn("file", F.input_file_name())
+    cells = lines.where("value not like '#%'").groupBy("file").agg(F.sum(F.size(F.split("value", "\t")) - 9).alias("n"))
+    assert cells.count() > 3 and cells.agg(F.max("n")).first()[0] <= 900
+    assert read_vcf(spark, f"{tmpdir_path}/sized").count() == calls.count()
+
+
+def test_kept_result_is_not_read_again(spark):
+    from allelic.operators import browse
+    kept = browse.keep_result(browse.browse_variants(fx.variants(spark, SF_SMALL), contig="chr21", limit=500))
+    n = kept.count()
+    one = browse.refilter(kept, sample_id=kept.first()["sample_id"])
+    assert "InMemoryTableScan" in one._jdf.queryExecution().executedPlan().toString() and 0 < one.count() < n
+    assert browse.refilter(kept, contig="chr1").count() == 0
+    kept.unpersist()
+
+
+def test_same_headers_stand_once(spark, tmpdir_path):
+    """Many files with one header: calls are not shuffled, also where files
+    times samples pass the limit; with many headers the shuffle join agrees."""
+    from allelic.sources.vcf import read_vcf
+    for k in range(6):
+        names = [f"S{j}" for j in range(5)] if k < 5 else ["T1", "T2", "T3"]
+        with open(f"{tmpdir_path}/f{k}.vcf", "w") as f:
+            f.write("\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split() + names) + "\n")
+            f.write("\n".join("\t".join(["chr1", str(100 * k + r), ".", "A", "G", "9", "PASS", ".", "GT", *["0/1"] * len(names)]) for r in range(4)) + "\n")
+    whole = read_vcf(spark, tmpdir_path, max_broadcast_samples=8)  # 8 distinct of 28
+    assert whole.count() == 4 * 28
+    p = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+    other = read_vcf(spark, tmpdir_path, max_broadcast_samples=7)
+    assert sorted(map(tuple, other.collect())) == sorted(map(tuple, whole.collect()))

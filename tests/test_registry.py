@@ -19,6 +19,7 @@ compacted_equal feed_stream replay_equal append_after_compact
 allele_frequency_vds gene_burden_vds omop_join_vds
 gwas_linear gwas_logistic ld_pairs ld_pruned genotype_pca polygenic_scores polygenic_scores_vds
 carrier_frequency_states trial_matches allele_fraction_track allele_fraction_stream tier_lookup packed_equal clustered_equal
+validate_expected synthetic_pinned browse_refilter result_bundle file_stats lookup_by_stats n1_files
 """.split()
 # Newton steps, a greedy walk and a decomposition: tested against plain numpy instead.
 ROWS_ONLY: set = {"gwas_logistic", "ld_pruned", "genotype_pca"}
@@ -42,4 +43,4 @@ def test_oracle_sql_is_self_contained():
         assert "LIMIT" not in sql.upper() or name in {
             "carrier_frequency_top", "site_depth_preview", "sample_call_counts",
             "browse_variants", "browse_variants_sample", "browse_person", "browse_conditions",
-            "browse_search"}, name
+            "browse_search", "browse_refilter"}, name
