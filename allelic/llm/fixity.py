@@ -13,12 +13,19 @@ no group grows with the input.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from allelic.llm.common import materialise
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bits of the offset that a lowest range spans (64 KiB), and bits a level adds.
 LEAF_BITS, LEVEL_BITS = 16, 4
 FANOUT = 1 << LEVEL_BITS
@@ -28,14 +35,18 @@ ARCHIVE_IDS = 256
 #: Archives for rows without an id.
 LOOSE_ARCHIVES = 64
 VERSION = "WARC/1.1"
+#: Date of records whose capture is not known; the format asks for one.
+NO_DATE = "1970-01-01T00:00:00Z"
 
 
-def warc_record(url: Column, record_id: Column, body: Column) -> Column:
-    """Bytes of a WARC resource record (null body: empty)."""
+def warc_record(url: Column, record_id: Column, body: Column, date: Column | None = None) -> Column:
+    """Bytes of a WARC resource record (null body: empty; ``date`` in UTC to
+    the second, as the format writes it)."""
+    date = F.coalesce(F.lit(NO_DATE) if date is None else date, F.lit(NO_DATE))
     payload = F.coalesce(body.cast("string"), F.lit(""))
     head = F.concat(
         F.lit(VERSION + "\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(record_id.cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "), F.coalesce(url.cast("string"), F.lit("")),
+        F.lit(">\r\nWARC-Date: "), date, F.lit("\r\nWARC-Target-URI: "), F.coalesce(url.cast("string"), F.lit("")),
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n\r\n"))
     return F.encode(F.concat(head, payload, F.lit("\r\n\r\n")), "UTF-8")
 
@@ -67,6 +78,59 @@ def write_warc(records: DataFrame, path: str) -> None:
      .write.partitionBy("archive").option("lineSep", "\n").text(path))
 
 
+def parse_warc(data: bytes) -> Iterator[tuple[int, bytes, dict, bool]]:
+    """``(offset, bytes, header fields, valid)`` of each record of a file.
+
+    A record that does not end where its length says, or has no length, is
+    returned as not valid, up to the next place that reads like the start of a
+    record, so one fault does not hide what follows."""
+    at, mark = 0, VERSION.encode() + b"\r\n"
+    while at < len(data):
+        head = data.find(b"\r\n\r\n", at)
+        lines = data[at:head].decode("utf-8", "replace").split("\r\n") if head >= 0 else []
+        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        end = head + 8 + int(fields["content-length"]) if fields.get("content-length", "").isdigit() else -1
+        valid = data.startswith(mark, at) and 0 <= end <= len(data) and data[end - 4:end] == b"\r\n\r\n" and (
+            end == len(data) or data.startswith(mark, end))
+        if not valid:
+            after = data.find(b"\r\n" + mark, at + 1)
+            end = after + 2 if after >= 0 else len(data)
+        yield at, data[at:end], fields, valid
+        at = end
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("warc-record-id", "warc-date", "warc-target-uri", "warc-type")
+    for batch in batches:
+        for row in batch.to_pylist():
+            rows, size = [], 0
+            for offset, record, fields, valid in parse_warc(row["content"]):
+                rows.append((row["archive"], row["path"], offset, *(fields.get(n) for n in names), valid, record))
+                size += len(record)
+                if size > 4_000_000:
+                    yield _records(rows)
+                    rows, size = [], 0
+            yield _records(rows)
+
+
+def _records(rows: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * 9
+    types = [pa.string(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.bool_(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [c.split()[0] for c in WARC_ROW.split(", ")])
+
+
+WARC_ROW = ("archive string, path string, offset long, record_id string, date string, uri string, type string, valid boolean, record binary")
+
+
+def read_warc(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """The records of WARC files under ``path``, a task parsing whole files of
+    the size that writers give an archive.  ``archive`` is the partition of
+    the folder, or null; ``offset`` is the place in the file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    archive = F.nullif(F.regexp_extract("path", "/archive=([^/]*)/", 1), F.lit(""))
+    return files.select("path", archive.alias("archive"), "content").mapInArrow(_parse, WARC_ROW)
+
+
 def leaves(records: DataFrame) -> DataFrame:
     """``archive``, ``offset``, ``length``, ``hash`` of each record.  A null
     record has length -1 and a hash of its own."""
@@ -167,7 +231,8 @@ def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH p AS (
   SELECT page_id AS id, encode('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
-    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z'
+    || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
     || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
     || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
     || chr(13) || chr(10) || chr(13) || chr(10)) AS rec

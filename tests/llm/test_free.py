@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -341,6 +342,41 @@ def test_warc_files_round_trip(spark, tmpdir_path):
         assert len(data) == sum(len(r.record) for r in rows if r.archive == archive)
 
 
+def test_warc_reader_gives_records_back_and_audits_replicas(spark, tmpdir_path):
+    """Replicas on disk: equal ones agree; a changed byte and a broken length are found, and hide nothing behind them."""
+    import glob
+    import shutil
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<p>é {k}\r\n\r\nWARC/1.1 in the text</p>") for k in range(300)], "page_id long, url string, html string")
+    rec = fixity.archive_pages(pages)
+    one, two = f"{tmpdir_path}/one", f"{tmpdir_path}/two"
+    fixity.write_warc(rec, one)
+    shutil.copytree(one, two)
+    left = fixity.read_warc(spark, one, "part-*")
+    assert sorted((r.archive, r.offset, bytes(r.record)) for r in left.collect()) == sorted((r.archive, r.offset, bytes(r.record)) for r in rec.collect())
+    first = left.orderBy("archive", "offset").first()
+    assert (first.uri, first.date, first.type, first.record_id, first.valid) == ("http://h/0", fixity.NO_DATE, "resource", "<urn:page:0>", True)
+    assert fixity.audit(left, fixity.read_warc(spark, two, "part-*")).count() == 0
+    path = glob.glob(f"{two}/archive=a0/part-*")[0]
+    data = bytearray(open(path, "rb").read())
+    bad = [r for r in rec.orderBy("offset").collect() if r.archive == "a0"]
+    data[bad[7].offset + len(bad[7].record) - 10] ^= 1
+    at = data.find(b"Content-Length: ", bad[20].offset) + 16
+    data[at:at + 1] = b"9"
+    for crc in glob.glob(f"{two}/archive=a0/.part-*.crc"):
+        os.replace(crc, crc + ".old")
+    open(path, "wb").write(bytes(data))
+    right = fixity.read_warc(spark, two, "part-*")
+    assert [r.offset for r in right.where("not valid").collect()] == [bad[20].offset] and right.count() == 300
+    got = sorted((r.archive, r.offset, r.status) for r in fixity.audit(left, right).collect())
+    assert got == [("a0", bad[7].offset, "changed"), ("a0", bad[20].offset, "changed")]
+
+
+def test_warc_parser_on_odd_files():
+    assert list(fixity.parse_warc(b"")) == []
+    assert [x[3] for x in fixity.parse_warc(b"no record at all")] == [False]
+    assert [(x[0], x[3]) for x in fixity.parse_warc(b"WARC/1.1\r\nContent-Length: 2\r\n\r\nab\r\n\r\nWARC/1.1\r\n")] == [(0, True), (37, False)]
+
+
 def test_fixity_hash_is_of_offset_length_and_record(spark):
     df = spark.createDataFrame([("a", 12, b"abc")], "archive string, offset long, record binary")
     want = hashlib.sha256(f"12:3:{hashlib.sha256(b'abc').hexdigest()}".encode()).hexdigest()
