@@ -4,8 +4,9 @@ The matrix of samples by sites is only ever its called entries, a row each,
 standardised by allele frequency (entries without a call are 0, the mean).
 A tall table of a few columns a sample is multiplied back and forth by joins
 and sums, and made orthonormal by the Cholesky factor of its Gram matrix,
-twice (tall-skinny QR).  The driver sees that square of the few columns and
-nothing that grows with samples or sites.
+(tall-skinny QR).  The driver sees that square of the few columns and
+nothing that grows with samples or sites.  Between rounds one such step keeps
+the columns apart; the last ones are made orthonormal to rounding.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from allelic.operators.frequency import SITE_KEY
 from allelic.plans.joins import MAX_BROADCAST_ROWS
 from allelic.session import scratch_path
 
-ROUNDS, OVERSAMPLING = 8, 8
+ROUNDS, OVERSAMPLING = 5, 8
 
 
 def _write(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -67,9 +68,9 @@ def _times(key: str, m: np.ndarray) -> list[Column]:
     return out
 
 
-def _orthonormal(spark: SparkSession, tall: DataFrame, key: str, k: int) -> DataFrame:
+def _orthonormal(spark: SparkSession, tall: DataFrame, key: str, k: int, steps: int = 1) -> DataFrame:
     """Orthonormal columns of the same span; directions that vanish are 0."""
-    for _ in range(2):
+    for _ in range(steps):
         values, vectors = np.linalg.eigh(_gram(tall, k))
         keep = values > 1e-12 * max(values.max(), 1e-300)
         scale = np.where(keep, 1 / np.sqrt(np.where(keep, values, 1.0)), 0.0)
@@ -93,9 +94,10 @@ def genotype_pca(calls: DataFrame, components: int = 4, contig: str | None = Non
     unit = lambda j: F.xxhash64("site", F.lit(j)) / float(1 << 63)  # noqa: E731  between -1 and 1
     start = entries.select("site").distinct().select("site", *[unit(j).alias(f"q{j}") for j in range(k)])
     q = _orthonormal(spark, _write(spark, _multiply(entries, "site", "sample_id", start, k, n_sites), "pca_y"), "sample_id", k)
-    for _ in range(rounds):
+    for n in range(rounds):
         w = _orthonormal(spark, _write(spark, _multiply(entries, "sample_id", "site", q, k, n_samples), "pca_w"), "site", k)
-        q = _orthonormal(spark, _write(spark, _multiply(entries, "site", "sample_id", w, k, n_sites), "pca_y"), "sample_id", k)
+        q = _orthonormal(spark, _write(spark, _multiply(entries, "site", "sample_id", w, k, n_sites), "pca_y"), "sample_id", k,
+                         2 if n == rounds - 1 else 1)
     # the projection's small square gives singular values and the turn of the columns
     b = _write(spark, _multiply(entries, "sample_id", "site", q, k, n_samples), "pca_b")
     values, vectors = np.linalg.eigh(_gram(b, k))
