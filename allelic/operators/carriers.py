@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelic.functions.genotype import clnsig_col, gene_col, is_carrier, optional_eq, zygosity
+from allelic.functions.genotype import clnsig_col, gene_col, is_carrier, zygosity
 
 
 def _at_locus(calls: DataFrame, contig: str, start: int, gene: str | None = None) -> DataFrame:
@@ -53,7 +53,3 @@ def locus_calls(calls: DataFrame, contig: str = "chr21", start: int = 25891796,
           .select("sample_id", "genotype", "qual", "dp")
           .orderBy("sample_id", "genotype"))
     return df.limit(limit) if limit else df
-
-
-def site_filter(contig: str | None, start: int | None):
-    return optional_eq("reference_name", contig) & optional_eq("start", start)

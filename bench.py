@@ -53,6 +53,10 @@ def run(df):
     return df.collect()
 
 
+#: Positions of a VCF file: a line has a cell for each sample of its file.
+VCF_BUCKET = 100_000
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -103,15 +107,16 @@ def main():
         fx.variants(spark, sf_dir), "chr21", "PASS")))
 
     vcf_info = {}
-    vcf_sf = os.environ.get("BENCH_VCF_SF_DIR", "/root/testdata/sf0.01").rstrip("/")
+    vcf_sf = os.environ.get("BENCH_VCF_SF_DIR", sf_dir).rstrip("/")
     if os.path.exists(f"{vcf_sf}/part.parquet"):
         vcf_dir = scratch_path(spark, "bench_vcf")
-        write_vcf(fx.variants(spark, vcf_sf), vcf_dir)
+        write_vcf(fx.variants(spark, vcf_sf), vcf_dir, VCF_BUCKET)
+        text_bytes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(vcf_dir).agg(F.sum("length")).first()[0]
         noop = lambda: read_vcf(spark, vcf_dir).write.format("noop").mode("overwrite").save()
         noop()  # warm-up
         times["vcf_ingest"], _ = timed(noop)
         cells = read_vcf(spark, vcf_dir).count()
-        vcf_info = {"source_sf_dir": vcf_sf, "calls": cells,
+        vcf_info = {"source_sf_dir": vcf_sf, "calls": cells, "text_bytes": text_bytes,
                     "calls_per_sec": round(cells / times["vcf_ingest"])}
 
     files_inc = writers.written_files(spark, root).where(F.col("batch_id") == "002").count()

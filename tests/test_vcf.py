@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from allelic.sinks.vcf import write_vcf
 from allelic.sources.vcf import read_vcf, read_vcf_rejects, vcf_samples
