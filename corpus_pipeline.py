@@ -38,7 +38,11 @@ def _join(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts have no words and go; rows repeated in full share
+    their fate; a null id, language or source is one of its own.
+    """
     result = quality(docs.withColumn("_h", _text_hash()), carry=["_h"])
     gone = result.where(~F.col("kept")).select("doc_id", F.col("_h").alias("h")).distinct()
     return _join(docs, materialise(spark, gone, "stage_quality"), "left_anti")
@@ -77,7 +81,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null and empty texts have size 0 and give nothing to take; the copies of
+    rows repeated in full add up; a null source is one of its own.
+    """
     result = mix_sources(docs.withColumn("_h", _text_hash()), carry=["_h"])
     taken = result.where("copies > 0").groupBy("doc_id", F.col("_h").alias("h")).agg(F.sum("copies").alias("_copies"),
                                                                                   F.count(F.lit(1)).alias("_rows"))
@@ -93,7 +101,7 @@ def _repeats(docs: DataFrame) -> bool:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences."""
+    """Pieces of packed sequences; a null or empty text is its end id alone."""
     return pack_documents(docs)
 
 
