@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from allelic.operators import association, carrier_states, ld, scores, trials  # noqa: E402
 from allelic.operators import burden, carriers, clinical, frequency, summary  # noqa: E402
 from allelic.session import get_spark, scratch_path  # noqa: E402
 from allelic.sinks import writers  # noqa: E402
@@ -52,6 +53,11 @@ NOTES = {
         "Headers come from file prefixes (mapInPandas over the file list, one row per file), "
         "broadcast after a files x samples check. Line-level columns are projected before the "
         "explode, and the generator emits only each sample's own cell."),
+    "Association (linear)": "Traits are a dimension: broadcast behind a count, else salted. One partial and final aggregate of sums of products per site; the equations are projections behind it, so the shuffle carries a row a site and task.",
+    "Linkage pairs": "Calls of a sample meet within bins of the window: equality on contig, sample and bin, positions as a join condition. Sums of a pair combine before the second shuffle.",
+    "Polygenic scores": "Weights are harmonised against sites (both small beside calls) and broadcast behind a count; calls that are not reference are the only ones read on, and one row a sample is shuffled.",
+    "Carrier states": "Sample numbers are broadcast behind a count; a site and block of 32,768 samples is one row a task before the shuffle.",
+    "Trial matching": "Facts are distinct before they meet the criteria by kind and code (criteria broadcast behind a count); what is fulfilled is counted per trial and person. Nobody is paired with a trial without a fact for it.",
 }
 
 
@@ -114,6 +120,11 @@ def main():
         "C12 calls_with_demographics": clinical.calls_with_demographics(wh, person, "chr21"),
         "C19 ingest_summary": summary.ingest_summary(wh),
         "A1 read_vcf": read_vcf(spark, vcf_dir),
+        "Association (linear)": association.linear_association(wh, fx.traits(spark, sf_dir), "n_conditions", ["age", "male"]),
+        "Linkage pairs": ld.ld_pairs(wh, 100_000, min_samples=2),
+        "Polygenic scores": scores.polygenic_scores(wh, fx.sites(fx.table(spark, sf_dir, "part")), person, fx.score_weights(spark, sf_dir)),
+        "Carrier states": carrier_states.carrier_states(wh, carrier_states.number_samples(wh)),
+        "Trial matching": trials.match_trials(trials.facts(wh, person, cond), person, fx.trials(spark, sf_dir), fx.trial_criteria(spark, sf_dir)),
     }
     out = ["# PLANS", "",
            f"Final (post-AQE) physical plans at `{sf_dir}` over the partitioned warehouse",
