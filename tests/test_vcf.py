@@ -205,3 +205,19 @@ def test_writer_places_cells_by_sample_and_refuses_two(spark, tmpdir_path):
     assert {(r["sample_id"], r["genotype"], r["qual"]) for r in back} == {("A", "1/1", 1.0), ("B", "0/0", 2.0), ("C", "0/1", 1.0)}
     with pytest.raises(Exception, match="two calls of one sample at chr1:100"):
         write_vcf(spark.createDataFrame([*calls, row("A", "0/1", 1.0)], CALLS), f"{tmpdir_path}/w")
+
+
+def test_sparse_calls_make_text_that_grows_with_them(spark, tmpdir_path):
+    """Two of 800 samples have a call at a site: shards are narrow, and lines
+    fill the gaps before, between and behind their calls."""
+    from allelic.schema import CALLS
+    from allelic.sinks.vcf import DEFAULT_BUCKET, MAX_FILL, shard_width
+    rows = [("chr1", 1000 + 50 * k, 1000 + 50 * k, "A", "G", f"S{2 * k + j:04d}", "0/1", 1.0, "PASS", 9, 8, "5,4", '{"gene":"X"}', "synthetic_v1", "s3_tables")
+            for k in range(400) for j in (0, 1)]
+    calls = spark.createDataFrame(rows, CALLS)
+    width = shard_width(calls)
+    assert DEFAULT_BUCKET % shard_width(calls, within=DEFAULT_BUCKET) == 0 and shard_width(calls, within=DEFAULT_BUCKET) <= width
+    write_vcf(calls, f"{tmpdir_path}/v", None)
+    lines = [r.value.split("\t") for r in spark.read.text(f"{tmpdir_path}/v").where("value not like '#%'").collect()]
+    assert len(lines) == 400 and sum(len(x) - 9 for x in lines) <= 2 * MAX_FILL * len(rows)
+    assert sorted(map(tuple, read_vcf(spark, f"{tmpdir_path}/v").collect())) == sorted(rows)
