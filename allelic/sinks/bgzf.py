@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 65_280
+#: Bytes of small files that a task compresses.
+TASK_BYTES = 64 << 20
 #: Fixed values of the format: a member's header up to its size, and the
 #: empty block that ends a file.
 HEADER = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0"
@@ -56,12 +58,15 @@ def write_block_gzip(spark: SparkSession, source: str, target: str, suffix: str
     writer) to a file under ``target`` with the same path and ``suffix``
     added.  Returns ``file, blocks``, evaluated once."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
-             .load(source).select("path"))
+             .load(source).select("path", "length"))
     # the path below the source; partition values stand escaped in it
     name = F.concat(F.element_at(F.split("path", source.rstrip("/").rpartition("/")[2] + "/"), -1), F.lit(suffix))
     if "://" not in target:
         target = "file://" + target
-    done = files.withColumn("name", name).repartition(max(1, files.count())).mapInArrow(
+    n, size = files.agg(F.count(F.lit(1)), F.sum("length")).first()
+    # a task a file, or several small files
+    tasks = max(1, min(n, max(16 * spark.sparkContext.defaultParallelism, (size or 0) // TASK_BYTES)))
+    done = files.select("path", name.alias("name")).repartition(tasks).mapInArrow(
         _compress(target, block_bytes), "file string, blocks long")
     rows = done.collect()  # a row a file
     return spark.createDataFrame(rows, "file string, blocks long")
