@@ -64,6 +64,20 @@ def test_trials_without_criteria_or_facts(spark):
     assert [(r.trial_id, r.person_id, r.n_all, r.n_any) for r in got] == [(1, 2, 0, 0)]
 
 
+def test_trial_pairs_are_not_shuffled(spark):
+    """Facts are dealt by person, and pairs with trials stay there; more
+    criteria than a word has bits, and a trial without an id, count too."""
+    persons = spark.createDataFrame([(p, 1950 + p % 30) for p in range(60)], "person_id long, year_of_birth int")
+    facts = spark.createDataFrame([(p, "condition", str(c), "2012-01-15") for p in range(60) for c in range(p % 3, 70)], "person_id long, kind string, code string, day string")
+    some = spark.createDataFrame([(1, None, None), (2, None, None), (None, 1979, None)], "trial_id long, min_year int, max_year int")
+    criteria = spark.createDataFrame([(1, c, "all", "condition", str(c), None, None) for c in range(70)] + [(2, 1, "none", "condition", "1", None, None)], CRITERIA)
+    got = trials.match_trials(facts, persons, some, criteria)
+    want = [(1, p, 70, 0) for p in range(0, 60, 3)] + [(2, p, 0, 0) for p in range(60) if p % 3 == 2] + [(None, p, 0, 0) for p in (29, 59)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [x for x in plan if "hashpartitioning(" in x and "person_id" in x and "trial" in x]
+
+
 # --- allele fraction over time --------------------------------------------------
 
 def observed(seed, n=300):
@@ -118,6 +132,19 @@ def test_stream_with_late_rows_equals_batch(spark, tmpdir_path):
     assert (d["left_only"], d["right_only"]) == (0, 0) and d["left_rows"] > 200
 
 
+def test_stream_state_is_by_bucket_of_samples(spark, tmpdir_path):
+    """Many samples share a state row, and only changed rows are written."""
+    src, root, checkpoint = (f"{tmpdir_path}/{n}" for n in ("src", "root", "checkpoint"))
+    first = [(f"s{k}", "m", f"2020-01-0{d}", 10, d) for k in range(40) for d in (1, 3)]
+    for rows in (first, [("s1", "m", "2020-01-02", 10, 9), ("s2", "n", "2020-01-02", 10, 9)]):
+        spark.createDataFrame(rows, longitudinal.OBSERVATION).coalesce(1).write.mode("append").json(src)
+        longitudinal.track_stream(spark, src, root, checkpoint, max_files_per_trigger=1, buckets=2)
+    late = spark.read.parquet(root).where("version > 1").select("sample_id", "marker", "day").collect()
+    assert sorted(map(tuple, late)) == [("s1", "m", "2020-01-02"), ("s1", "m", "2020-01-03"), ("s2", "n", "2020-01-02")]
+    batch = longitudinal.track(spark.read.schema(longitudinal.OBSERVATION).json(src))
+    assert Counter(map(tuple, longitudinal.read_tracked(spark, root).collect())) == Counter(map(tuple, batch.collect()))
+
+
 def test_observations_from_calls(spark):
     rows = [("s", "chr1", "2020-01-01", "10,5"), ("s", "chr1", "2020-01-02", "."), ("s", "chr1", "2020-01-03", "3,2,1"), ("s", "chr1", "2020-01-04", None)]
     df = spark.createDataFrame(rows, "sample_id string, reference_name string, taken string, allele_depth string")
