@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 from pyspark.sql.window import Window
 
 from allelic.functions.genotype import with_annotations
@@ -42,11 +43,16 @@ def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag difference both ways in one shuffle: tag each side, count every
     distinct row per side, and sum the surpluses.  Same result as two
     ``exceptAll`` passes; one row (left_rows, right_rows, left_only,
-    right_only)."""
+    right_only).  Rows are told apart by 128 bits of the SHA-256 of their
+    values, so what is shuffled and held does not grow with their width."""
     cols = left.columns
     tagged = (left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
               .unionByName(right.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
-    per_row = tagged.groupBy(*cols).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
+    # a negative zero is zero
+    values = [F.when(F.col(f.name) == 0, F.lit(0).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+              if isinstance(f.dataType, FractionalType) else F.col(f.name) for f in tagged.schema if f.name in cols]
+    row = F.unhex(F.left(F.sha2(F.to_json(F.struct(*values)), 256), F.lit(32)))
+    per_row = tagged.groupBy(row).agg(F.sum("_l").alias("l"), F.sum("_r").alias("r"))
     return per_row.agg(
         F.coalesce(F.sum("l"), F.lit(0)).cast("long").alias("left_rows"),
         F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("right_rows"),
@@ -124,9 +130,8 @@ def compact_small(spark: SparkSession, src: str, dst: str, target_bytes: int = T
 def splitters(df: DataFrame, column: str, ranges: int, sample: int = Z_SAMPLE) -> list:
     """At most ``ranges - 1`` values that cut the column into even ranges, from
     at most ``sample`` rows with the smallest hashes."""
-    rows = df.select(column).where(F.col(column).isNotNull())
     picked = df.select(column, F.xxhash64(*df.columns).alias("h")).where(F.col(column).isNotNull()).orderBy("h").limit(sample)
-    values = sorted(r[0] for r in picked.select(column).collect()) if rows.head(1) else []
+    values = sorted(r[0] for r in picked.select(column).collect())
     return sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
 
 
