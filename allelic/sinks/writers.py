@@ -74,8 +74,11 @@ def read_bundle(spark, path: str, name: str) -> DataFrame:
 
 
 def layout(calls: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-distribute by (contig, start, sample_id), sort within tasks."""
+    """Range-distribute by (contig, start, sample_id), sort within tasks.  One
+    partition means one file a contig: a contig is a task then."""
     keys = ["reference_name", "start", "sample_id"]
+    if partitions == 1:
+        return calls.repartition("reference_name").sortWithinPartitions(*keys)
     df = calls.repartitionByRange(partitions, *keys) if partitions else \
         calls.repartitionByRange(*keys)
     return df.sortWithinPartitions(*keys)
