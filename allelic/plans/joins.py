@@ -27,6 +27,9 @@ MAX_BROADCAST_ROWS = 2_000_000
 HOT_ROWS = 1_000_000
 SALT_BUCKETS = 32
 MAX_HOT_KEYS = 100_000
+#: Rows of a task that groups what does not combine, and what share of the
+#: rows may be left by combining that comes before a shuffle.
+TASK_ROWS, COMBINED = 1 << 17, 0.25
 
 
 def hot_keys(fact: DataFrame, keys: list[str], hot_rows: int) -> list:
@@ -60,3 +63,16 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: st
     d = (dim.join(flag, keys, "left")
             .withColumn("_salt", F.explode(copies)).drop("_hot"))
     return f.join(d, keys + ["_salt"], how).drop("_salt")
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
+
+
+def deal(df: DataFrame, by: list[str], groups: list[str]) -> DataFrame:
+    """Rows to be grouped by ``groups``, some of which are ``by``.  If groups
+    are few for the rows, these stay where they are and combine before the
+    shuffle; else they are dealt by ``by``, so many to a task that its memory
+    does not grow with the table.  Two counts of one pass tell."""
+    rows, found = df.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*groups))).first()
+    return df if found <= COMBINED * rows else df.repartition(tasks_for(rows), *by)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from allelic.operators import carrier_states, longitudinal, trials
 from allelic.operators.frequency import carrier_frequency
+from allelic.plans import joins
 from allelic.sources import fixtures as fx
 from allelic.plans.layout import diff_counts
 from conftest import SF_SMALL
@@ -192,3 +193,26 @@ def test_states_move_fewer_bytes_than_calls(spark):
     states = carrier_states.carrier_states(calls, carrier_states.number_samples(calls))
     assert states.count() == 3 and states.agg(F.sum(F.length("samples"))).first()[0] == 3 * 4096
     assert [r.total_cohort_samples for r in carrier_states.carrier_frequency_of(states).collect()] == [20_000] * 3
+
+
+def test_sparse_states_are_lists_of_masks(spark):
+    """A block with few samples is no 4 KB bitmap; lists and bitmaps merge."""
+    few = [("chr1", s, "A", "G", f"s{(s * 31 + k * 1009) % 9000:05d}", "0/1" if k else "./.") for s in range(40) for k in range(3)]
+    many = [("chr1", 7, "A", "G", f"s{k:05d}", "1/1") for k in range(9000)]
+    cols = "reference_name string, start long, reference_bases string, alternate_bases string, sample_id string, genotype string"
+    one, two = (spark.createDataFrame(rows, cols).withColumn("attributes", F.lit(None).cast("string")) for rows in (few, many))
+    numbers = carrier_states.number_samples(two).localCheckpoint()
+    a, b = (carrier_states.carrier_states(df, numbers).localCheckpoint() for df in (one, two))
+    assert a.count() == 40 and a.where("samples is not null").count() == 0
+    assert a.agg(F.sum(F.size("words"))).first()[0] <= len(few)
+    assert [len(r["samples"]) for r in b.collect()] == [4096]
+    merged = carrier_states.merge_states(a, b, a)
+    got = {r.start: (r.total_cohort_samples, r.alt_carrier_count) for r in carrier_states.carrier_frequency_of(merged).collect()}
+    assert got == {s: (9000, 9004) if s == 7 else (3, 4) for s in range(40)}
+
+
+def test_grouped_rows_are_dealt_when_they_do_not_combine(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    df = spark.range(1000).select((F.col("id") % 10).alias("a"), "id")
+    assert joins.deal(df, ["id"], ["a", "id"]).rdd.getNumPartitions() == 10
+    assert joins.deal(df, ["a"], ["a"]) is df
