@@ -231,3 +231,15 @@ def test_same_headers_stand_once(spark, tmpdir_path):
     assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
     other = read_vcf(spark, tmpdir_path, max_broadcast_samples=7)
     assert sorted(map(tuple, other.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_json_lines_are_compressed_and_bounded(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(writers, "MAX_JSON_RECORDS_PER_FILE", 500)
+    calls = fx.variants(spark, SF_SMALL)
+    bytes_of = lambda p: sum(os.path.getsize(f"{p}/{f}") for f in os.listdir(p) if f.startswith("part-"))
+    small = writers.write_json(calls, f"{tmpdir_path}/small")
+    plain = writers.write_json(calls, f"{tmpdir_path}/plain", compression="none")
+    assert bytes_of(small) * 4 < bytes_of(plain)
+    assert len([f for f in os.listdir(small) if f.endswith(".json.gz")]) >= calls.count() / 500
+    back = tables.read_calls_json(spark, small)
+    assert back.exceptAll(calls).count() == 0 and back.count() == calls.count()
