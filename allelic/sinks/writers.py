@@ -110,14 +110,22 @@ def write_batch(calls: DataFrame, root: str, batch_id: str | None = None,
     significance are materialised next to ``attributes`` so their predicates
     are pushed into the Parquet scan."""
     batch_id = _only_batch(calls) if batch_id is None else batch_id
-    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS)
-    _write(layout(df, partitions), ["reference_name"], "static",
+    _write(_laid_out(calls, partitions), ["reference_name"], "static",
            f"{root}/{_directory('batch_id', batch_id)}/{_directory('part_id', part_id)}")
     if stats:
         write_batch_stats(calls.sparkSession, root, [batch_id])
     return root
 
 
+def _laid_out(calls: DataFrame, partitions: int | None = None, extra: tuple = ()) -> DataFrame:
+    """The layout of the table's columns and ``extra`` ones.  Annotations that
+    are not there yet are taken from ``attributes`` behind the shuffle: the
+    range layout runs what is before it twice."""
+    given = [c for c in DERIVED_ANNOTATIONS if c in calls.columns]
+    df = layout(calls.select(*CALL_COLUMNS, *given, *extra), partitions)
+    return with_annotations(df).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, *extra)
+
+
 def _write(df: DataFrame, partition_by: list[str], overwrite: str, path: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "snappy")
@@ -128,8 +136,7 @@ def write_batches(calls: DataFrame, root: str, partitions: int | None = None) ->
     """Write parts of several batches in one job, from ``batch_id`` and
     ``part_id`` columns.  A part must be the whole of something that does not
     change (a file): a replay overwrites the same directories."""
-    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id", "part_id")
-    _write(layout(df, partitions), ["batch_id", "part_id", "reference_name"], "dynamic", root)
+    _write(_laid_out(calls, partitions, ("batch_id", "part_id")), ["batch_id", "part_id", "reference_name"], "dynamic", root)
     return root
 
 
@@ -193,9 +200,8 @@ def lookup_by_stats(spark, root: str, contig: str, start: int, sample_id: str |
 
 def rewrite_all(calls: DataFrame, root: str, partitions: int | None = None) -> str:
     """The naive alternative to an append: rewrite every partition."""
-    df = with_annotations(calls).select(*CALL_COLUMNS, *DERIVED_ANNOTATIONS, "batch_id",
-                                        F.lit("0").alias("part_id"))
-    _write(layout(df, partitions), ["batch_id", "part_id", "reference_name"], "static", root)
+    calls = calls.withColumn("part_id", F.lit("0"))
+    _write(_laid_out(calls, partitions, ("batch_id", "part_id")), ["batch_id", "part_id", "reference_name"], "static", root)
     return root
 
 
