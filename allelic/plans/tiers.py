@@ -15,8 +15,9 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelic.functions.genotype import CARRIER_GENOTYPES, PATHOGENIC, with_annotations
+from allelic.functions.genotype import CARRIER_GENOTYPES, PATHOGENIC
 from allelic.plans.layout import compact
+from allelic.schema import WAREHOUSE
 from allelic.sinks.writers import write_batch
 from allelic.sources.tables import read_warehouse
 
@@ -62,15 +63,17 @@ def _parts(spark: SparkSession, tier: str) -> set[str]:
 
 def append_tiered(calls: DataFrame, root: str, batch_id: str | None = None, part_id: str = "0", rule: dict | None = None) -> str:
     """Write a part of a batch to both tiers, the warm one first: until the
-    hot one is complete, readers use the warm one."""
+    hot one is complete, readers use the warm one.  The hot part is read from
+    the warm one, whose columns the rule is pushed into."""
     spark = calls.sparkSession
     rule = _rule(spark, root, rule or CLINICAL)
-    calls = with_annotations(calls)
     batch_id = batch_id or calls.select("batch_id").first()[0]
     hot = f"{root}/hot"
     _drop_marker(spark, f"{hot}/batch_id={batch_id}/part_id={part_id}/_SUCCESS")
     write_batch(calls, f"{root}/warm", batch_id, part_id=part_id)
-    write_batch(calls.where(_in(rule)), hot, batch_id, part_id=part_id)
+    written = (spark.read.schema(WAREHOUSE).option("basePath", f"{root}/warm")
+               .parquet(f"{root}/warm/batch_id={batch_id}/part_id={part_id}"))
+    write_batch(written.where(_in(rule)), hot, batch_id, part_id=part_id)
     return root
 
 

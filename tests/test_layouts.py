@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from allelic import registry
 from allelic.plans import tiers
 from allelic.plans.layout import cluster, compact_small, diff_counts, splitters, z_key
 from allelic.schema import CALL_COLUMNS
@@ -153,3 +154,37 @@ def test_covered():
     rule = {"a": ["x", "y"], "b": ["z"]}
     assert tiers.covered({"a": "x", "b": ["z"], "c": 1}, rule) and tiers.covered({}, {})
     assert not any(tiers.covered(f, rule) for f in ({"a": "x"}, {"a": ["x", "w"], "b": "z"}, {"a": [], "b": "z"}, {"a": None, "b": "z"}))
+
+
+def test_annotations_are_taken_behind_the_shuffle(spark, monkeypatch):
+    """The range layout runs its input twice; JSON is not among it.  The hot
+    tier reads the part that the warm one has."""
+    plan = writers._laid_out(fx.variants(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "get_json_object" in plan.split("rangepartitioning")[0] and "get_json_object" not in plan.split("rangepartitioning")[1]
+
+
+def test_hot_tier_is_written_from_the_warm_part(spark, tmpdir_path, monkeypatch):
+    held, read = tiers.write_batch, {}
+
+    def seen(df, path, *a, **b):
+        read[path.rpartition("/")[2]] = df.inputFiles()
+        return held(df, path, *a, **b)
+
+    monkeypatch.setattr(tiers, "write_batch", seen)
+    for batch in ("001", "002"):
+        tiers.append_tiered(fx.variants(spark, SF_SMALL, with_batch=True).where(f"batch_id = '{batch}'"), f"{tmpdir_path}/tiers")
+        assert read["hot"] and all(f"/warm/batch_id={batch}/part_id=0/" in f for f in read["hot"])
+
+
+def test_writers_get_calls_that_are_joined_once(spark, monkeypatch):
+    held, plans = writers.write_batch, []
+
+    def seen(df, *a, **b):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return held(df, *a, **b)
+
+    monkeypatch.setattr(writers, "write_batch", seen)
+    monkeypatch.setattr(tiers, "write_batch", seen)
+    for name in ("replay_equal", "tier_lookup"):
+        registry.REGISTRY[name](spark, SF_SMALL)
+    assert len(plans) == 9 and not [p for p in plans if "Join" in p]
