@@ -1,9 +1,10 @@
 """Ingest summary (C19) and per-partition file statistics.
 
-The summary first collapses calls to (contig, genotype, sample) counts, one
-partial + final aggregate whose output is bounded by contigs x genotypes x
-samples, not by the number of calls.  GROUPING SETS then run over that small
-table: the 4-way expand and the distinct-sample count never touch raw calls.
+The three columns that the summary needs are written once.  Calls collapse to
+(sample, contig, genotype) counts: before the shuffle where that leaves few of
+them, else dealt by sample to tasks of a bounded number of rows.  Then each
+sample's counts of a level's key are one row, so distinct samples are rows to
+count, and no task holds a level's samples.
 """
 
 from __future__ import annotations
@@ -11,32 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# grouping_id bit order follows (reference_name, genotype, sample_id).
-_LEVELS = {3: "reference_name", 5: "genotype", 6: "sample_id", 7: "total"}
+from allelic.plans.joins import deal
+from allelic.session import scratch_path
+
+LEVELS = ["reference_name", "genotype", "sample_id"]
 
 
 def ingest_summary(calls: DataFrame) -> DataFrame:
     """Rows: (level, key, calls, distinct_samples) for the total, each
     contig, each genotype and each sample."""
-    pre = (calls.groupBy("reference_name", "genotype", "sample_id")
-                .agg(F.count(F.lit(1)).alias("n")))
-    g = pre.groupingSets(
-        [["reference_name"], ["genotype"], ["sample_id"], []],
-        "reference_name", "genotype", "sample_id",
-    ).agg(
-        F.sum("n").alias("calls"),
-        F.countDistinct("sample_id").alias("distinct_samples"),
-        F.grouping_id().alias("gid"),
-    )
-    level = None
-    for gid, name in _LEVELS.items():
-        level = F.when(F.col("gid") == gid, F.lit(name)) if level is None else \
-            level.when(F.col("gid") == gid, F.lit(name))
-    key = (F.when(F.col("gid") == 3, F.col("reference_name"))
-            .when(F.col("gid") == 5, F.col("genotype"))
-            .when(F.col("gid") == 6, F.col("sample_id")))
-    return (g.select(level.alias("level"), key.alias("key"), "calls", "distinct_samples")
-             .orderBy("level", "key"))
+    spark, path, rows = calls.sparkSession, scratch_path(calls.sparkSession, "summary_calls"), calls.select(*LEVELS)
+    rows.write.parquet(path)
+    rows = deal(spark.read.schema(rows.schema).parquet(path), ["sample_id"], LEVELS)
+    pre = rows.groupBy(*LEVELS).agg(F.count(F.lit(1)).alias("n"))
+    keys = [F.struct(F.lit(c).alias("level"), F.col(c).alias("key")) for c in LEVELS]
+    total = F.struct(F.lit("total").alias("level"), F.lit(None).cast("string").alias("key"))
+    one = pre.select("sample_id", "n", F.explode(F.array(*keys, total)).alias("at")).groupBy("sample_id", "at.level", "at.key").agg(F.sum("n").alias("n"))
+    return (one.groupBy("level", "key").agg(F.sum("n").alias("calls"), F.count("sample_id").alias("distinct_samples"))
+            .orderBy("level", "key"))
 
 
 def partition_stats(calls: DataFrame, partition_col: str = "reference_name") -> DataFrame:

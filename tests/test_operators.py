@@ -208,3 +208,15 @@ def test_validate_cohort_expected_sets(spark, calls):
     assert not r["calls_loaded"]["passed"]
     assert r["carriers_at_locus"]["detail"] == "carriers=2 mismatches=2"
     assert r["concept_in_join"]["passed"] and r["carriers_have_person"]["passed"]
+
+
+def test_summary_counts_samples_without_expanding_calls(spark):
+    rows = [("chr1", "0/1", "a"), ("chr1", "0/1", "a"), ("chr1", None, "b"), (None, "0/1", None), ("chr2", "0/0", "a")]
+    for n in (1, 50):  # calls that do not combine, then calls that do
+        df = spark.createDataFrame(rows * n, "reference_name string, genotype string, sample_id string")
+        out = summary.ingest_summary(df)
+        assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.level, r.key, r.calls, r.distinct_samples) for r in out.collect()} == {
+            ("total", None, 5 * n, 2), ("reference_name", "chr1", 3 * n, 2), ("reference_name", None, n, 0), ("reference_name", "chr2", n, 1),
+            ("genotype", "0/1", 3 * n, 1), ("genotype", None, n, 1), ("genotype", "0/0", n, 1),
+            ("sample_id", "a", 3 * n, 1), ("sample_id", "b", n, 1), ("sample_id", None, n, 0)}
