@@ -75,7 +75,7 @@ def carrier_states(calls: DataFrame, numbers: DataFrame, max_broadcast_rows: int
     rows = rows.select(*KEY, F.bitmap_bucket_number("number").alias("block"), F.shiftright(at, 6).cast("int").alias("word"),
                        F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("mask"),
                        F.coalesce(F.col("carrier").cast("long"), F.lit(0)).alias("carriers"))
-    return _states(_by_word(deal(rows, [*KEY, "block"], [*KEY, "block", "word"])))
+    return _states(_by_word(deal(rows, [*KEY, "block"], [*SITE_KEY, "block", "word"])))
 
 
 def merge_states(*states: DataFrame) -> DataFrame:
