@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from allelic.llm import bitmap
-from allelic.llm.common import documents, materialise, text_of
+from allelic.llm.common import arrow_batches, documents, materialise, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -45,7 +45,7 @@ MAX_WORDS, MIN_COUNT, TOP, COVER = 3, 10, 2000, 50
 #: ``MIN_COUNT`` that a phrase needs there.
 SAMPLE, SLACK = 0.4, 0.75
 #: Bytes of text that a task counts at a time, and that give a range of hashes.
-CHUNK, RANGE = 3_000_000, 8_000_000
+CHUNK, RANGE = 1_000_000, 8_000_000
 #: Upper case to lower case; ends of pieces to a line feed, blanks to a space.
 _FOLD = bytes.maketrans((string.ascii_uppercase + ".,;:!?\n\v\f\r\t").encode(),
                         (string.ascii_lowercase + "\n" * 10 + " ").encode())
@@ -274,6 +274,11 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     """
     if not 1 <= max_words < _LEVELS:
         raise ValueError(f"phrases have 1 to {_LEVELS - 1} words")
+    with arrow_batches(docs.sparkSession, 4 * CHUNK):
+        return _frequent_phrases(docs, lang_col, text_col, max_words, min_count, sample)
+
+
+def _frequent_phrases(docs: DataFrame, lang_col: str, text_col: str, max_words: int, min_count: int, sample: float) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_of(text_col).alias("text"))
     some = texts.where(F.pmod(F.xxhash64("lang", "text"), F.lit(1000)) < int(1000 * sample))

@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,5 +142,34 @@ def test_bitmap(spark):
     assert not bitmap.collect(df.where(F.lit(False)), bits).any()
 
 
+def test_task_memory_is_bounded(spark):
+    """A task counts a bounded part of its text at a time."""
+    rnd = random.Random(3)
+    text = "\n".join(" ".join(f"w{rnd.randrange(9000)}" for _ in range(12)) for _ in range(60_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([text])], ["lang", "text"])
+    full = SimpleNamespace(value=np.full(1 << 12, 255, np.uint8))
+    for run in (phrases._count_hashes([1, 2, 3], 9, full, None), phrases._count_phrases([1, 2, 3], full)):
+        tracemalloc.start()
+        assert sum(b.num_rows for b in run([batch]))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 70e6
+
+
+def test_wide_rows_come_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held, seen, inner = spark.conf.get(key), [], phrases._frequent_phrases
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    monkeypatch.setattr(phrases, "_frequent_phrases", lambda d, *a: seen.extend(r.n for r in d.mapInArrow(sizes, "n long").collect()) or inner(d, *a))
+    docs = spark.range(0, 300, 1, 1).selectExpr("'en' AS lang", "repeat('ab cd ', 8000) AS text")
+    got = {r.phrase: r.n for r in frequent_phrases(docs).collect()}
+    assert max(seen) < 8 * phrases.CHUNK < 14e6 and spark.conf.get(key) == held
+    assert got["ab cd"] == 300 * 8000 and got[""] == 300 * 16000
+
+
 def test_query(spark, docs):
     assert rows_of(op11_phrases(spark, SF)) == brute([(r.lang, r.text) for r in docs.collect()])
