@@ -280,6 +280,36 @@ def test_components_match_numpy(spark, monkeypatch, limit):
         assert np.abs(mine - theirs).max() < 1e-4 * s[k]
 
 
+def test_products_move_no_entries(spark, monkeypatch):
+    """A product sends slices of the tall table and sums by bin; the entries
+    stay where they are, also when the tall table is beyond a broadcast."""
+    plans, held = [], pca._write
+
+    def exchanges(df):
+        """Of the plan, without what is kept by an earlier job."""
+        n, kept = 0, None
+        for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+            depth = len(line) - len(line.lstrip(" :+-"))
+            kept = None if kept is not None and depth <= kept else kept
+            if kept is None:
+                kept = depth if "InMemoryRelation" in line else None
+                n += "Exchange hashpartitioning" in line
+        return n
+
+    def write(session, df, name):
+        n, out = exchanges(df), held(session, df, name)
+        plans.append((name, n, out.count()))
+        return out
+
+    monkeypatch.setattr(pca, "_write", write)
+    monkeypatch.setattr(pca, "MAX_BROADCAST_ROWS", 50)
+    rows = cohort(21, 200, 40, groups=3)
+    assert pca.genotype_pca(spark.createDataFrame(rows, CALL), 2, rounds=1).count() == len({r[4] for r in rows})
+    products = [p[1:] for p in plans if p[0] in ("pca_tall", "pca_y", "pca_w", "pca_b")]
+    assert len(products) == 4 and all(n <= pca.BINS for _, n in products)
+    assert [n for n, _ in products[1:]] == [2, 2, 2]  # the first one's has the start and the dealing of the entries too
+
+
 def test_components_beyond_the_rank_are_zero(spark):
     rows = [("chr1", 5, "A", "C", f"s{i}", ["0/0", "1/1"][i % 2]) for i in range(6)]
     got = pca.genotype_pca(spark.createDataFrame(rows, CALL), 3, rounds=1, oversampling=1).collect()
