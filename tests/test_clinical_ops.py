@@ -79,6 +79,27 @@ def test_trial_pairs_are_not_shuffled(spark):
     assert not [x for x in plan if "hashpartitioning(" in x and "person_id" in x and "trial" in x]
 
 
+@pytest.mark.parametrize("words", [8, 0])
+def test_trial_criteria_that_are_equal_and_persons_that_repeat(spark, words, monkeypatch):
+    """Each pair arises once, by one criterion; equal criteria of a trial count
+    each, whether terms or criteria are the bits."""
+    monkeypatch.setattr(trials, "MAX_WORDS", words)
+    persons = spark.createDataFrame([(1, 1980), (1, 1980), (2, 1990), (None, 1980)], "person_id long, year_of_birth int")
+    facts = [(1, "condition", "1", "2012-01-15"), (1, "condition", "2", None), (2, "condition", "2", "2012-01-15"), (2, "variant", "A", None)]
+    both, one = [("condition", "1", None, None), ("condition", "2", "2012-01-01", None)], ("condition", "2", None, None)
+    criteria = [(1, c, "any", *one) for c in (1, 2)] + [(1, 3, "any", "variant", "A", None, None)] + [(2, 1, "all", *x) for x in both] + [(2, 2, "all", *one), (2, 3, "none", "variant", "A", None, None)]
+    criteria += [(3, None, "all", "variant", "B", None, None), (4, 1, "all", None, None, None, None)]
+    some = [(1, None, None), (2, 1970, None), (3, 1985, 1990), (3, None, None), (4, None, None)]
+    got = trials.match_trials(spark.createDataFrame(facts, "person_id long, kind string, code string, day string"), persons,
+                              spark.createDataFrame(some, "trial_id long, min_year int, max_year int"), spark.createDataFrame(criteria, CRITERIA))
+    want = [(1, 1, 0, 2)] * 2 + [(1, 2, 0, 3)] + [(2, 1, 2, 0)] * 2 + [(3, 1, 0, 0)] * 2 + [(3, 2, 0, 0)] * 2 + [(3, None, 0, 0)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert got.dtypes == [("trial_id", "bigint"), ("person_id", "bigint"), ("n_all", "bigint"), ("n_any", "bigint")]
+    # pairs are streamed: nothing groups them
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("trial_pivots")]
+
+
 # --- allele fraction over time --------------------------------------------------
 
 def observed(seed, n=300):
