@@ -11,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelic.session import few_listing_tasks, scratch_path
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 65_280
@@ -57,8 +59,9 @@ def write_block_gzip(spark: SparkSession, source: str, target: str, suffix: str
     """Compress each file under ``source`` (no others than text files of a
     writer) to a file under ``target`` with the same path and ``suffix``
     added.  Returns ``file, blocks``, evaluated once."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
-             .load(source).select("path", "length"))
+    with few_listing_tasks(spark):
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+                 .load(source).select("path", "length"))
     # the path below the source; partition values stand escaped in it
     name = F.concat(F.element_at(F.split("path", source.rstrip("/").rpartition("/")[2] + "/"), -1), F.lit(suffix))
     if "://" not in target:
@@ -68,5 +71,6 @@ def write_block_gzip(spark: SparkSession, source: str, target: str, suffix: str
     tasks = max(1, min(n, max(16 * spark.sparkContext.defaultParallelism, (size or 0) // TASK_BYTES)))
     done = files.select("path", name.alias("name")).repartition(tasks).mapInArrow(
         _compress(target, block_bytes), "file string, blocks long")
-    rows = done.collect()  # a row a file
-    return spark.createDataFrame(rows, "file string, blocks long")
+    path = scratch_path(spark, "packed_files")
+    done.write.parquet(path)  # a row a file
+    return spark.read.schema("file string, blocks long").parquet(path)
