@@ -221,3 +221,57 @@ def test_sparse_calls_make_text_that_grows_with_them(spark, tmpdir_path):
     lines = [r.value.split("\t") for r in spark.read.text(f"{tmpdir_path}/v").where("value not like '#%'").collect()]
     assert len(lines) == 400 and sum(len(x) - 9 for x in lines) <= 2 * MAX_FILL * len(rows)
     assert sorted(map(tuple, read_vcf(spark, f"{tmpdir_path}/v").collect())) == sorted(rows)
+
+
+def test_files_in_folders_of_their_own_are_listed_by_few_tasks_and_once(spark, tmpdir_path):
+    """A folder a file: not a listing task a folder, and the session's settings
+    stand as before."""
+    import os
+
+    from allelic.session import _LISTING, LISTING_TASKS
+    for k in range(70):
+        os.makedirs(f"{tmpdir_path}/v/bucket={k}")
+        with open(f"{tmpdir_path}/v/bucket={k}/part-0", "w") as f:
+            f.write("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\n" + f"chr1\t{k}\t.\tA\tG\t9\tPASS\t.\tGT\t0/1\n")
+    sc, was = spark.sparkContext, spark.conf.get(_LISTING)
+    sc.setJobGroup("listing", "listing")
+    try:
+        assert read_vcf(spark, f"{tmpdir_path}/v").count() == 70
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker, found = sc.statusTracker(), []
+    for job in tracker.getJobIdsForGroup("listing"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            info = tracker.getStageInfo(stage)
+            found.append((info.name, info.numTasks))
+    assert max(n for _, n in found) <= LISTING_TASKS * sc.defaultParallelism
+    assert len([1 for name, _ in found if name.startswith("text at")]) == 1
+    assert spark.conf.get(_LISTING) == was
+
+
+def test_compressed_vcf_and_shards_of_calls_without_samples(spark, tmpdir_path):
+    """A shard is dealt as calls, its header among them, and becomes text behind that."""
+    import glob
+
+    from allelic.schema import CALLS
+    row = lambda contig, start, sample: (contig, start, start, "A", "G", sample, "0/1", 9.0, "PASS", 3, 4, "1,2", '{"gene":"X"}', "c", "e")
+    calls = spark.createDataFrame([row("chr1", 5, "B"), row("chr1", 5, "A"), row("chr1", 7, "C"), row("chr1", 150, "A"), row("chr2", 5, None)], CALLS)
+    write_vcf(calls.where("sample_id is not null"), f"{tmpdir_path}/v", 100, compression="gzip")
+    files = glob.glob(f"{tmpdir_path}/v/reference_name=*/bucket=*/part-*")
+    assert len(files) == 2 and all(f.endswith(".txt.gz") for f in files)
+    back = read_vcf(spark, f"{tmpdir_path}/v").select("reference_name", "start", "sample_id", "genotype", "dp", "attributes").collect()
+    assert sorted(map(tuple, back)) == [("chr1", *x, "0/1", 3, '{"gene":"X"}') for x in ((5, "A"), (5, "B"), (7, "C"), (150, "A"))]
+    assert [(r.sample_index, r.sample_id) for r in vcf_samples(spark, files[:1] if "bucket=0" in files[0] else files[1:]).orderBy("sample_index").collect()] == [
+        (0, "A"), (1, "B"), (2, "C")]
+    write_vcf(calls, f"{tmpdir_path}/w", 100)
+    text = sorted(r.value for r in spark.read.text(f"{tmpdir_path}/w").where("value not like '##%'").collect())
+    from allelic.sinks.vcf import vcf_lines
+    assert text == sorted(r.line for r in vcf_lines(calls, 100).where("line not like '##%'").collect())
+
+
+def test_lines_come_from_calls_that_are_kept(spark):
+    """The tables are joined once, not for the places and again for the lines."""
+    from allelic import registry
+    from conftest import SF_SMALL
+    plan = registry.queries()["calls_to_vcf"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "attributes" in plan
